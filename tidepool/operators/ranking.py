@@ -47,9 +47,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column | str], out: str = "
     j = tagged.join(F.broadcast(offsets), _PID)
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("bigint"), 33)
     j = j.withColumn(out, F.col("_off") + local + 1)
-    if total_out:
+    drop = [_PID, _MID, "_off"]
+    if total_out and total_out != "_total":
         j = j.withColumnRenamed("_total", total_out)
-    return j.drop(_PID, _MID, "_off", "_total")
+    elif not total_out:
+        drop.append("_total")
+    return j.drop(*drop)
 
 
 def global_rank(df: DataFrame, value: str, descending: bool = True, tiebreak: Sequence[str] = (),

@@ -95,7 +95,7 @@ select post_id, user_id, platform, topic, sentiment_label, sentiment_score, like
   post_date, post_hour, post_month, post_year
 from s_posts""",
     "dim_users": """
-select user_id, username, platform, location, followers, follower_tier, cast(is_influencer as integer) as is_influencer,
+select user_id, username, location, followers, follower_tier, cast(is_influencer as integer) as is_influencer,
   cast(verified as integer) as verified, account_age_days
 from s_users""",
     "stg_api_logs": """
