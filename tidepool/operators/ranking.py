@@ -103,3 +103,23 @@ def trailing_mean_global(df: DataFrame, value: str, order: Sequence[Column | str
                .withColumn(count_out, F.count(F.lit(1)).over(w))
                .where(F.col("_b") == F.col("_home")))
     return r.drop("_b", "_home")
+
+
+def global_cumsum(df: DataFrame, order: Sequence[Column | str], weight: str, out: str = "cum") -> DataFrame:
+    """Inclusive running sum of ``weight`` over one global order (order should be total).
+
+    Range-partitioned and checkpointed like ``global_row_number``; per-partition sums (one row per
+    partition) give offsets, and the in-partition running sum is a window over the partition id, whose
+    partitions are the balanced range partitions themselves.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    cols = _order_cols(order)
+    pinned = df.repartitionByRange(*cols).sortWithinPartitions(*cols).checkpoint(eager=True)
+    tagged = pinned.withColumn(_PID, F.spark_partition_id())
+    sums = tagged.groupBy(_PID).agg(F.sum(weight).alias("_s"))
+    offsets = sums.select(_PID, F.coalesce(
+        F.sum("_s").over(Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(_PID).orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    r = tagged.withColumn(out, F.sum(weight).over(w)).join(F.broadcast(offsets), _PID)
+    return r.withColumn(out, F.col(out) + F.col("_off")).drop(_PID, "_off")

@@ -86,3 +86,141 @@ select post_hour, platform, count(post_id) as post_count, round(avg(engagement_s
 from s_posts where post_hour is not null and platform is not null group by post_hour, platform""")
 def q_gold_hourly_pattern(spark, sf):
     return gold.hourly_pattern(s_posts(spark, sf))
+
+
+# ---- data quality --------------------------------------------------------------------------------------
+
+from tidepool.operators import quality as Q  # noqa: E402
+
+# Column lists of the checked datasets (name -> [(column, kind)]), kind: n=integer, f=float, o=other.
+_DQ_COLS = {
+    "users": [("user_id", "n"), ("username", "o"), ("platform", "o"), ("location", "o"), ("followers", "n"),
+              ("verified", "o"), ("account_age_days", "n"), ("email", "o")],
+    "posts": [("post_id", "o"), ("event_id", "n"), ("user_id", "n"), ("platform", "o"), ("topic", "o"),
+              ("hashtags", "o"), ("likes", "n"), ("shares", "n"), ("comments", "n"), ("sentiment_label", "o"),
+              ("sentiment_score", "f"), ("posted_at", "o"), ("is_viral", "o")],
+    "hashtag_trends": [("trend_date", "o"), ("hashtag", "o"), ("topic", "o"), ("post_count", "n"),
+                       ("total_likes", "n"), ("total_shares", "n"), ("avg_sentiment", "f"), ("viral_count", "n")],
+    "api_logs": [("log_id", "n"), ("log_ts", "o"), ("source", "o"), ("endpoint", "o"), ("status_code", "n"),
+                 ("response_time_ms", "f"), ("records_fetched", "n")],
+}
+_DQ_SRC = {"users": "users", "posts": "posts_with_replays", "hashtag_trends": "hashtag_trends", "api_logs": "api_logs"}
+_PK = {"users": "user_id", "posts": "post_id", "api_logs": "log_id"}
+
+
+def dq_datasets(spark, sf):
+    return {"users": views.users(spark, sf), "posts": views.posts_with_replays(spark, sf),
+            "hashtag_trends": views.hashtag_trends(spark, sf), "api_logs": views.api_logs(spark, sf)}
+
+
+def _sql_nulls():
+    parts = []
+    for ds, cols in _DQ_COLS.items():
+        for c, kind in cols:
+            cond = f"{c} is null" + (f" or isnan({c})" if kind == "f" else "")
+            parts.append(f"select '{ds}' as dataset, '{c}' as column_name, count(*) filter (where {cond}) as null_count "
+                         f"from {_DQ_SRC[ds]}")
+    return "select * from (" + "\nunion all ".join(parts) + ") where null_count > 0"
+
+
+def _sql_dups():
+    parts = []
+    for ds, cols in _DQ_COLS.items():
+        g = ", ".join(c for c, _ in cols)
+        parts.append(f"select '{ds}' as dataset, cast(coalesce(sum(n - 1), 0) as bigint) as duplicate_rows "
+                     f"from (select count(*) as n from {_DQ_SRC[ds]} group by {g})")
+    return "\nunion all ".join(parts)
+
+
+def _sql_quartiles():
+    parts = []
+    for ds, cols in _DQ_COLS.items():
+        for c, kind in cols:
+            if kind == "o":
+                continue
+            v = f"cast({c} as double)"
+            parts.append(f"select '{ds}' as dataset, '{c}' as column_name, quantile_cont({v}, 0.25) as q1, "
+                         f"quantile_cont({v}, 0.75) as q3, count({v}) as n from {_DQ_SRC[ds]} "
+                         f"where {c} is not null and not isnan({v})")
+    return "\nunion all ".join(parts)
+
+
+def _sql_long():
+    parts = []
+    for ds, cols in _DQ_COLS.items():
+        for c, kind in cols:
+            if kind != "o":
+                parts.append(f"select '{ds}' as dataset, '{c}' as column_name, cast({c} as double) as value "
+                             f"from {_DQ_SRC[ds]} where {c} is not null and not isnan(cast({c} as double))")
+    return "\nunion all ".join(parts)
+
+
+def _sql_outliers():
+    return f"""
+with q as ({_sql_quartiles()}), l as ({_sql_long()})
+select l.dataset, l.column_name,
+  cast(count(*) filter (where l.value < q.q1 - 3.0 * (q.q3 - q.q1) or l.value > q.q3 + 3.0 * (q.q3 - q.q1)) as bigint)
+    as outliers
+from l join q on l.dataset = q.dataset and l.column_name = q.column_name
+group by l.dataset, l.column_name
+having count(*) filter (where l.value < q.q1 - 3.0 * (q.q3 - q.q1) or l.value > q.q3 + 3.0 * (q.q3 - q.q1)) > 0"""
+
+
+_SQL_RANGE = """select 'posts' as dataset, 'sentiment_score' as column_name,
+  count(*) filter (where sentiment_score < -1 or sentiment_score > 1) as violations from posts_with_replays"""
+
+
+@query("dq_nulls", _sql_nulls())
+def q_dq_nulls(spark, sf):
+    return Q.null_counts(dq_datasets(spark, sf))
+
+
+@query("dq_duplicates", _sql_dups())
+def q_dq_duplicates(spark, sf):
+    return Q.duplicate_rows(dq_datasets(spark, sf))
+
+
+@query("dq_quartiles", _sql_quartiles())
+def q_dq_quartiles(spark, sf):
+    return Q.quartiles(dq_datasets(spark, sf))
+
+
+@query("dq_outliers", _sql_outliers())
+def q_dq_outliers(spark, sf):
+    return Q.outliers(dq_datasets(spark, sf))
+
+
+@query("dq_range", _SQL_RANGE)
+def q_dq_range(spark, sf):
+    return Q.range_violations(dq_datasets(spark, sf))
+
+
+@query("dq_summary", f"""
+with n as ({_sql_nulls()}), d as ({_sql_dups()}), o as ({_sql_outliers()}), r as ({_SQL_RANGE}),
+iss as (select dataset, 'nulls' as chk from n union all select dataset, 'duplicates' from d where duplicate_rows > 0
+        union all select dataset, 'outliers' from o union all select dataset, 'range' from r where violations > 0),
+ds as (select * from (values ('users'), ('posts'), ('hashtag_trends'), ('api_logs')) t(dataset))
+select ds.dataset, cast(count(distinct iss.chk) as bigint) as issue_types
+from ds left join iss on ds.dataset = iss.dataset group by ds.dataset""")
+def q_dq_summary(spark, sf):
+    return Q.issue_summary(dq_datasets(spark, sf))
+
+
+@query("dq_pk", "\nunion all ".join(
+    f"select '{ds}' as dataset, '{k}' as key_column, cast(count(*) as bigint) as duplicate_keys, "
+    f"cast(coalesce(sum(n - 1), 0) as bigint) as extra_rows "
+    f"from (select {k}, count(*) as n from {_DQ_SRC[ds]} group by {k} having count(*) > 1)"
+    for ds, k in _PK.items()))
+def q_dq_pk(spark, sf):
+    return Q.primary_key_violations(dq_datasets(spark, sf), _PK)
+
+
+@query("dq_orphans", """
+select p.post_id, p.user_id from posts p where not exists (select 1 from users_missing_some u where u.user_id = p.user_id)""")
+def q_dq_orphans(spark, sf):
+    return Q.orphans(views.posts(spark, sf), views.users_missing_some(spark, sf), "user_id", "post_id")
+
+
+@query("dq_report_lines")
+def q_dq_report_lines(spark, sf):
+    return Q.report_lines(dq_datasets(spark, sf))
