@@ -83,22 +83,24 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[Column | str], out: str
 
 
 def trailing_mean_global(df: DataFrame, value: str, order: Sequence[Column | str], width: int,
-                         bucket_rows: int = 1 << 16, out: str = "trailing_mean",
-                         count_out: str = "trailing_count") -> DataFrame:
-    """Mean and count of the last ``width`` rows (current included) over one global order.
-
-    Rows get a global row number i, go to bucket ``i div B``; the last ``width-1`` rows of a bucket are
-    copied into the next bucket as a halo, the window runs per bucket, and only home rows are kept.
-    Every bucket holds at most B + width - 1 rows, whatever the key distribution.
+                         partition_by: Sequence[str] = (), bucket_rows: int = 1 << 16,
+                         out: str = "trailing_mean", count_out: str = "trailing_count") -> DataFrame:
+    """Mean and count of the last ``width`` rows (current included) in ``order``, per ``partition_by`` key.
+
+    Rows get a global row number i over (keys, order) and go to bucket ``i div B``; the last ``width-1``
+    rows of a bucket are copied into the next bucket as a halo, the window runs per (bucket, key), and
+    only home rows are kept. Every bucket holds at most B + width - 1 rows, so a key holding a third of
+    all rows is still spread over many tasks.
     """
     if bucket_rows < width:
         raise ValueError("bucket_rows must be at least the window width")
-    numbered = global_row_number(df, order, out="_i").withColumn("_i", F.col("_i") - 1)
+    keys = [F.col(k) for k in partition_by]
+    numbered = global_row_number(df, keys + _order_cols(order), out="_i").withColumn("_i", F.col("_i") - 1)
     b = F.floor(F.col("_i") / F.lit(bucket_rows)).cast("bigint")
     halo = (F.col("_i") % bucket_rows) >= (bucket_rows - (width - 1))
     spread = numbered.withColumn("_home", b).withColumn(
         "_b", F.explode(F.when(halo, F.array(b, b + 1)).otherwise(F.array(b))))
-    w = Window.partitionBy("_b").orderBy("_i").rowsBetween(-(width - 1), 0)
+    w = Window.partitionBy("_b", *partition_by).orderBy("_i").rowsBetween(-(width - 1), 0)
     r = (spread.withColumn(out, F.avg(value).over(w))
                .withColumn(count_out, F.count(F.lit(1)).over(w))
                .where(F.col("_b") == F.col("_home")))
