@@ -37,10 +37,15 @@ def _k(props: Column) -> Column:
     return F.get_json_object(props, "$.k")
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One post per event: ids, platform, topic, hashtags, counts, label, score, time, viral flag."""
-    e = read_table(spark, sf_dir, "events")
+def posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """One post per event: ids, platform, topic, hashtags, counts, label, score, time, viral flag.
+
+    ``events`` overrides the scan (e.g. a bronze read); its bookkeeping columns ('_' prefix) pass through.
+    """
+    e = events if events is not None else read_table(spark, sf_dir, "events")
+    meta = [c for c in e.columns if c.startswith("_")]
     x = e.select(
+        *meta,
         "event_id", "user_id", "ts",
         _k(F.col("props")).cast("int").alias("k"),
         F.floor(F.col("value") * 20).cast("bigint").alias("likes"),
@@ -67,6 +72,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (label_base_score(F.col("label")) + ((eid * 7919) % 6001 - 3000) / F.lit(10000.0)).alias("sentiment_score"),
         F.col("ts").alias("posted_at"),
         ((likes + shares) > 5000).alias("is_viral"),
+        *meta,
     )
 
 
