@@ -99,3 +99,86 @@ select round(coalesce(avg(sentiment_score), 0.0), 4) as window_sentiment, count(
 from (select sentiment_score from posts order by posted_at desc, event_id desc limit 100)""")
 def q_last100_mean(spark, sf):
     return AL.last_n_mean(views.posts(spark, sf))
+
+
+# ---- Structured Streaming -----------------------------------------------------------------------------
+
+from tidepool.streaming import jobs as J  # noqa: E402
+
+
+def _posts_stream(spark, sf, max_files=1):
+    return J.post_messages(J.event_stream(spark, sf, max_files))
+
+
+@query("stream_topic_counts", """
+select topic, sentiment_label, count(*) as count from posts group by topic, sentiment_label""")
+def q_stream_topic_counts(spark, sf):
+    r = J.run_snapshot(J.topic_counts(_posts_stream(spark, sf)), "topic-counts")
+    return J.read_result(spark, r)
+
+
+@query("stream_platform_stats", """
+select platform, count(*) as posts, cast(sum(likes) as bigint) as total_likes,
+  cast(sum(case when likes > 5000 then 1 else 0 end) as bigint) as viral_posts,
+  round(sum(sentiment_score) / greatest(count(*), 1), 4) as avg_sentiment
+from posts group by platform""")
+def q_stream_platform_stats(spark, sf):
+    r = J.run_snapshot(J.platform_stats(_posts_stream(spark, sf)), "platform-stats", finish=J.finish_platform_stats)
+    return J.read_result(spark, r)
+
+
+@query("trend_leaderboard", """
+select hashtag, cast(sum(velocity) as bigint) as velocity from trend_events group by hashtag
+order by velocity desc, hashtag limit 10""")
+def q_trend_leaderboard(spark, sf):
+    trends = J.trend_messages(J.event_stream(spark, sf, 1))
+    r = J.run_snapshot(J.hashtag_velocity(trends), "trend-velocity", finish=J.leaderboard)
+    return J.read_result(spark, r)
+
+
+_CLOSED = "(select max(ts) - interval 10 minutes from events)"
+
+
+@query("stream_tumbling", f"""
+select window_start, window_end, topic, count(*) as posts
+from (select time_bucket(interval 1 minute, posted_at) as window_start,
+        time_bucket(interval 1 minute, posted_at) + interval 1 minute as window_end, topic from posts)
+where window_end <= {_CLOSED} group by window_start, window_end, topic""")
+def q_stream_tumbling(spark, sf):
+    return J.read_result(spark, J.run_append(J.tumbling_counts(_posts_stream(spark, sf)), "tumbling"))
+
+
+@query("stream_sliding", f"""
+with w as (select p.topic, p.likes, s.ws as window_start, s.ws + interval 10 minutes as window_end
+           from posts p, unnest(generate_series(time_bucket(interval 1 minute, p.posted_at) - interval 9 minutes,
+                                                time_bucket(interval 1 minute, p.posted_at), interval 1 minute)) s(ws))
+select window_start, window_end, topic, count(*) as posts, cast(sum(likes) as bigint) as likes
+from w where window_end <= {_CLOSED} group by window_start, window_end, topic""")
+def q_stream_sliding(spark, sf):
+    return J.read_result(spark, J.run_append(J.sliding_stats(_posts_stream(spark, sf)), "sliding"))
+
+
+@query("stream_alerts", _sql_alerts("partition by topic"))
+def q_stream_alerts(spark, sf):
+    alerts = J.spike_alerts(_posts_stream(spark, sf), width=20, threshold=CHECK_THRESHOLD)
+    return J.read_result(spark, J.run_append(alerts, "alerts"))
+
+
+@query("stream_last100", """
+with r as (select topic, sentiment_score, count(*) over (partition by topic) as seen,
+             row_number() over (partition by topic order by posted_at desc, event_id desc) as rn from posts),
+t as (select topic, max(seen) as seen, cast(sum(cast(sentiment_score as decimal(18, 4))) * 10000 as bigint) as i,
+        count(*) as n from r where rn <= 100 group by topic)
+select topic, seen, cast(sign(i) * ((2 * abs(i) + n) // (2 * n)) as double) / 10000 as window_sentiment,
+  n as window_size from t""")
+def q_stream_last100(spark, sf):
+    log = J.read_result(spark, J.run_append(J.last_n_means(_posts_stream(spark, sf), 100), "last100"))
+    return J.latest_per_key(log)
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark, sf):
+    ev = J.event_stream(spark, sf, 1)
+    posts = J.post_messages(ev)
+    replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
+    return J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
