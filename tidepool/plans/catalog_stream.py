@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidepool.operators import alerts as AL
 from tidepool.operators import routing as R
 from tidepool.plans.registry import query
+from tidepool.session import scratch_path
 from tidepool.sources import views
 
 POST_PARTITIONS, TREND_PARTITIONS = 4, 2
@@ -182,3 +183,48 @@ def q_stream_dedup(spark, sf):
     posts = J.post_messages(ev)
     replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
     return J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
+
+
+def _two_runs(spark, sf, first_newer: bool, build):
+    """Land one half of the events, run the job, land the other half, run again on the same checkpoint."""
+    older, newer = J.split_by_time(spark, sf)
+    folder = scratch_path(spark, "landing")
+    ck, out = scratch_path(spark, "two-runs-ckpt"), scratch_path(spark, "two-runs-out")
+    runs = []
+    for half in ((newer, older) if first_newer else (older, newer)):
+        J.land(half, folder)
+        runs.append(build(J.post_messages(J.landing_stream(spark, folder)), ck, out))
+    return runs
+
+
+@query("stream_restart", """
+select topic, sentiment_label, count(*) as count from posts group by topic, sentiment_label""")
+def q_stream_restart(spark, sf):
+    runs = _two_runs(spark, sf, False,
+                     lambda posts, ck, out: J.run_snapshot(J.topic_counts(posts), "restart", checkpoint=ck, path=out))
+    return J.read_result(spark, runs[-1])
+
+
+@query("stream_late_drop")
+def q_stream_late_drop(spark, sf):
+    runs = _two_runs(spark, sf, True,
+                     lambda posts, ck, out: J.run_append(J.tumbling_counts(posts), "late", checkpoint=ck, path=out))
+    rows = [(i + 1,) + J.progress_rows(r.progress) for i, r in enumerate(runs)]
+    return spark.createDataFrame(rows, "run int, input_rows long, dropped_by_watermark long")
+
+
+@query("stream_two_groups")
+def q_stream_two_groups(spark, sf):
+    ev = J.event_stream(spark, sf, 1)
+    res = J.run_concurrently({"sentiment_processor": J.topic_counts(J.post_messages(ev)),
+                              "trend_tracker": J.hashtag_velocity(J.trend_messages(ev))})
+    rows = [(name, J.progress_rows(r.progress)[0], len([p for p in r.progress if p.get("numInputRows", 0)]))
+            for name, r in res.items()]
+    return spark.createDataFrame(rows, "consumer_group string, processed long, batches int")
+
+
+@query("stream_report_json")
+def q_stream_report_json(spark, sf):
+    from tidepool.streaming.report import stream_report
+
+    return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD, max_records=MAX_RECORDS, polls=POLLS)

@@ -260,3 +260,51 @@ def latest_per_key(df: DataFrame, key: str = "topic", version: str = "seen") ->
     cols = [c for c in df.columns if c not in (key,)]
     agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(version)).alias("_s"))
     return agg.select(key, "_s.*")
+
+
+# ---- multi-run scenarios: restart, late data, concurrent groups ---------------------------------------
+
+def split_by_time(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The events table as (older half, newer half) around the midpoint of its time range."""
+    from tidepool.sources.tables import read_table
+
+    e = read_table(spark, sf_dir, "events")
+    mid = e.agg((F.min("ts").cast("timestamp").cast("double") / 2
+                 + F.max("ts").cast("timestamp").cast("double") / 2).alias("m")).first()["m"]
+    cut = F.lit(mid).cast("timestamp").cast("timestamp_ntz")
+    return e.where(F.col("ts") < cut), e.where(F.col("ts") >= cut)
+
+
+def land(df: DataFrame, folder: str) -> None:
+    """Append a batch of raw events as new files of the landing folder a file stream reads."""
+    df.write.mode("append").parquet(folder)
+
+
+def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "*.parquet").parquet(folder)
+
+
+def progress_rows(progress: list) -> tuple[int, int]:
+    """(input rows, rows dropped by the watermark) summed over a run's micro-batches."""
+    rows = sum(p.get("numInputRows", 0) for p in progress)
+    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in progress for s in p.get("stateOperators", []))
+    return rows, dropped
+
+
+def run_concurrently(queries: dict[str, DataFrame], mode: str = "complete") -> dict[str, RunResult]:
+    """Independent consumer groups over one source: one streaming query and one checkpoint per group."""
+    started = {}
+    for name, df in queries.items():
+        spark = df.sparkSession
+        path, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+
+        def write(batch: DataFrame, batch_id: int, _p=path) -> None:
+            batch.write.mode("overwrite").parquet(_p)
+
+        q = _start(df.writeStream.outputMode(mode).foreachBatch(write).queryName(f"group_{name}"), ck)
+        started[name] = (q, path, ck)
+    out = {}
+    for name, (q, path, ck) in started.items():
+        q.awaitTermination()
+        out[name] = RunResult(path, ck, q.recentProgress)
+    return out
