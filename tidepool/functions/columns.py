@@ -68,3 +68,18 @@ def sign_class(x: Column) -> Column:
 def padded_id(prefix: str, width: int, n: Column) -> Column:
     """Zero-padded id that keeps every digit of oversize numbers (unlike lpad)."""
     return F.format_string(f"{prefix}%0{width}d", n)
+
+
+def avg_round(col: str | Column, scale_in: int, scale_out: int) -> Column:
+    """round(avg(col), scale_out) for values that are exact ``scale_in``-place decimals.
+
+    Averaging as DECIMAL keeps the mean exact, so rounding ties (common for small groups) resolve the
+    same way every time (half away from zero) instead of depending on float summation order.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(F.avg(c.cast(f"decimal(18,{scale_in})")), scale_out).cast("double")
+
+
+def pct_round(num: Column, den: Column, scale_out: int) -> Column:
+    """round(100 * num / den, scale_out) of integer counts, exact (decimal division)."""
+    return F.round((num * 100).cast("decimal(38,0)") / den.cast("decimal(38,0)"), scale_out).cast("double")

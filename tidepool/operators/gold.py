@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.functions.columns import avg_round
+
 
 def _non_null(df: DataFrame, keys: list[str]) -> DataFrame:
     cond = None
@@ -27,7 +29,7 @@ def topic_sentiment(posts: DataFrame) -> DataFrame:
     keys = ["topic", "sentiment_label"]
     return (_non_null(posts, keys).groupBy(*keys)
             .agg(F.count("post_id").alias("post_count"),
-                 F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment"),
+                 avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
                  F.sum("likes").cast("bigint").alias("total_likes"),
                  F.sum("shares").cast("bigint").alias("total_shares"),
                  F.round(F.sum("engagement_score"), 4).alias("total_engagement"),
@@ -42,20 +44,22 @@ def daily_trend(posts: DataFrame, window_rows: int = 7) -> DataFrame:
     keys = ["post_date", "topic"]
     daily = (_non_null(posts, keys).groupBy(*keys)
              .agg(F.count("post_id").alias("posts_count"),
-                  F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment"),
+                  avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
                   F.round(F.sum("engagement_score"), 4).alias("total_engagement")))
     w = Window.partitionBy("topic").orderBy("post_date").rowsBetween(-(window_rows - 1), 0)
-    return daily.withColumn("sentiment_7d_avg", F.round(F.avg("avg_sentiment").over(w), 4))
+    # The daily means are 4-place decimals; averaging them as decimals keeps ties exact.
+    return daily.withColumn("sentiment_7d_avg",
+                            F.round(F.avg(F.col("avg_sentiment").cast("decimal(18,4)")).over(w), 4).cast("double"))
 
 
 def platform_perf(posts: DataFrame) -> DataFrame:
     return (_non_null(posts, ["platform"]).groupBy("platform")
             .agg(F.count("post_id").alias("total_posts"),
-                 F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment"),
+                 avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
                  F.sum("likes").cast("bigint").alias("total_likes"),
                  F.sum("shares").cast("bigint").alias("total_shares"),
                  _viral_sum().alias("viral_posts"),
-                 F.round(F.avg("engagement_score"), 4).alias("avg_engagement")))
+                 avg_round("engagement_score", 0, 4).alias("avg_engagement")))
 
 
 def top_influencers(posts: DataFrame, users: DataFrame, n: int = 200) -> DataFrame:
@@ -68,7 +72,7 @@ def top_influencers(posts: DataFrame, users: DataFrame, n: int = 200) -> DataFra
     per_user = (_non_null(posts, ["user_id", "platform"]).groupBy("user_id", "platform")
                 .agg(F.count("post_id").alias("total_posts"),
                      F.sum("engagement_score").alias("total_engagement"),
-                     F.avg("sentiment_score").alias("avg_sentiment"),
+                     avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
                      _viral_sum().alias("viral_count")))
     attrs = users.select("user_id", "username", "followers", "follower_tier", "verified", "location")
     j = _non_null(per_user.join(attrs, "user_id", "inner"),
@@ -76,12 +80,12 @@ def top_influencers(posts: DataFrame, users: DataFrame, n: int = 200) -> DataFra
     top = j.orderBy(F.col("total_engagement").desc(), F.col("user_id"), F.col("platform")).limit(n)
     return top.select("user_id", "username", "followers", "follower_tier", "platform", "verified", "location",
                       "total_posts", F.round("total_engagement", 4).alias("total_engagement"),
-                      F.round("avg_sentiment", 4).alias("avg_sentiment"), "viral_count")
+                      "avg_sentiment", "viral_count")
 
 
 def hourly_pattern(posts: DataFrame) -> DataFrame:
     keys = ["post_hour", "platform"]
     return (_non_null(posts, keys).groupBy(*keys)
             .agg(F.count("post_id").alias("post_count"),
-                 F.round(F.avg("engagement_score"), 4).alias("avg_engagement"),
-                 F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment")))
+                 avg_round("engagement_score", 0, 4).alias("avg_engagement"),
+                 avg_round("sentiment_score", 4, 4).alias("avg_sentiment")))

@@ -31,7 +31,8 @@ def agreement(scored: DataFrame, truth: str = "sentiment_label", pred: str = "nl
     return scored.agg(
         F.count(F.lit(1)).alias("docs"),
         F.count_if(F.col(truth) == F.col(pred)).alias("agreeing"),
-        F.round(F.avg((F.col(truth) == F.col(pred)).cast("double")), 4).alias("agreement_rate"))
+        F.round(F.count_if(F.col(truth) == F.col(pred)).cast("decimal(38,0)")
+                / F.count(F.lit(1)).cast("decimal(38,0)"), 4).cast("double").alias("agreement_rate"))
 
 
 def confusion(scored: DataFrame, truth: str = "sentiment_label", pred: str = "nlp_label") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidepool.operators import analytics as A
 from tidepool.operators import ranking
 from tidepool.plans.common import s_api_logs, s_hashtag_trends, s_posts, s_users
+from tidepool.plans.oracle_views import exact_avg4
 from tidepool.plans.registry import query
 from tidepool.sources import views
 from tidepool.sources import warehouse as W
@@ -52,7 +53,7 @@ def q_dim_topics(spark, sf):
 
 
 @query("vw_topic_sentiment_rank", """
-select topic, sentiment_label, count(*) as post_count, round(avg(sentiment_score), 4) as avg_sentiment,
+select topic, sentiment_label, count(*) as post_count, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
   cast(sum(likes) as bigint) as total_likes, cast(sum(is_viral) as bigint) as viral_posts,
   cast(rank() over (partition by sentiment_label order by count(*) desc) as bigint) as topic_rank
 from fact_posts group by topic, sentiment_label""")
@@ -63,7 +64,7 @@ def q_vw_topic_sentiment_rank(spark, sf):
 @query("vw_influencer_impact", """
 with base as (
   select p.user_id, u.username, u.followers, u.follower_tier, count(p.post_id) as total_posts,
-    sum(p.engagement_score) as total_engagement, round(avg(p.sentiment_score), 4) as avg_sentiment,
+    sum(p.engagement_score) as total_engagement, (cast(sign(cast(sum(cast(p.sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(p.sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(p.sentiment_score)  * 10000) // (2 * count(p.sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
     cast(sum(p.is_viral) as bigint) as viral_count
   from fact_posts p join dim_users u on p.user_id = u.user_id
   group by p.user_id, u.username, u.followers, u.follower_tier)
@@ -76,7 +77,7 @@ def q_vw_influencer_impact(spark, sf):
 
 
 @query("vw_daily_sentiment_trend", """
-select post_date, topic, count(*) as daily_posts, round(avg(sentiment_score), 4) as avg_sentiment,
+select post_date, topic, count(*) as daily_posts, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
   cast(sum(likes) as bigint) as total_likes, cast(sum(is_viral) as bigint) as viral_count,
   round(sum(sum(engagement_score)) over (partition by topic order by post_date
         rows between 6 preceding and current row) / cast(7 as double), 2) as engagement_7d_avg
@@ -87,9 +88,9 @@ def q_vw_daily_sentiment_trend(spark, sf):
 
 @query("vw_platform_health", """
 select source, count(*) as total_calls, cast(sum(is_error) as bigint) as error_count,
-  round(cast(100 as double) * sum(is_error) / count(*), 2) as error_rate_pct,
-  cast(sum(is_rate_limited) as bigint) as rate_limit_hits, round(avg(response_time_ms), 1) as avg_latency_ms,
-  round(avg(records_fetched), 1) as avg_records_per_call
+  (cast((200 * cast(sum(is_error) as hugeint) * 100 + (count(*))) // (2 * (count(*))) as double) / 100) as error_rate_pct,
+  cast(sum(is_rate_limited) as bigint) as rate_limit_hits, (cast(sign(cast(sum(cast(response_time_ms as decimal(18, 2)))  * 100 as hugeint)) * ((2 * abs(cast(sum(cast(response_time_ms as decimal(18, 2)))  * 100 as hugeint)) * 10 + count(response_time_ms)  * 100) // (2 * count(response_time_ms)  * 100)) as double) / 10) as avg_latency_ms,
+  (cast(sign(cast(sum(cast(records_fetched as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(records_fetched as decimal(18, 0)))  * 1 as hugeint)) * 10 + count(records_fetched)  * 1) // (2 * count(records_fetched)  * 1)) as double) / 10) as avg_records_per_call
 from stg_api_logs group by source""")
 def q_vw_platform_health(spark, sf):
     return A.run_view(spark, "vw_platform_health", _tables(spark, sf))
@@ -98,8 +99,8 @@ def q_vw_platform_health(spark, sf):
 @query("vw_viral_content_analysis", """
 select platform, topic, sentiment_label, count(case when is_viral = 1 then 1 end) as viral_posts,
   count(*) as total_posts,
-  round(cast(100 as double) * count(case when is_viral = 1 then 1 end) / count(*), 2) as viral_rate_pct,
-  round(avg(case when is_viral = 1 then engagement_score end), 2) as avg_viral_engagement
+  (cast((200 * cast(count(case when is_viral = 1 then 1 end) as hugeint) * 100 + (count(*))) // (2 * (count(*))) as double) / 100) as viral_rate_pct,
+  (cast(sign(cast(sum(cast(case when is_viral = 1 then engagement_score end as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(case when is_viral = 1 then engagement_score end as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(case when is_viral = 1 then engagement_score end)  * 1) // (2 * count(case when is_viral = 1 then engagement_score end)  * 1)) as double) / 100) as avg_viral_engagement
 from fact_posts group by platform, topic, sentiment_label""")
 def q_vw_viral_content_analysis(spark, sf):
     return A.run_view(spark, "vw_viral_content_analysis", _tables(spark, sf))
@@ -108,7 +109,7 @@ def q_vw_viral_content_analysis(spark, sf):
 @query("kpis", """
 select count(*) as total_posts, count(distinct user_id) as unique_users, cast(sum(likes) as bigint) as total_likes,
   cast(sum(shares) as bigint) as total_shares, cast(sum(is_viral) as bigint) as viral_posts,
-  round(avg(sentiment_score), 4) as overall_sentiment, round(avg(engagement_score), 2) as avg_engagement,
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as overall_sentiment, (cast(sign(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(engagement_score)  * 1) // (2 * count(engagement_score)  * 1)) as double) / 100) as avg_engagement,
   cast(sum(case when sentiment_label = 'positive' then 1 else 0 end) as bigint) as positive_posts,
   cast(sum(case when sentiment_label = 'negative' then 1 else 0 end) as bigint) as negative_posts,
   cast(sum(case when sentiment_label = 'neutral' then 1 else 0 end) as bigint) as neutral_posts
@@ -117,9 +118,9 @@ def q_kpis(spark, sf):
     return A.kpis(_fact(spark, sf))
 
 
-_VELOCITY = """
+_VELOCITY = f"""
 select hashtag, topic, cast(sum(post_count) as bigint) as total_posts, cast(sum(total_likes) as bigint) as total_likes,
-  cast(sum(total_shares) as bigint) as total_shares, round(avg(avg_sentiment), 4) as avg_sentiment,
+  cast(sum(total_shares) as bigint) as total_shares, {exact_avg4("avg_sentiment")} as avg_sentiment,
   cast(sum(viral_count) as bigint) as total_viral,
   cast(rank() over (order by sum(post_count) desc) as bigint) as trend_rank
 from fact_hashtag_trends group by hashtag, topic
@@ -131,13 +132,13 @@ def q_hashtag_velocity(spark, sf):
     return A.hashtag_velocity(W.fact_hashtag_trends(s_hashtag_trends(spark, sf)))
 
 
-@query("user_segment", """
+@query("user_segment", f"""
 with user_stats as (
-  select user_id, count(*) as post_count, round(avg(sentiment_score), 4) as avg_sentiment,
+  select user_id, count(*) as post_count, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
     sum(engagement_score) as total_engagement, sum(is_viral) as viral_posts
   from fact_posts group by user_id)
-select u.follower_tier, count(distinct u.user_id) as user_count, round(avg(s.post_count), 1) as avg_posts,
-  round(avg(s.total_engagement), 2) as avg_engagement, round(avg(s.avg_sentiment), 4) as avg_sentiment,
+select u.follower_tier, count(distinct u.user_id) as user_count, (cast(sign(cast(sum(cast(s.post_count as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(s.post_count as decimal(18, 0)))  * 1 as hugeint)) * 10 + count(s.post_count)  * 1) // (2 * count(s.post_count)  * 1)) as double) / 10) as avg_posts,
+  (cast(sign(cast(sum(cast(s.total_engagement as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(s.total_engagement as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(s.total_engagement)  * 1) // (2 * count(s.total_engagement)  * 1)) as double) / 100) as avg_engagement, {exact_avg4("s.avg_sentiment")} as avg_sentiment,
   cast(sum(s.viral_posts) as bigint) as total_viral
 from dim_users u join user_stats s on u.user_id = s.user_id group by u.follower_tier""")
 def q_user_segment(spark, sf):
@@ -145,16 +146,16 @@ def q_user_segment(spark, sf):
 
 
 @query("primetime", """
-select post_hour, platform, count(*) as posts, round(avg(engagement_score), 2) as avg_engagement,
-  round(avg(sentiment_score), 4) as avg_sentiment,
-  round(cast(100 as double) * sum(is_viral) / count(*), 2) as viral_rate_pct
+select post_hour, platform, count(*) as posts, (cast(sign(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(engagement_score)  * 1) // (2 * count(engagement_score)  * 1)) as double) / 100) as avg_engagement,
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
+  (cast((200 * cast(sum(is_viral) as hugeint) * 100 + (count(*))) // (2 * (count(*))) as double) / 100) as viral_rate_pct
 from fact_posts group by post_hour, platform""")
 def q_primetime(spark, sf):
     return A.primetime(_fact(spark, sf))
 
 
 @query("panel_daily_trend", """
-with d as (select post_date, round(avg(sentiment_score), 4) as avg_sentiment, count(*) as posts
+with d as (select post_date, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment, count(*) as posts
            from fact_posts group by post_date)
 select *, round(avg(avg_sentiment) over (order by post_date rows between 6 preceding and current row), 8)
   as rolling_7 from d""")
@@ -164,7 +165,7 @@ def q_panel_daily_trend(spark, sf):
 
 @query("panel_label_share", """
 with c as (select sentiment_label, count(*) as posts from fact_posts group by sentiment_label)
-select *, round(cast(100 as double) * posts / sum(posts) over (), 1) as share_pct from c""")
+select *, (cast((200 * cast(posts as hugeint) * 10 + (sum(posts) over ())) // (2 * (sum(posts) over ())) as double) / 10) as share_pct from c""")
 def q_panel_label_share(spark, sf):
     return A.panel_label_share(_fact(spark, sf))
 
@@ -179,7 +180,7 @@ def q_panel_topic_pivot(spark, sf):
 
 
 @query("panel_platform", """
-select platform, round(avg(engagement_score), 2) as avg_eng, count(*) as posts from fact_posts group by platform""")
+select platform, (cast(sign(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(engagement_score)  * 1) // (2 * count(engagement_score)  * 1)) as double) / 100) as avg_eng, count(*) as posts from fact_posts group by platform""")
 def q_panel_platform(spark, sf):
     return A.panel_platform(_fact(spark, sf))
 
@@ -200,8 +201,8 @@ def q_panel_hourly(spark, sf):
 
 
 @query("panel_api_health", """
-with a as (select endpoint, round(cast(100 as double) * sum(is_error) / count(*), 1) as error_pct,
-             round(avg(response_time_ms), 0) as avg_ms from stg_api_logs group by endpoint)
+with a as (select endpoint, (cast((200 * cast(sum(is_error) as hugeint) * 10 + (count(*))) // (2 * (count(*))) as double) / 10) as error_pct,
+             (cast(sign(cast(sum(cast(response_time_ms as decimal(18, 2)))  * 100 as hugeint)) * ((2 * abs(cast(sum(cast(response_time_ms as decimal(18, 2)))  * 100 as hugeint)) * 1 + count(response_time_ms)  * 100) // (2 * count(response_time_ms)  * 100)) as double) / 1) as avg_ms from stg_api_logs group by endpoint)
 select *, case when error_pct > 20 then 'critical' when error_pct > 10 then 'warning' else 'ok' end as severity from a""")
 def q_panel_api_health(spark, sf):
     return A.panel_api_health(W.stg_api_logs(s_api_logs(spark, sf)))
@@ -209,7 +210,7 @@ def q_panel_api_health(spark, sf):
 
 @query("post_stats", """
 select count(*) as total_posts, cast(sum(cast(is_viral as int)) as bigint) as viral_posts,
-  round(avg(sentiment_score), 4) as sentiment_mean, round(stddev_pop(sentiment_score), 4) as sentiment_std,
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as sentiment_mean, round(stddev_pop(sentiment_score), 4) as sentiment_std,
   cast(sum(case when sentiment_label = 'positive' then 1 else 0 end) as bigint) as positive_posts,
   cast(sum(case when sentiment_label = 'negative' then 1 else 0 end) as bigint) as negative_posts
 from posts""")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import gold
 from tidepool.plans.common import s_api_logs, s_hashtag_trends, s_posts, s_users
+from tidepool.plans.oracle_views import exact_avg4
 from tidepool.plans.registry import query
 from tidepool.sources import views
 
@@ -36,7 +37,7 @@ def q_hashtag_trends(spark, sf):
 
 
 @query("gold_topic_sentiment", """
-select topic, sentiment_label, count(post_id) as post_count, round(avg(sentiment_score), 4) as avg_sentiment,
+select topic, sentiment_label, count(post_id) as post_count, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
   cast(sum(likes) as bigint) as total_likes, cast(sum(shares) as bigint) as total_shares,
   round(sum(engagement_score), 4) as total_engagement, cast(sum(cast(is_viral as int)) as bigint) as viral_posts
 from s_posts where topic is not null and sentiment_label is not null
@@ -45,22 +46,22 @@ def q_gold_topic_sentiment(spark, sf):
     return gold.topic_sentiment(s_posts(spark, sf))
 
 
-@query("gold_daily_trend", """
+@query("gold_daily_trend", f"""
 with d as (
-  select post_date, topic, count(post_id) as posts_count, round(avg(sentiment_score), 4) as avg_sentiment,
+  select post_date, topic, count(post_id) as posts_count, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
     round(sum(engagement_score), 4) as total_engagement
   from s_posts where post_date is not null and topic is not null group by post_date, topic)
-select *, round(avg(avg_sentiment) over (partition by topic order by post_date
-                                         rows between 6 preceding and current row), 4) as sentiment_7d_avg
+select *, {exact_avg4("avg_sentiment", "over (partition by topic order by post_date rows between 6 preceding and current row)")}
+  as sentiment_7d_avg
 from d""")
 def q_gold_daily_trend(spark, sf):
     return gold.daily_trend(s_posts(spark, sf))
 
 
 @query("gold_platform_perf", """
-select platform, count(post_id) as total_posts, round(avg(sentiment_score), 4) as avg_sentiment,
+select platform, count(post_id) as total_posts, (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
   cast(sum(likes) as bigint) as total_likes, cast(sum(shares) as bigint) as total_shares,
-  cast(sum(cast(is_viral as int)) as bigint) as viral_posts, round(avg(engagement_score), 4) as avg_engagement
+  cast(sum(cast(is_viral as int)) as bigint) as viral_posts, (cast(sign(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * 10000 + count(engagement_score)  * 1) // (2 * count(engagement_score)  * 1)) as double) / 10000) as avg_engagement
 from s_posts where platform is not null group by platform""")
 def q_gold_platform_perf(spark, sf):
     return gold.platform_perf(s_posts(spark, sf))
@@ -69,7 +70,7 @@ def q_gold_platform_perf(spark, sf):
 @query("gold_top_influencers", """
 select u.user_id, u.username, u.followers, u.follower_tier, p.platform, u.verified, u.location,
   count(p.post_id) as total_posts, round(sum(p.engagement_score), 4) as total_engagement,
-  round(avg(p.sentiment_score), 4) as avg_sentiment, cast(sum(cast(p.is_viral as int)) as bigint) as viral_count
+  (cast(sign(cast(sum(cast(p.sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(p.sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(p.sentiment_score)  * 10000) // (2 * count(p.sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment, cast(sum(cast(p.is_viral as int)) as bigint) as viral_count
 from s_posts p join s_users u on p.user_id = u.user_id
 where p.platform is not null and u.username is not null and u.followers is not null
   and u.follower_tier is not null and u.verified is not null and u.location is not null
@@ -81,8 +82,8 @@ def q_gold_top_influencers(spark, sf):
 
 
 @query("gold_hourly_pattern", """
-select post_hour, platform, count(post_id) as post_count, round(avg(engagement_score), 4) as avg_engagement,
-  round(avg(sentiment_score), 4) as avg_sentiment
+select post_hour, platform, count(post_id) as post_count, (cast(sign(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(engagement_score as decimal(18, 0)))  * 1 as hugeint)) * 10000 + count(engagement_score)  * 1) // (2 * count(engagement_score)  * 1)) as double) / 10000) as avg_engagement,
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment
 from s_posts where post_hour is not null and platform is not null group by post_hour, platform""")
 def q_gold_hourly_pattern(spark, sf):
     return gold.hourly_pattern(s_posts(spark, sf))

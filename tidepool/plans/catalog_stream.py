@@ -121,7 +121,7 @@ def q_stream_topic_counts(spark, sf):
 @query("stream_platform_stats", """
 select platform, count(*) as posts, cast(sum(likes) as bigint) as total_likes,
   cast(sum(case when likes > 5000 then 1 else 0 end) as bigint) as viral_posts,
-  round(sum(sentiment_score) / greatest(count(*), 1), 4) as avg_sentiment
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment
 from posts group by platform""")
 def q_stream_platform_stats(spark, sf):
     r = J.run_snapshot(J.platform_stats(_posts_stream(spark, sf)), "platform-stats", finish=J.finish_platform_stats)

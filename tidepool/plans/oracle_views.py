@@ -47,7 +47,7 @@ from events""",
     "hashtag_trends": """
 select cast(posted_at as date) as trend_date, t.tag as hashtag, topic, count(*) as post_count,
   cast(sum(likes) as bigint) as total_likes, cast(sum(shares) as bigint) as total_shares,
-  round(avg(sentiment_score), 4) as avg_sentiment,
+  (cast(sign(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * ((2 * abs(cast(sum(cast(sentiment_score as decimal(18, 4)))  * 10000 as hugeint)) * 10000 + count(sentiment_score)  * 10000) // (2 * count(sentiment_score)  * 10000)) as double) / 10000) as avg_sentiment,
   cast(sum(case when is_viral then 1 else 0 end) as bigint) as viral_count
 from posts, unnest(string_split(hashtags, '|')) t(tag)
 group by cast(posted_at as date), t.tag, topic""",
@@ -129,3 +129,23 @@ def with_views(sql: str) -> str:
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
+
+
+def exact_avg4(x: str, over: str = "") -> str:
+    """DuckDB: mean of 4-place decimals rounded to 4 places, ties away from zero, in integer arithmetic."""
+    i = f"cast(sum(cast({x} as decimal(18, 4))) {over} * 10000 as bigint)"
+    n = f"count({x}) {over}"
+    return f"(cast(sign({i}) * ((2 * abs({i}) + {n}) // (2 * {n})) as double) / 10000)"
+
+
+def exact_avg(x: str, s: int, t: int, over: str = "") -> str:
+    """DuckDB: round(avg(x), t) for exact s-place decimal values, ties away from zero, integer arithmetic."""
+    i = f"cast(sum(cast({x} as decimal(18, {s}))) {over} * {10 ** s} as hugeint)"
+    n = f"count({x}) {over}"
+    return (f"(cast(sign({i}) * ((2 * abs({i}) * {10 ** t} + {n} * {10 ** s}) // (2 * {n} * {10 ** s})) as double)"
+            f" / {10 ** t})")
+
+
+def exact_pct(num: str, den: str, t: int) -> str:
+    """DuckDB: round(100 * num / den, t) for non-negative integer counts, ties away from zero."""
+    return f"(cast((200 * cast({num} as hugeint) * {10 ** t} + ({den})) // (2 * ({den})) as double) / {10 ** t})"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidepool.functions.columns import avg_round
 from tidepool.functions.text import tokenize
 from tidepool.sources.tables import read_table
 
@@ -123,7 +124,7 @@ def hashtag_trends_from(p: DataFrame) -> DataFrame:
              .agg(F.count(F.lit(1)).alias("post_count"),
                   F.sum("likes").cast("bigint").alias("total_likes"),
                   F.sum("shares").cast("bigint").alias("total_shares"),
-                  F.round(F.avg("sentiment_score"), 4).alias("avg_sentiment"),
+                  avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
                   F.sum(F.col("is_viral").cast("int")).cast("bigint").alias("viral_count")))
 
 

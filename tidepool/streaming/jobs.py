@@ -130,13 +130,13 @@ def platform_stats(posts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("posts"),
         F.sum(F.coalesce("likes", F.lit(0))).cast("bigint").alias("total_likes"),
         F.sum(F.coalesce("is_viral", F.lit(False)).cast("int")).cast("bigint").alias("viral_posts"),
-        F.sum(F.coalesce("sentiment_score", F.lit(0.0))).alias("sentiment_sum"))
+        F.sum(F.coalesce("sentiment_score", F.lit(0.0)).cast("decimal(18,4)")).alias("sentiment_sum"))
 
 
 def finish_platform_stats(snapshot: DataFrame) -> DataFrame:
     return snapshot.select("platform", "posts", "total_likes", "viral_posts",
-                           F.round(F.col("sentiment_sum") / F.greatest(F.col("posts"), F.lit(1)), 4)
-                           .alias("avg_sentiment"))
+                           F.round(F.col("sentiment_sum") / F.greatest(F.col("posts"), F.lit(1)).cast("decimal(38,0)"), 4)
+                           .cast("double").alias("avg_sentiment"))
 
 
 def hashtag_velocity(trends: DataFrame) -> DataFrame:
