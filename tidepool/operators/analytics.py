@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.columns import avg_round, pct_round, severity_band, sign_class
-from tidepool.operators.ranking import global_ntile, global_rank
+from tidepool.operators.ranking import global_cumsum, global_rank, ntile_of
+from tidepool.session import ensure_checkpoint_dir
 
 # Named analytic views (Spark SQL). Fractions are written as doubles: a bare 100.0 is DECIMAL in Spark.
 NAMED_VIEWS: dict[str, str] = {
@@ -92,8 +93,13 @@ def run_named_views(spark: SparkSession, tables: Mapping[str, DataFrame], out_ro
 def influencer_impact(fact_posts: DataFrame, dim_users: DataFrame, n: int = 100) -> DataFrame:
     """Per-user impact with global engagement quartile (NTILE 4) and viral rank, top ``n`` by engagement.
 
-    Posts are aggregated per user before the join (map-side partial aggregation), the join moves one row
-    per user, and the two global windows run on the per-user table without a single-partition exchange.
+    Posts are aggregated per user before the join (map-side partial aggregation), so the join moves one
+    row per user. The LIMIT keeps only the first ``n`` rows of the engagement order, so both global
+    windows are evaluated for those rows only, without sorting the per-user table:
+      * NTILE(4): the survivors' positions are 1..n, and the tile follows from position and the table's
+        row count (a scalar subquery);
+      * RANK by viral_count: 1 + number of users with a larger viral_count, read from a running count
+        over the distinct viral_count values (a small table, range-partitioned, never one task).
     """
     per_user = fact_posts.groupBy("user_id").agg(
         F.count("post_id").alias("total_posts"),
@@ -101,12 +107,20 @@ def influencer_impact(fact_posts: DataFrame, dim_users: DataFrame, n: int = 100)
         avg_round("sentiment_score", 4, 4).alias("avg_sentiment"),
         F.sum("is_viral").cast("bigint").alias("viral_count"))
     base = per_user.join(dim_users.select("user_id", "username", "followers", "follower_tier"), "user_id")
-    q = global_ntile(base, 4, [F.col("total_engagement").desc(), F.col("user_id")], out="engagement_quartile")
-    r = global_rank(q, "viral_count", descending=True, tiebreak=["user_id"], out="viral_rank")
-    top = r.orderBy(F.col("total_engagement").desc(), F.col("user_id")).limit(n)
-    return top.select("user_id", "username", "followers", "follower_tier", "total_posts", "total_engagement",
-                      "avg_sentiment", "viral_count", "engagement_quartile",
-                      F.col("viral_rank").cast("bigint").alias("viral_rank"))
+    # Read three times below: pin it once in the shared checkpoint folder (one row per user).
+    ensure_checkpoint_dir(base.sparkSession)
+    base = base.checkpoint(eager=True)
+    total = base.agg(F.count(F.lit(1))).scalar()
+    order = [F.col("total_engagement").desc(), F.col("user_id")]
+    top = base.orderBy(*order).limit(n)  # TakeOrderedAndProject: n rows per task, merged
+    top = top.withColumn("_rn", F.row_number().over(Window.orderBy(*order)))  # at most n rows
+    values = base.groupBy("viral_count").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = global_cumsum(values, [F.col("viral_count").desc_nulls_last()], "_n", "_cum")
+    j = ahead.join(F.broadcast(top), "viral_count")  # the n survivors are the broadcast side
+    return j.select("user_id", "username", "followers", "follower_tier", "total_posts", "total_engagement",
+                    "avg_sentiment", "viral_count",
+                    ntile_of(F.col("_rn"), total, 4).alias("engagement_quartile"),
+                    (F.col("_cum") - F.col("_n") + 1).cast("bigint").alias("viral_rank"))
 
 
 def kpis(fact_posts: DataFrame) -> DataFrame:
@@ -213,21 +227,22 @@ def confidence_histogram(scored: DataFrame, label: str = "nlp_label", value: str
                          bins: int = 30) -> DataFrame:
     """Per-label histogram with ``bins`` equal bins between the label's min and max (last bin closed).
 
-    When min == max the range is widened to +-0.5, as common histogram routines do. Per-label bounds are
-    a tiny aggregate (one row per label) broadcast back; the counting is one grouped aggregate.
+    When min == max the range is widened to +-0.5, as common histogram routines do. One pass over the
+    rows reduces them to (label, value, count) (confidences are 4-place values, so this table is bounded
+    by labels x 10^4); bounds and bins are computed on that small table.
     """
-    lohi = scored.groupBy(label).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    lohi = lohi.select(label,
-                       F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("lo"),
-                       F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("hi"))
-    j = scored.select(label, value).join(F.broadcast(lohi), label)
+    vc = scored.groupBy(label, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(label)
+    mn, mx = F.min(value).over(w), F.max(value).over(w)
+    b = (vc.withColumn("lo", F.when(mn == mx, mn - 0.5).otherwise(mn))
+           .withColumn("hi", F.when(mn == mx, mx + 0.5).otherwise(mx)))
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    b = F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(bins - 1)).cast("bigint")
-    h = j.groupBy(label, b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
+    binned = b.withColumn("bin", F.least(F.floor((F.col(value) - F.col("lo")) / width), F.lit(bins - 1)).cast("bigint"))
+    h = binned.groupBy(label, "bin", "lo", "hi").agg(F.sum("_n").alias("count"))
     return h.select(label, "bin",
                     F.round(F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / bins, 6).alias("bin_lo"),
                     F.round(F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / bins, 6).alias("bin_hi"),
-                    "count")
+                    F.col("count").cast("bigint").alias("count"))
 
 
 def post_stats(posts: DataFrame) -> DataFrame:

@@ -82,17 +82,24 @@ def _long_numeric(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75)) -> DataFrame:
-    """Exact linear-interpolated quantiles of every numeric column: (dataset, column_name, q1, q3, n).
+def value_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
+    """(dataset, column_name, value, n): distinct numeric values and their multiplicity.
+
+    A partial + final aggregate: a value repeated a billion times ships one row per task.
+    """
+    return _long_numeric(datasets).groupBy("dataset", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    Scales without a per-group value map: values are first reduced to distinct (value, count) pairs,
-    a global running count over (dataset, column, value) locates every target order statistic, and a
-    tiny per-column target table (broadcast) picks the two neighbours to interpolate between.
+
+def quartiles_from_counts(counts: DataFrame, probs=(0.25, 0.75)) -> tuple[DataFrame, DataFrame]:
+    """Exact linear-interpolated quantiles from a value-count table; returns (quartiles, pinned counts).
+
+    A global running count over (dataset, column, value) locates every target order statistic, and a
+    tiny per-column target table (broadcast) picks the two neighbours to interpolate between. The
+    running-count table is checkpointed, so callers can reuse it (see ``outliers``) without a rescan.
     """
-    counts = _long_numeric(datasets).groupBy("dataset", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     key = ["dataset", "column_name"]
     cum = global_cumsum(counts, key + ["value"], "n", "cum")
-    sizes = counts.groupBy(*key).agg(F.sum("n").alias("group_n"))
+    sizes = cum.groupBy(*key).agg(F.sum("n").alias("group_n"))  # reads the checkpoint, one row per column
     sizes = sizes.withColumn(
         "group_off", F.coalesce(F.sum("group_n").over(Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)),
                                 F.lit(0)))
@@ -111,23 +118,37 @@ def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75)) -> DataFram
     picked = hit.groupBy(*key, "group_n", "pi", "frac").agg(
         F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("vhi"))
-    q = picked.select(*key, "group_n", "pi", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
+    q = picked.select(*key, "group_n", "pi",
+                      (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
     out = q.groupBy(*key).agg(F.max("group_n").alias("n"),
                               *[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
-    return out.select(*key, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").cast("bigint").alias("n"))
+    quart = out.select(*key, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").cast("bigint").alias("n"))
+    return quart, cum.select(*key, "value", "n")
+
 
+def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75)) -> DataFrame:
+    """Exact quartiles of every numeric column: (dataset, column_name, q1, q3, n).
+
+    Scales without a per-group value map (what an exact percentile aggregate keeps): see
+    ``quartiles_from_counts``.
+    """
+    return quartiles_from_counts(value_counts(datasets), probs)[0]
 
-def outliers(datasets: Mapping[str, DataFrame], q: DataFrame | None = None,
-             factor: float = OUTLIER_IQR_FACTOR) -> DataFrame:
-    """(dataset, column_name, outliers): values strictly beyond [Q1 - f*IQR, Q3 + f*IQR]; only > 0 rows."""
-    q = q if q is not None else quartiles(datasets)
+
+def outliers(datasets: Mapping[str, DataFrame], factor: float = OUTLIER_IQR_FACTOR,
+             pinned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """(dataset, column_name, outliers): values strictly beyond [Q1 - f*IQR, Q3 + f*IQR]; only > 0 rows.
+
+    Counted on the distinct-value table the quartiles were computed from (no second pass over rows).
+    """
+    q, counts = pinned if pinned is not None else quartiles_from_counts(value_counts(datasets))
     iqr = F.col("q3") - F.col("q1")
     bounds = q.select("dataset", "column_name", (F.col("q1") - factor * iqr).alias("lo"),
                       (F.col("q3") + factor * iqr).alias("hi"))
-    long = _long_numeric(datasets)
-    j = long.join(F.broadcast(bounds), ["dataset", "column_name"])
+    j = counts.join(F.broadcast(bounds), ["dataset", "column_name"])
+    out = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
     c = j.groupBy("dataset", "column_name").agg(
-        F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).cast("bigint").alias("outliers"))
+        F.sum(F.when(out, F.col("n")).otherwise(0)).cast("bigint").alias("outliers"))
     return c.where(F.col("outliers") > 0)
 
 
@@ -162,14 +183,14 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, child_id: str) -> Dat
 
 def issues(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Long-form issue table (dataset, check, column_name, n), only checks that found something."""
-    q = quartiles(datasets)
+    pinned = quartiles_from_counts(value_counts(datasets))
     parts = [
         null_counts(datasets).select("dataset", F.lit("nulls").alias("check"), "column_name",
                                      F.col("null_count").alias("n")),
         duplicate_rows(datasets).where(F.col("duplicate_rows") > 0).select(
             "dataset", F.lit("duplicates").alias("check"), F.lit(None).cast("string").alias("column_name"),
             F.col("duplicate_rows").alias("n")),
-        outliers(datasets, q).select("dataset", F.lit("outliers").alias("check"), "column_name",
+        outliers(datasets, pinned=pinned).select("dataset", F.lit("outliers").alias("check"), "column_name",
                                      F.col("outliers").alias("n")),
         range_violations(datasets).where(F.col("violations") > 0).select(
             "dataset", F.lit("sentiment_range_violation").alias("check"), "column_name",

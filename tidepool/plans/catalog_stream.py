@@ -63,7 +63,8 @@ with {_SQL_TOPIC}, ends as (select partition, count(*) as end_offset from logged
 select partition, end_offset, least(end_offset, {MAX_RECORDS * POLLS}) as committed,
   end_offset - least(end_offset, {MAX_RECORDS * POLLS}) as lag from ends""")
 def q_consumer_lag(spark, sf):
-    t = posts_topic(spark, sf)
+    # end offsets are message counts per partition: routing is enough, no per-message offsets needed
+    t = R.route(views.posts(spark, sf).select("post_id"), "post_id", POST_PARTITIONS)
     return R.consumer_lag(R.end_offsets(t), R.committed_after(t, MAX_RECORDS, POLLS))
 
 

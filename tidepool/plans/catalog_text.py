@@ -172,7 +172,7 @@ select r.query_id, r.rank, r.doc_id, round(r.score, 4) as relevance_score, d.lan
 from r join docs d on r.doc_id = d.doc_id where r.rank <= 10""")
 def q_search_topk(spark, sf):
     dt = views.doc_tokens(spark, sf)
-    n_docs = dt.count()
+    n_docs = views.docs(spark, sf).count()  # N: a row count, answered from Parquet metadata where possible
     hits = S.search(views.search_queries(spark, sf), S.postings(dt), n_docs, k=10)
     docs = views.docs(spark, sf).select("doc_id", "lang", "source", "sentiment_label")
     # at most k rows per query on the left: the join fetches the document fields for the hits only

@@ -59,7 +59,7 @@ from events where event_type = 'view'""",
 select d.doc_id, d.text, d.lang, d.source,
   case l.quality when 1 then 'positive' when 0 then 'negative' else 'neutral' end as sentiment_label
 from documents d left join labels l on d.doc_id = l.doc_id""",
-    "doc_tokens": f"select doc_id, {_TOK} as tokens from docs",
+    "doc_tokens": f"select doc_id, {_TOK} as tokens from documents",
     "search_queries": f"select item_id as query_id, {_TOK} as tokens from benchmark",
     "posts_with_replays": "select * from posts union all select * from posts where event_id % 97 = 0",
     "users_missing_some": "select * from users where user_id % 37 <> 0",

@@ -156,7 +156,9 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    """Tokens per document, straight from the documents scan (no label join needed)."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", tokenize(F.col("text")).alias("tokens"))
 
 
 def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
