@@ -70,7 +70,7 @@ def q_consumer_lag(spark, sf):
 
 @query("topic_stats", f"""
 with {_SQL_TOPIC}, c as (select partition, count(*) as messages from topic group by partition)
-select *, sum(messages) over () as total_messages from c""")
+select *, cast(sum(messages) over () as bigint) as total_messages from c""")
 def q_topic_stats(spark, sf):
     p = views.posts(spark, sf).select("post_id")
     return R.topic_stats(R.route(p, "post_id", POST_PARTITIONS))
