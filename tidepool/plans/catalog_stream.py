@@ -229,3 +229,19 @@ def q_stream_report_json(spark, sf):
     from tidepool.streaming.report import stream_report
 
     return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD, max_records=MAX_RECORDS, polls=POLLS)
+
+
+@query("stream_alerts_event_time", f"""
+with t as (select post_id, topic, posted_at,
+             sum(cast(sentiment_score as decimal(18, 4))) over w * cast(0.05 as decimal(4, 2)) as m,
+             count(*) over w as c
+           from posts
+           window w as (partition by topic order by posted_at, event_id rows between 19 preceding and current row))
+select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg
+from t where c = 20 and m < cast({CHECK_THRESHOLD} as decimal(18, 4))
+  and epoch_us(posted_at) <= ((select epoch_us(max(ts)) from events) // 1000 - 600000) * 1000""")
+def q_stream_alerts_event_time(spark, sf):
+    """Alerts released by the watermark (10 minutes): equal to the batch alerts up to the final watermark."""
+    alerts = J.spike_alerts_event_time(_posts_stream(spark, sf), width=20, threshold=CHECK_THRESHOLD,
+                                       delay="10 minutes")
+    return J.read_result(spark, J.run_append(alerts, "alerts-event-time"))

@@ -255,6 +255,61 @@ def last_n_means(posts: DataFrame, n: int = 100) -> DataFrame:
         last_n_processor(n), LASTN_OUT, _RING_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+_PENDING_STATE = T.StructType([
+    T.StructField("ring", T.ArrayType(T.LongType())), T.StructField("seen", T.LongType()),
+    T.StructField("p_us", T.ArrayType(T.LongType())), T.StructField("p_id", T.ArrayType(T.LongType())),
+    T.StructField("p_post", T.ArrayType(T.StringType())), T.StructField("p_e4", T.ArrayType(T.LongType()))])
+
+
+def spike_processor_event_time(width: int, threshold: float):
+    """Event-time form: rows wait in state until the watermark passes them, then enter the ring in
+    (event time, event id) order, whatever order they arrived in. An event-time timeout at the earliest
+    pending time re-invokes the key once the watermark has moved past it."""
+    limit_e4 = round(threshold * _E4 * width)
+
+    def fn(key, pdfs, state):
+        if state.exists:
+            ring, seen, p_us, p_id, p_post, p_e4 = state.get
+            ring, pending = list(ring), list(zip(p_us, p_id, p_post, p_e4))
+        else:
+            ring, seen, pending = [], 0, []
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for us, eid, pid, s in zip(pdf["_us"], pdf["event_id"], pdf["post_id"], pdf["sentiment_score"]):
+                    pending.append((int(us), int(eid), pid, int(round(float(s) * _E4))))
+        wm_us = state.getCurrentWatermarkMs() * 1000
+        pending.sort()
+        ready = [r for r in pending if r[0] <= wm_us]
+        pending = [r for r in pending if r[0] > wm_us]
+        out = []
+        for _, _, pid, e4 in ready:
+            ring.append(e4)
+            if len(ring) > width:
+                ring.pop(0)
+            seen += 1
+            if len(ring) == width and sum(ring) < limit_e4:
+                out.append(("NEGATIVE_SENTIMENT_SPIKE", pid, key[0], _round_half_away(sum(ring), width)))
+        state.update((ring, seen, [r[0] for r in pending], [r[1] for r in pending],
+                      [r[2] for r in pending], [r[3] for r in pending]))
+        if pending:
+            state.setTimeoutTimestamp(pending[0][0] // 1000)
+        yield pd.DataFrame(out, columns=["alert_type", "post_id", "topic", "window_avg"])
+
+    return fn
+
+
+def spike_alerts_event_time(posts: DataFrame, width: int = 20, threshold: float = -0.5,
+                            delay: str = "10 minutes") -> DataFrame:
+    """Per-topic alerts in event-time order under a watermark: robust to out-of-order arrival; rows later
+    than the watermark are dropped by the stateful operator, rows newer than it wait in state."""
+    cols = (posts.where(F.col("event_type") == POST_EVENT).withWatermark("event_time", delay)
+                 .select("topic", "post_id", "event_id", "event_time", "sentiment_score",
+                         F.unix_micros("event_time").alias("_us")))
+    return cols.groupBy("topic").applyInPandasWithState(
+        spike_processor_event_time(width, threshold), SPIKE_OUT, _PENDING_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout)
+
+
 def latest_per_key(df: DataFrame, key: str = "topic", version: str = "seen") -> DataFrame:
     """Final state per key from an append log of per-batch snapshots (a max_by aggregate, partial-combined)."""
     cols = [c for c in df.columns if c not in (key,)]
