@@ -198,3 +198,36 @@ def test_offsets_gap_free_per_partition(spark):
         F.countDistinct("offset").alias("d")).collect()
     for r in got:
         assert r.lo == 0 and r.hi == r.n - 1 and r.d == r.n
+
+
+def test_api_status_flags(spark):
+    from tidepool.operators.silver import silver_api_logs
+    df = spark.createDataFrame([(s, dt) for s, dt in [(200, None), (404, None), (429, None), (500, None)]],
+                               "status_code bigint, log_ts timestamp_ntz")
+    got = [(r.is_error, r.is_rate_limited) for r in silver_api_logs(df).orderBy("status_code").collect()]
+    assert got == [(False, False), (True, False), (True, True), (True, False)]
+
+
+def test_viral_rule_batch_vs_stream(spark):
+    from tidepool.streaming.jobs import VIRAL_LIKES_STREAM
+    likes, shares = 4900, 200
+    assert (likes + shares > 5000) is True        # batch rule: likes + shares
+    assert (likes > VIRAL_LIKES_STREAM) is False  # stream rule: likes only
+
+
+def test_unmatched_post_absent_from_top_influencers(spark):
+    from tidepool.operators.gold import top_influencers
+    posts = spark.createDataFrame(
+        [("p1", 1, "Reddit", 10.0, 0.1, False), ("p2", 99, "Reddit", 500.0, 0.2, True)],
+        "post_id string, user_id long, platform string, engagement_score double, sentiment_score double, "
+        "is_viral boolean")
+    users = spark.createDataFrame([(1, "u1", 5, "Nano", False, "X")],
+                                  "user_id long, username string, followers long, follower_tier string, "
+                                  "verified boolean, location string")
+    assert [r.user_id for r in top_influencers(posts, users).collect()] == [1]
+
+
+def test_tier_boundary_influencer_is_micro(spark):
+    df = spark.createDataFrame([(10000,)], "f bigint")
+    r = df.select(C.is_influencer(F.col("f")), C.follower_tier(F.col("f"))).first()
+    assert tuple(r) == (True, "Micro")
