@@ -77,9 +77,13 @@ def posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) ->
     )
 
 
-def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One user per customer; nation is a fixed 25-row dimension, so broadcasting it is bounded."""
-    c = read_table(spark, sf_dir, "customer")
+def users(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None) -> DataFrame:
+    """One user per customer; nation is a fixed 25-row dimension, so broadcasting it is bounded.
+
+    ``customer`` overrides the scan (e.g. a bronze read); its bookkeeping columns ('_' prefix) pass through.
+    """
+    c = customer if customer is not None else read_table(spark, sf_dir, "customer")
+    meta = [F.col(x) for x in c.columns if x.startswith("_")]
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "inner")
     uid = F.col("c_custkey")
@@ -93,6 +97,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(30) + uid % 3620).alias("account_age_days"),
         F.concat(F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")), F.lit("@"),
                  F.lower(F.col("c_mktsegment")), F.lit(".com")).alias("email"),
+        *meta,
     )
 
 

@@ -58,12 +58,19 @@ def dim_topics(posts: DataFrame) -> DataFrame:
     return numbered.select("topic_id", "topic_name", F.lit(None).cast("string").alias("category"))
 
 
-def write_layer(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Overwrite one folder per table under ``root`` (Parquet by default, headered CSV on request)."""
+def write_layer(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
+                partition_by: Mapping[str, Sequence[str]] | None = None) -> dict[str, str]:
+    """Overwrite one folder per table under ``root`` (Parquet by default, headered CSV on request).
+
+    ``partition_by`` names Hive-style partition columns per table (e.g. a date), so later date filters
+    prune whole folders.
+    """
     out = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
         w = df.write.mode("overwrite")
+        if partition_by and partition_by.get(name):
+            w = w.partitionBy(*partition_by[name])
         if fmt == "csv":
             w.option("header", True).csv(path)
         else:
