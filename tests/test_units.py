@@ -231,3 +231,15 @@ def test_tier_boundary_influencer_is_micro(spark):
     df = spark.createDataFrame([(10000,)], "f bigint")
     r = df.select(C.is_influencer(F.col("f")), C.follower_tier(F.col("f"))).first()
     assert tuple(r) == (True, "Micro")
+
+
+@pytest.mark.parametrize("exact_below", [0, 10 ** 9])
+def test_banded_quartiles_are_exact(spark, exact_below):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([rng.integers(0, 50, 4000), rng.normal(0, 1000, 3000).round(2), [7.0] * 3000])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    q = Q.quartiles({"t": df}, accuracy=1000, exact_below=exact_below).first()
+    assert q.n == len(vals)
+    assert q.q1 == pytest.approx(float(np.percentile(vals, 25)), abs=1e-9)
+    assert q.q3 == pytest.approx(float(np.percentile(vals, 75)), abs=1e-9)

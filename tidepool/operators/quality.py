@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.ranking import global_cumsum
+from tidepool.session import ensure_checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -82,73 +83,115 @@ def _long_numeric(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def value_counts(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """(dataset, column_name, value, n): distinct numeric values and their multiplicity.
-
-    A partial + final aggregate: a value repeated a billion times ships one row per task.
-    """
-    return _long_numeric(datasets).groupBy("dataset", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+APPROX_ACCURACY = 10_000    # sketch accuracy: rank error at most N / accuracy
+EXACT_BELOW = 1_000_000     # columns with fewer values use one unbounded band (ordered in full)
 
 
-def quartiles_from_counts(counts: DataFrame, probs=(0.25, 0.75)) -> tuple[DataFrame, DataFrame]:
-    """Exact linear-interpolated quantiles from a value-count table; returns (quartiles, pinned counts).
+def _bands(long: DataFrame, probs, accuracy: int, exact_below: float) -> DataFrame:
+    """Pass 1 (one scan, mergeable sketches): value bands that hold the target ranks.
 
-    A global running count over (dataset, column, value) locates every target order statistic, and a
-    tiny per-column target table (broadcast) picks the two neighbours to interpolate between. The
-    running-count table is checkpointed, so callers can reuse it (see ``outliers``) without a rescan.
+    Returns (dataset, column_name, group_n, band, lo, hi, targets) where targets lists (pi, p) pairs.
+    With rank error <= N/accuracy, the values at fractions p -+ 3/accuracy bracket ranks p*N -+ 2N/accuracy,
+    which contain floor(p*(N-1)) and the next rank once N >= exact_below; smaller columns get a single
+    unbounded band for all quantiles. Tiny result (one row per column and band): pinned.
+    """
+    key = ["dataset", "column_name"]
+    ensure_checkpoint_dir(long.sparkSession)
+    eps = 3.0 / accuracy
+    fracs = []
+    for p in probs:
+        fracs += [max(0.0, p - eps), min(1.0, p + eps)]
+    sk = long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n"),
+                                F.percentile_approx("value", fracs, accuracy).alias("apx"))
+    tgt = lambda i, p: F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"))
+    narrow = F.array(*[F.struct(F.lit(i).alias("band"), F.col("apx")[2 * i].alias("lo"),
+                                F.col("apx")[2 * i + 1].alias("hi"), F.array(tgt(i, p)).alias("targets"))
+                       for i, p in enumerate(probs)])
+    wide = F.array(F.struct(F.lit(0).alias("band"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"),
+                            F.array(*[tgt(i, p) for i, p in enumerate(probs)]).alias("targets")))
+    b = sk.select(*key, "group_n", F.explode(F.when(F.col("group_n") < F.lit(exact_below), wide).otherwise(narrow))
+                  .alias("b")).select(*key, "group_n", "b.*")
+    return b.checkpoint(eager=True)
+
+
+def _pick(long: DataFrame, bands: DataFrame) -> DataFrame:
+    """Passes 2-3: count rows below each band, value-count rows inside it, locate the target ranks."""
+    key = ["dataset", "column_name"]
+    j = long.join(F.broadcast(bands.select(*key, "band", "lo", "hi")), key)
+    cls = F.when(F.col("value") < F.col("lo"), F.lit(0)).when(F.col("value") > F.col("hi"), F.lit(2)).otherwise(F.lit(1))
+    g = (j.withColumn("_c", cls).where(F.col("_c") < 2)
+          .groupBy(*key, "band", "_c", F.when(F.col("_c") == 1, F.col("value")).alias("v"))
+          .agg(F.count(F.lit(1)).alias("n")))  # map-side combined: rows below collapse to one per task
+    g = g.checkpoint(eager=True)  # small (band rows only); read by the three consumers below without a rescan
+    below = g.where(F.col("_c") == 0).groupBy(*key, "band").agg(F.sum("n").alias("below"))
+    inside = g.where(F.col("_c") == 1).select(*key, "band", F.col("v").alias("value"), "n")
+    cum = global_cumsum(inside, key + ["band", "value"], "n", "cum")
+    gsize = cum.groupBy(*key, "band").agg(F.sum("n").alias("band_n"))
+    goff = gsize.select(*key, "band", F.coalesce(F.sum("band_n").over(
+        Window.orderBy(*key, "band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("goff"))
+    t = (bands.join(below, key + ["band"], "left").join(goff, key + ["band"], "left")
+              .select(*key, "band", "group_n", F.coalesce("below", F.lit(0)).alias("below"),
+                      F.coalesce("goff", F.lit(0)).alias("goff"), F.explode("targets").alias("tg"))
+              .select(*key, "band", "group_n", "below", "goff", "tg.pi", "tg.p"))
+    h = (F.col("group_n") - 1) * F.col("p")
+    lo = F.floor(h).cast("bigint")
+    t = t.select(*key, "band", "group_n", "below", "goff", "pi", F.explode(F.array(
+        F.struct(F.lit("lo").alias("side"), lo.alias("pos"), (h - lo).alias("frac")),
+        F.struct(F.lit("hi").alias("side"), F.least(lo + 1, F.col("group_n") - 1).alias("pos"),
+                 (h - lo).alias("frac")))).alias("x")).select(*key, "band", "group_n", "below", "goff", "pi", "x.*")
+    start = F.col("below") + F.col("cum") - F.col("n") - F.col("goff")
+    return (cum.join(F.broadcast(t), key + ["band"])
+               .where((start <= F.col("pos")) & (F.col("pos") < start + F.col("n")))
+               .select(*key, "pi", "group_n", "side", "frac", "value"))
+
+
+def pinned_values(datasets: Mapping[str, DataFrame]) -> DataFrame:
+    """The long (dataset, column, value) table, computed once and written to the checkpoint folder:
+    the sketch, band and outlier passes then re-read three narrow columns instead of re-deriving them."""
+    long = _long_numeric(datasets)
+    ensure_checkpoint_dir(long.sparkSession)
+    return long.checkpoint(eager=True)
+
+
+def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75), accuracy: int = APPROX_ACCURACY,
+              exact_below: float = EXACT_BELOW, long: DataFrame | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles of every numeric column: (dataset, column_name, q1, q3, n).
+
+    No per-group value map and no sort of whole large columns: a sketch pass narrows each quantile to a
+    band of about 6N/accuracy values, a second pass counts what lies below the band and value-counts what
+    lies in it, and only band rows are ordered. If a band ever misses its target ranks, unbounded bands
+    are used instead.
     """
     key = ["dataset", "column_name"]
-    cum = global_cumsum(counts, key + ["value"], "n", "cum")
-    sizes = cum.groupBy(*key).agg(F.sum("n").alias("group_n"))  # reads the checkpoint, one row per column
-    sizes = sizes.withColumn(
-        "group_off", F.coalesce(F.sum("group_n").over(Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)))
-    targets = []
-    for i, p in enumerate(probs):
-        h = (F.col("group_n") - 1) * F.lit(p)
-        lo = F.floor(h).cast("bigint")
-        targets.append(F.struct(F.lit(i).alias("pi"), F.lit("lo").alias("side"), lo.alias("pos"),
-                                (h - lo).alias("frac")))
-        targets.append(F.struct(F.lit(i).alias("pi"), F.lit("hi").alias("side"),
-                                F.least(lo + 1, F.col("group_n") - 1).alias("pos"), (h - lo).alias("frac")))
-    t = sizes.select(*key, "group_n", "group_off", F.explode(F.array(*targets)).alias("t")).select(
-        *key, "group_n", "group_off", "t.*")
-    before = F.col("cum") - F.col("n") - F.col("group_off")
-    hit = cum.join(F.broadcast(t), key).where((before <= F.col("pos")) & (F.col("pos") < before + F.col("n")))
-    picked = hit.groupBy(*key, "group_n", "pi", "frac").agg(
+    long = long if long is not None else pinned_values(datasets)
+    hits = _pick(long, _bands(long, probs, accuracy, exact_below)).checkpoint(eager=True)
+    # every (column, quantile, side) must have found exactly one value: one tiny aggregate to verify
+    st = hits.agg(F.count(F.lit(1)).alias("h"), F.countDistinct(*key).alias("k")).first()
+    if st["h"] == 0 or st["h"] != 2 * len(probs) * st["k"]:
+        hits = _pick(long, _bands(long, probs, accuracy, float("inf"))).checkpoint(eager=True)
+    picked = hits.groupBy(*key, "group_n", "pi", "frac").agg(
         F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("vlo"),
         F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("vhi"))
-    q = picked.select(*key, "group_n", "pi",
-                      (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
+    q = picked.select(*key, "group_n", "pi", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
     out = q.groupBy(*key).agg(F.max("group_n").alias("n"),
                               *[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
-    quart = out.select(*key, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").cast("bigint").alias("n"))
-    return quart, cum.select(*key, "value", "n")
-
-
-def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75)) -> DataFrame:
-    """Exact quartiles of every numeric column: (dataset, column_name, q1, q3, n).
-
-    Scales without a per-group value map (what an exact percentile aggregate keeps): see
-    ``quartiles_from_counts``.
-    """
-    return quartiles_from_counts(value_counts(datasets), probs)[0]
+    return out.select(*key, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").cast("bigint").alias("n"))
 
 
 def outliers(datasets: Mapping[str, DataFrame], factor: float = OUTLIER_IQR_FACTOR,
-             pinned: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+             q: DataFrame | None = None, long: DataFrame | None = None) -> DataFrame:
     """(dataset, column_name, outliers): values strictly beyond [Q1 - f*IQR, Q3 + f*IQR]; only > 0 rows.
 
-    Counted on the distinct-value table the quartiles were computed from (no second pass over rows).
+    One scan with the per-column bounds broadcast (a table with one row per column).
     """
-    q, counts = pinned if pinned is not None else quartiles_from_counts(value_counts(datasets))
+    long = long if long is not None else pinned_values(datasets)
+    q = q if q is not None else quartiles(datasets, long=long)
     iqr = F.col("q3") - F.col("q1")
     bounds = q.select("dataset", "column_name", (F.col("q1") - factor * iqr).alias("lo"),
                       (F.col("q3") + factor * iqr).alias("hi"))
-    j = counts.join(F.broadcast(bounds), ["dataset", "column_name"])
-    out = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
+    j = long.join(F.broadcast(bounds), ["dataset", "column_name"])
     c = j.groupBy("dataset", "column_name").agg(
-        F.sum(F.when(out, F.col("n")).otherwise(0)).cast("bigint").alias("outliers"))
+        F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).cast("bigint").alias("outliers"))
     return c.where(F.col("outliers") > 0)
 
 
@@ -183,14 +226,15 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, child_id: str) -> Dat
 
 def issues(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Long-form issue table (dataset, check, column_name, n), only checks that found something."""
-    pinned = quartiles_from_counts(value_counts(datasets))
+    long = pinned_values(datasets)
+    q = quartiles(datasets, long=long)
     parts = [
         null_counts(datasets).select("dataset", F.lit("nulls").alias("check"), "column_name",
                                      F.col("null_count").alias("n")),
         duplicate_rows(datasets).where(F.col("duplicate_rows") > 0).select(
             "dataset", F.lit("duplicates").alias("check"), F.lit(None).cast("string").alias("column_name"),
             F.col("duplicate_rows").alias("n")),
-        outliers(datasets, pinned=pinned).select("dataset", F.lit("outliers").alias("check"), "column_name",
+        outliers(datasets, q=q, long=long).select("dataset", F.lit("outliers").alias("check"), "column_name",
                                      F.col("outliers").alias("n")),
         range_violations(datasets).where(F.col("violations") > 0).select(
             "dataset", F.lit("sentiment_range_violation").alias("check"), "column_name",
