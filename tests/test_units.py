@@ -69,10 +69,12 @@ def test_severity_band(spark):
     ("nothing", "neutral", 0.05, 0.0),
     ("", "neutral", 0.05, 0.0),
     ("Loving it", "neutral", 0.05, 0.0),
+    ("great_ness, greatgreat; GREAT!love?", "positive", 1.0, 1.0),
+    ("Élhate hate", "negative", -1.0, 1.0),
 ])
 def test_lexicon_sentiment(spark, text, label, score, conf):
     df = spark.createDataFrame([(text,)], "t string")
-    r = df.select(lexicon_sentiment(tokenize(F.col("t")), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS).alias("s")).first().s
+    r = df.select(lexicon_sentiment(F.col("t"), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS).alias("s")).first().s
     assert (r.label, r.score, r.confidence) == (label, score, conf)
 
 

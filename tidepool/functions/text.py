@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,21 +32,30 @@ def tokenize(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), 0)
 
 
-def count_in(tokens: Column, words: list[str]) -> Column:
-    """Number of tokens (with repeats) that are in ``words``."""
-    lex = F.array(*[F.lit(w) for w in words])
-    return F.size(F.filter(tokens, lambda t: F.array_contains(lex, t)))
+_WORD_CHAR = r"[\p{L}\p{N}_]"
+
+
+def count_words(text: Column, words: list[str]) -> Column:
+    """Number of tokens of ``text`` (lower-cased, with repeats) that are in ``words``.
+
+    A whole-word match (no word character on either side) is exactly a token equal to a lexicon word, so
+    one ``regexp_count`` over the text gives the count without materialising the token array or running
+    a per-token lambda (higher-order functions are interpreted, this stays in generated code).
+    """
+    alts = "|".join(re.escape(w) for w in sorted(set(words), key=len, reverse=True))
+    pattern = f"(?<!{_WORD_CHAR})(?:{alts})(?!{_WORD_CHAR})"
+    return F.regexp_count(F.lower(text), F.lit(pattern))
 
 
-def lexicon_sentiment(tokens: Column, positive: list[str], negative: list[str]) -> Column:
-    """struct(label, score, confidence) of the rule-based classifier.
+def lexicon_sentiment(text: Column, positive: list[str], negative: list[str]) -> Column:
+    """struct(label, score, confidence) of the rule-based classifier over a text column.
 
-    total = pos + neg + 1e-9; more positive -> ("positive", min(pos/total, 1)); more negative ->
-    ("negative", -min(neg/total, 1)); tie -> ("neutral", 0.05). confidence = min(|pos-neg|/total, 1).
-    Score and confidence are rounded to 4 places.
+    pos / neg = tokens (with repeats) in the positive / negative lexicon; total = pos + neg + 1e-9.
+    More positive -> ("positive", min(pos/total, 1)); more negative -> ("negative", -min(neg/total, 1));
+    tie -> ("neutral", 0.05). confidence = min(|pos-neg|/total, 1). Score and confidence rounded to 4.
     """
-    pos = count_in(tokens, positive)
-    neg = count_in(tokens, negative)
+    pos = count_words(text, positive)
+    neg = count_words(text, negative)
     total = pos + neg + F.lit(1e-9)
     label = F.when(pos > neg, "positive").when(neg > pos, "negative").otherwise("neutral")
     score = (F.when(pos > neg, F.least(pos / total, F.lit(1.0)))

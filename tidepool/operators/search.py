@@ -17,9 +17,7 @@ from tidepool.functions.text import lexicon_sentiment
 
 def score_documents(docs: DataFrame, positive: list[str], negative: list[str], text_col: str = "text") -> DataFrame:
     """Append nlp_label / nlp_score / nlp_confidence (native expressions; no Python UDF)."""
-    from tidepool.functions.text import tokenize
-
-    s = lexicon_sentiment(tokenize(F.col(text_col)), positive, negative)
+    s = lexicon_sentiment(F.col(text_col), positive, negative)
     return (docs.withColumn("_nlp", s)
                 .withColumn("nlp_label", F.col("_nlp.label"))
                 .withColumn("nlp_score", F.col("_nlp.score"))

@@ -10,7 +10,7 @@ from tidepool.operators import analytics as A
 from tidepool.operators import search as S
 from tidepool.plans.registry import query
 from tidepool.sources import views
-from tidepool.sources.tables import read_table
+from tidepool.sources.tables import read_table, spread_for_cpu
 
 _POS = ", ".join(f"'{w}'" for w in DOC_POSITIVE_WORDS)
 _NEG = ", ".join(f"'{w}'" for w in DOC_NEGATIVE_WORDS)
@@ -40,7 +40,7 @@ def q_tokenize(spark, sf):
 @query("standardise_text", """
 select doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as text_std from documents""")
 def q_standardise_text(spark, sf):
-    d = read_table(spark, sf, "documents")
+    d = spread_for_cpu(read_table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", standardise_text(F.col("text")).alias("text_std"))
 
 

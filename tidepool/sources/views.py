@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.columns import avg_round
 from tidepool.functions.text import tokenize
-from tidepool.sources.tables import read_table
+from tidepool.sources.tables import read_table, spread_for_cpu
 
 # Fixed values of the data model.
 PLATFORMS = ["Twitter", "Reddit", "Instagram", "LinkedIn"]
@@ -150,7 +150,7 @@ def trend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a stored label from ``labels`` (quality 1/0 -> positive/negative, unlabelled -> neutral)."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     return j.select(
@@ -162,7 +162,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, straight from the documents scan (no label join needed)."""
-    d = read_table(spark, sf_dir, "documents")
+    d = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", tokenize(F.col("text")).alias("tokens"))
 
 
