@@ -25,10 +25,6 @@ BOUNDED_WINDOWS = {
     "alerts_batch_global": "per-partition offset table",
     "hashtag_velocity": "per-partition offset table",
     "panel_top_hashtags": "per-partition offset table",
-    "dq_quartiles": "per-partition offsets; one row per checked column",
-    "dq_outliers": "per-partition offsets; one row per checked column",
-    "dq_summary": "per-partition offsets; one row per checked column",
-    "dq_report_lines": "per-partition offsets; one row per checked column",
 }
 
 
