@@ -101,8 +101,17 @@ def _bands(long: DataFrame, probs, accuracy: int, exact_below: float) -> DataFra
     fracs = []
     for p in probs:
         fracs += [max(0.0, p - eps), min(1.0, p + eps)]
-    sk = long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n"),
-                                F.percentile_approx("value", fracs, accuracy).alias("apx"))
+    # Per-column sizes first (one row per column, so bounded on the driver); only columns large enough
+    # to need a band are sketched.
+    sizes = long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n"))
+    large = [(r["dataset"], r["column_name"]) for r in sizes.collect() if r["group_n"] >= exact_below]
+    if large:
+        big = long.sparkSession.createDataFrame(large, "dataset string, column_name string")
+        apx = (long.join(F.broadcast(big), key)
+                   .groupBy(*key).agg(F.percentile_approx("value", fracs, accuracy).alias("apx")))
+        sk = sizes.join(apx, key, "left")
+    else:
+        sk = sizes.withColumn("apx", F.lit(None).cast("array<double>"))
     tgt = lambda i, p: F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"))
     narrow = F.array(*[F.struct(F.lit(i).alias("band"), F.col("apx")[2 * i].alias("lo"),
                                 F.col("apx")[2 * i + 1].alias("hi"), F.array(tgt(i, p)).alias("targets"))
