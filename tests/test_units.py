@@ -245,3 +245,20 @@ def test_banded_quartiles_are_exact(spark, exact_below):
     assert q.n == len(vals)
     assert q.q1 == pytest.approx(float(np.percentile(vals, 25)), abs=1e-9)
     assert q.q3 == pytest.approx(float(np.percentile(vals, 75)), abs=1e-9)
+
+
+def test_csv_layer_round_trip_with_declared_schema(spark):
+    import tempfile
+    from pyspark.sql import types as T
+    from tidepool.sources import warehouse as W
+    schema = T.StructType([T.StructField("post_id", T.StringType()), T.StructField("likes", T.LongType()),
+                           T.StructField("sentiment_score", T.DoubleType()), T.StructField("_pipeline_version", T.StringType())])
+    df = spark.createDataFrame([("POST00000001", 5, 0.65, "1.0"), ("POST00000002", None, -0.1, "1.0")], schema)
+    root = tempfile.mkdtemp(prefix="csv-")
+    path = W.write_layer({"posts": df}, root, fmt="csv")["posts"]
+    back = W.read_csv_layer(spark, path, schema)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert dict(back.dtypes)["_pipeline_version"] == "string"  # stays "1.0", not a float
+    bad = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(
+        spark.sparkContext.parallelize(["post_id,likes,sentiment_score,_pipeline_version", "P,notanumber,0.1,1.0"]))
+    assert bad.first().likes is None  # malformed field becomes null, row kept
