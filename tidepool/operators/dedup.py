@@ -26,11 +26,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Repeatable Bernoulli sample: a row is kept when a seeded hash of its key falls below the fraction.
 
-    Depends on the key only, so it survives task retries and re-reads identically.
+    The hash is the first 32 bits of md5("seed:key"), uniform in [0, 2^32): it depends on the key only, so
+    the sample survives task retries and re-reads identically (and any engine with md5 can reproduce it).
     """
-    scale = 1_000_000
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(scale))
-    return df.where(h < F.lit(int(round(fraction * scale))))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    return df.where(prefix < F.lit(int(round(fraction * (1 << 32)))))
 
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, total: int | None = None) -> DataFrame:

@@ -23,7 +23,9 @@ def q_dedup_posts(spark, sf):
     return keep_first(views.posts_with_replays(spark, sf), ["post_id"], ["posted_at"])
 
 
-@query("sample_frac")
+@query("sample_frac", """
+select * from posts
+where cast(('0x' || substring(md5('42:' || post_id), 1, 8)) as bigint) < 85899346""")
 def q_sample_frac(spark, sf):
     return sample_fraction(views.posts(spark, sf), "post_id", 0.02)
 

@@ -178,12 +178,17 @@ def q_stream_last100(spark, sf):
     return J.latest_per_key(log)
 
 
-@query("stream_dedup")
+@query("stream_dedup", """
+select post_id, event_id, user_id, platform, topic, sentiment_label, sentiment_score, likes, shares, comments,
+  likes > 5000 as is_viral, posted_at
+from posts""")
 def q_stream_dedup(spark, sf):
     ev = J.event_stream(spark, sf, 1)
     posts = J.post_messages(ev)
     replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
-    return J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
+    out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
+    return out.select("post_id", "event_id", "user_id", "platform", "topic", "sentiment_label", "sentiment_score",
+                      "likes", "shares", "comments", "is_viral", "posted_at")
 
 
 def _two_runs(spark, sf, first_newer: bool, build):
@@ -214,7 +219,9 @@ def q_stream_late_drop(spark, sf):
     return spark.createDataFrame(rows, "run int, input_rows long, dropped_by_watermark long")
 
 
-@query("stream_two_groups")
+@query("stream_two_groups", """
+select 'sentiment_processor' as consumer_group, count(*) as processed, 1 as batches from events
+union all select 'trend_tracker', count(*), 1 from events""")
 def q_stream_two_groups(spark, sf):
     ev = J.event_stream(spark, sf, 1)
     res = J.run_concurrently({"sentiment_processor": J.topic_counts(J.post_messages(ev)),
