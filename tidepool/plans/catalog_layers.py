@@ -222,6 +222,19 @@ def q_dq_orphans(spark, sf):
     return Q.orphans(views.posts(spark, sf), views.users_missing_some(spark, sf), "user_id", "post_id")
 
 
-@query("dq_report_lines")
+@query("dq_report_lines", f"""
+with n as ({_sql_nulls()}), d as ({_sql_dups()}), o as ({_sql_outliers()}), r as ({_SQL_RANGE}),
+iss as (select dataset, 'nulls' as chk, column_name, null_count as n from n
+        union all select dataset, 'duplicates', null, duplicate_rows from d where duplicate_rows > 0
+        union all select dataset, 'outliers', column_name, outliers from o
+        union all select dataset, 'sentiment_range_violation', column_name, violations from r where violations > 0),
+ds as (select * from (values ('users'), ('posts'), ('hashtag_trends'), ('api_logs')) t(dataset)),
+body as (select dataset, '  WARN  ' || chk || coalesce('.' || column_name, '') || ': ' || cast(n as varchar) as line
+         from iss
+         union all select dataset, '  OK    No issues found.' from ds
+         where dataset not in (select dataset from iss))
+select dataset, 0 as line_no, '[' || upper(dataset) || ']' as line from ds
+union all
+select dataset, cast(row_number() over (partition by dataset order by line) as integer), line from body""")
 def q_dq_report_lines(spark, sf):
     return Q.report_lines(dq_datasets(spark, sf))
