@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tidepool.operators import gold
 from tidepool.plans.common import s_api_logs, s_hashtag_trends, s_posts, s_users

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidepool.operators import analytics as A
 from tidepool.operators import gold
 from tidepool.operators.dedup import keep_first, sample_fraction, sample_n
 from tidepool.plans.common import s_api_logs, s_hashtag_trends, s_posts, s_users

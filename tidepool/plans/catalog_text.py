@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.functions import columns as C
-from tidepool.functions.text import DOC_NEGATIVE_WORDS, DOC_POSITIVE_WORDS, standardise_text, tokenize
+from tidepool.functions.text import DOC_NEGATIVE_WORDS, DOC_POSITIVE_WORDS, standardise_text
 from tidepool.operators import analytics as A
 from tidepool.operators import search as S
 from tidepool.plans.registry import query

@@ -38,12 +38,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the setting is absent (local runs, tests) is a fresh scratch folder created and set.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a remote (Connect) session: the server's setting rules
+        sc = None
+    d = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
         d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -53,7 +53,10 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     groups. Decided at planning time from the file listing; on a large input the scan already has far
     more partitions than cores and nothing is added.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            return df.repartition(par)
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave the scan as planned
+        pass
     return df
