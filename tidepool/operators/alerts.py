@@ -22,7 +22,10 @@ def negative_spikes(events: DataFrame, by: Sequence[str] = ("topic",), threshold
     ``threshold``. ``by=()`` is one global window, as a single consumer sees the stream."""
     # Scores carry 4 decimals; averaging them as decimals keeps the mean exact, so the threshold test
     # and the 4-place rounding do not depend on the order of floating-point additions.
-    ev = events.withColumn("_s", F.col("sentiment_score").cast("decimal(18,4)"))
+    # Only what the window needs crosses the range shuffle and the checkpoint (pruning stops at an
+    # eager checkpoint, so project first).
+    keep = list(dict.fromkeys(["post_id", "topic", *order, *by]))
+    ev = events.select(*keep, F.col("sentiment_score").cast("decimal(18,4)").alias("_s"))
     t = trailing_mean_global(ev, "_s", list(order), width, partition_by=list(by),
                              bucket_rows=bucket_rows, out="_m", count_out="_c")
     hit = t.where((F.col("_c") == width) & (F.col("_m") < F.lit(threshold).cast("decimal(18,4)")))
