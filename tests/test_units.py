@@ -262,3 +262,24 @@ def test_csv_layer_round_trip_with_declared_schema(spark):
     bad = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(
         spark.sparkContext.parallelize(["post_id,likes,sentiment_score,_pipeline_version", "P,notanumber,0.1,1.0"]))
     assert bad.first().likes is None  # malformed field becomes null, row kept
+
+
+def test_persisted_index_matches_in_memory(spark):
+    import tempfile
+    from tests.conftest import SF_SMALL
+    from tidepool.sources import views
+    dt = views.doc_tokens(spark, SF_SMALL)
+    post = search.postings(dt)
+    idx = search.write_index(post, tempfile.mkdtemp(prefix="index-"), buckets=8)
+    stored = spark.read.parquet(idx["postings"]).select("term", "doc_id")
+    n = dt.count()
+    q = views.search_queries(spark, SF_SMALL)
+    a = sorted(map(tuple, search.search(q, stored, n).collect()))
+    b = sorted(map(tuple, search.search(q, post, n).collect()))
+    assert a and a == b
+    got = search.lookup(spark, idx, ["the", "de"], buckets=8)
+    want = post.where(F.col("term").isin("the", "de"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("term", "doc_id").collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    import re
+    assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(", plan), plan  # only the terms' buckets are read

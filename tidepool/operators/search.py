@@ -86,3 +86,30 @@ def search(queries: DataFrame, post: DataFrame, doc_count: int, k: int = 10) ->
     top = hits.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return top.select("query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id",
                       F.round("score", 4).alias("relevance_score"))
+
+
+def term_bucket(term, buckets: int):
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_index(post: DataFrame, path: str, buckets: int = 64) -> dict[str, str]:
+    """Persist the index: postings partitioned by a term-hash bucket, and the document-frequency table.
+
+    A lookup of a few terms reads only their buckets (partition pruning on ``bucket``); a batch search
+    reads the postings once. Returns the two table paths.
+    """
+    root = path.rstrip("/")
+    out = {"postings": f"{root}/postings", "df": f"{root}/df"}
+    (post.withColumn("bucket", term_bucket(F.col("term"), buckets))
+         .write.mode("overwrite").partitionBy("bucket").parquet(out["postings"]))
+    document_frequency(post).write.mode("overwrite").parquet(out["df"])
+    return out
+
+
+def lookup(spark, index: dict[str, str], terms: list[str], buckets: int = 64) -> DataFrame:
+    """Postings of the given terms, reading only the buckets they hash to."""
+    want = sorted({(t, None) for t in terms})
+    q = spark.createDataFrame([(t,) for t, _ in want], "term string")
+    bks = [r[0] for r in q.select(term_bucket(F.col("term"), buckets)).distinct().collect()]  # <= len(terms)
+    post = spark.read.parquet(index["postings"]).where(F.col("bucket").isin(bks))
+    return post.join(F.broadcast(q), "term").select("term", "doc_id")
