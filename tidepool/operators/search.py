@@ -108,8 +108,7 @@ def write_index(post: DataFrame, path: str, buckets: int = 64) -> dict[str, str]
 
 def lookup(spark, index: dict[str, str], terms: list[str], buckets: int = 64) -> DataFrame:
     """Postings of the given terms, reading only the buckets they hash to."""
-    want = sorted({(t, None) for t in terms})
-    q = spark.createDataFrame([(t,) for t, _ in want], "term string")
+    q = spark.createDataFrame([(t,) for t in sorted(set(terms))], "term string")
     bks = [r[0] for r in q.select(term_bucket(F.col("term"), buckets)).distinct().collect()]  # <= len(terms)
     post = spark.read.parquet(index["postings"]).where(F.col("bucket").isin(bks))
     return post.join(F.broadcast(q), "term").select("term", "doc_id")
