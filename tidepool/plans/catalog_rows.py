@@ -92,7 +92,11 @@ def q_parse_timestamps(spark, sf):
 
 @query("bronze_ingest")
 def q_bronze_ingest(spark, sf):
-    return bronze.stamp(views.posts(spark, sf, events=bronze.read_raw(spark, sf, "events")))
+    """Stamp raw post rows, append them to the bronze landing folder (partitioned by ingest date), and
+    return what landed."""
+    path = scratch_path(spark, "bronze-posts")
+    bronze.write_bronze(bronze.stamp(views.posts(spark, sf, events=bronze.read_raw(spark, sf, "events"))), path)
+    return spark.read.parquet(path)
 
 
 _LAYER_TABLES = {
