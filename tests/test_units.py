@@ -283,3 +283,11 @@ def test_persisted_index_matches_in_memory(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     import re
     assert re.search(r"PartitionFilters: \[bucket#\d+ IN \(", plan), plan  # only the terms' buckets are read
+
+
+def test_kafka_records_shape_and_routing(spark):
+    import json
+    df = spark.createDataFrame([("LIVE00000001", 3), ("LIVE00000002", 5)], "post_id string, likes int")
+    rows = {r.key: r for r in routing.kafka_records(df, "post_id", 4).collect()}
+    assert rows["LIVE00000001"].partition == 1 and rows["LIVE00000002"].partition == 0
+    assert json.loads(rows["LIVE00000002"].value) == {"post_id": "LIVE00000002", "likes": 5}

@@ -64,3 +64,15 @@ def topic_stats(topic: DataFrame, part: str = "partition") -> DataFrame:
     """Messages per partition and the topic total (the total is a window over one row per partition)."""
     c = end_offsets(topic, part).withColumnRenamed("end_offset", "messages")
     return c.withColumn("total_messages", F.sum("messages").over(Window.partitionBy()))
+
+
+def kafka_records(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows in the shape a Kafka sink takes: string key, JSON value, and the md5-routed partition."""
+    return df.select(F.col(key).cast("string").alias("key"),
+                     F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"),
+                     md5_mod(F.col(key), n).alias("partition"))
+
+
+def write_kafka(records: DataFrame, servers: str, topic: str) -> None:
+    """Batch write of ``kafka_records`` output (needs the Kafka connector on the classpath; untested here)."""
+    records.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
