@@ -291,3 +291,19 @@ def test_kafka_records_shape_and_routing(spark):
     rows = {r.key: r for r in routing.kafka_records(df, "post_id", 4).collect()}
     assert rows["LIVE00000001"].partition == 1 and rows["LIVE00000002"].partition == 0
     assert json.loads(rows["LIVE00000002"].value) == {"post_id": "LIVE00000002", "likes": 5}
+
+
+def test_failing_named_view_is_recorded_and_others_run(spark):
+    from datetime import date
+    fact = spark.createDataFrame(
+        [("p1", 1, "Reddit", "t", "positive", 0.5, 10, 1, 0, 13.0, 0, 1, date(2024, 1, 1), 18, 1, 2024)],
+        "post_id string, user_id long, platform string, topic string, sentiment_label string, "
+        "sentiment_score double, likes long, shares long, comments long, engagement_score double, is_viral int, "
+        "is_prime_time int, post_date date, post_hour int, post_month int, post_year int")
+    users = spark.createDataFrame([(1, "u", 5, "Nano")], "user_id long, username string, followers long, follower_tier string")
+    # stg_api_logs is missing on purpose: vw_platform_health must fail, the other views must still run
+    results, status = A.run_named_views(spark, {"fact_posts": fact, "dim_users": users})
+    st = {r.view: r.ok for r in status.collect()}
+    assert st["vw_platform_health"] is False
+    assert all(v for k, v in st.items() if k != "vw_platform_health")
+    assert results["vw_topic_sentiment_rank"].count() == 1
