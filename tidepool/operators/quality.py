@@ -103,10 +103,13 @@ def _bands(long: DataFrame, probs, accuracy: int, exact_below: float) -> DataFra
         fracs += [max(0.0, p - eps), min(1.0, p + eps)]
     # Per-column sizes first (one row per column, so bounded on the driver); only columns large enough
     # to need a band are sketched.
-    sizes = long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n"))
-    large = [(r["dataset"], r["column_name"]) for r in sizes.collect() if r["group_n"] >= exact_below]
+    spark = long.sparkSession
+    size_rows = [(r["dataset"], r["column_name"], r["group_n"])
+                 for r in long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n")).collect()]
+    sizes = spark.createDataFrame(size_rows, "dataset string, column_name string, group_n long")
+    large = [(d, c) for d, c, n in size_rows if n >= exact_below]
     if large:
-        big = long.sparkSession.createDataFrame(large, "dataset string, column_name string")
+        big = spark.createDataFrame(large, "dataset string, column_name string")
         apx = (long.join(F.broadcast(big), key)
                    .groupBy(*key).agg(F.percentile_approx("value", fracs, accuracy).alias("apx")))
         sk = sizes.join(apx, key, "left")
@@ -120,7 +123,7 @@ def _bands(long: DataFrame, probs, accuracy: int, exact_below: float) -> DataFra
                             F.array(*[tgt(i, p) for i, p in enumerate(probs)]).alias("targets")))
     b = sk.select(*key, "group_n", F.explode(F.when(F.col("group_n") < F.lit(exact_below), wide).otherwise(narrow))
                   .alias("b")).select(*key, "group_n", "b.*")
-    return b.checkpoint(eager=True)
+    return b.checkpoint(eager=True) if large else b  # pin the sketch result; a local table needs no pin
 
 
 def _pick(long: DataFrame, bands: DataFrame) -> DataFrame:
