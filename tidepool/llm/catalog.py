@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidepool.llm import bpe, exact_dedup, mix, quality, simhash
+from tidepool.llm import bpe, exact_dedup, licenses, mix, quality, secrets, simhash, warc
 from tidepool.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,14 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(read_table(spark, sf_dir, "documents"))
     return out.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -38,8 +50,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_mix": op3_mix,
+    "op4_licenses": op4_licenses,
+    "op5_secrets": op5_secrets,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op8_warc": op8_warc,
     "op10_quality_rules": op10_quality_rules,
     "pipeline": corpus_pipeline.run,
 }
@@ -102,6 +117,16 @@ select r.doc_id, r.size, r.source_size, r.target,
 from ranked r left join chosen c on r.doc_id = c.doc_id
 """
 
-ORACLE: dict[str, str] = {"op1_exact_dedup": _EXACT_SQL, "op3_mix": _MIX_SQL}
+_WARC_SQL = f"""
+with p as (select page_id, coalesce(html, '') as h from pages),
+g as (select h, max(page_id) as m from p where strlen(h) >= {warc.MIN_REVISIT} group by h having count(*) > 1)
+select page_id, cast(strlen(p.h) as bigint) as payload_bytes, sha1(p.h) as payload_digest,
+       case when m <> page_id then 'revisit' else 'response' end as record_type,
+       case when m <> page_id then m end as refers_to
+from p left join g on p.h = g.h
+"""
+
+ORACLE: dict[str, str] = {"op1_exact_dedup": _EXACT_SQL, "op3_mix": _MIX_SQL,
+                          "op4_licenses": licenses.oracle_sql(), "op8_warc": _WARC_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
