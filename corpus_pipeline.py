@@ -36,7 +36,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids (token ids) and the digests of ids and decoded bytes for each row of the mix."""
-    both = bpe.decode(bpe.encode(docs, keep=["doc_id", "source"]))
+    both = bpe.encode(docs, decoded="decoded", keep=["doc_id", "source"])
     return both.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

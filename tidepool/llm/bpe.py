@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 from tidepool.llm.common import small_slices
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-MEMO = 500_000
+MEMO = 100_000
 MEMO_CHARS = 64
+SLICE_BYTES = 2 << 20
 
 
+@lru_cache(maxsize=4)
 def read_ranks(path: str) -> list[bytes]:
     """The bytes of each rank, from a file of ``base64 rank`` lines."""
     with open(path, "rb") as f:
@@ -142,45 +144,53 @@ def _lists(lists: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def _with(df: DataFrame, make, out: str, kind: str) -> DataFrame:
-    """``df`` with one more column made by ``make`` from the Arrow column ``__in``, the others packed untouched."""
+def _with(df: DataFrame, make, out: list[str], kinds: list[str]) -> DataFrame:
+    """``__row`` unpacked, with the columns that ``make`` yields from the Arrow column ``__in``."""
+    names = [f"__out{k}" for k in range(len(out))]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, 4 << 20):
-            yield pa.RecordBatch.from_arrays([batch.column("__row"), make(batch.column("__in"))], ["__row", "__out"])
+        for batch in small_slices(batches, SLICE_BYTES):
+            yield pa.RecordBatch.from_arrays([batch.column("__row"), *make(batch.column("__in"))], ["__row", *names])
 
     row = df.schema["__row"].dataType.simpleString()
-    return df.mapInArrow(run, f"__row {row}, __out {kind}").select("__row.*", F.col("__out").alias(out))
+    made = df.mapInArrow(run, f"__row {row}, " + ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return made.select("__row.*", *[F.col(n).alias(o) for n, o in zip(names, out)])
 
 
-def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all by default) and ``out``, the token ids of column ``text`` (array<int>)."""
+def encode(docs: DataFrame, text: str = "text", out: str = "ids", decoded: str | None = None,
+           path: str | None = None, pattern: str = public_tokenizers.PATTERN,
+           keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) and ``out``, the token ids of column ``text`` (array<int>).
+
+    ``decoded`` names a column for the bytes those ids decode to, made in the same pass.
+    """
     path = path or vocabulary()
 
-    def make(column: pa.Array) -> pa.Array:
+    def make(column: pa.Array) -> list[pa.Array]:
         own = codec(path, pattern)
-        return _lists([own.encode(t) if t else [] for t in column.to_pylist()])
+        ids = [own.encode(t) if t else [] for t in column.to_pylist()]
+        back = [pa.array([own.decode(i) for i in ids], pa.binary())] if decoded else []
+        return [_lists(ids), *back]
 
     cols = [F.col(c) for c in (keep if keep is not None else docs.columns)]
-    return _with(docs.select(F.struct(*cols).alias("__row"), F.col(text).cast("string").alias("__in")), make, out,
-                 "array<int>")
+    rows = docs.select(F.struct(*cols).alias("__row"), F.col(text).cast("string").alias("__in"))
+    return _with(rows, make, [out, decoded] if decoded else [out], ["array<int>", "binary"][:2 if decoded else 1])
 
 
-def decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None,
-           pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+def decode(encoded: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """All columns and ``out``, the bytes that the ids stand for (binary)."""
     path = path or vocabulary()
 
-    def make(column: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        return pa.array([own.decode(i) if i else b"" for i in column.to_pylist()], pa.binary())
+    def make(column: pa.Array) -> list[pa.Array]:
+        tokens = read_ranks(path)
+        return [pa.array([b"".join(map(tokens.__getitem__, i)) if i else b"" for i in column.to_pylist()], pa.binary())]
 
-    return _with(encoded.select(F.struct("*").alias("__row"), F.col(ids).alias("__in")), make, out, "binary")
+    return _with(encoded.select(F.struct("*").alias("__row"), F.col(ids).alias("__in")), make, [out], ["binary"])
 
 
 def digests(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` (doc_id), n_tokens, ids_sha256 and decoded_sha256 of each row: the encoding and its inverse."""
-    both = decode(encode(docs, text, keep=keep or ["doc_id"]))
+    both = encode(docs, text, decoded="decoded", keep=keep or ["doc_id"])
     listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return both.select(*(keep or ["doc_id"]), F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
