@@ -27,6 +27,7 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,13 +87,52 @@ def model_bytes(tokens: list[bytes]) -> bytes:
     return bytes(out)
 
 
+@lru_cache(maxsize=1)
+def newer_characters() -> dict[str, str]:
+    """For letters and numbers, the characters that this regex module knows and the tiktoken library's Unicode tables do not.
+
+    The library's own classes decide how it splits, so they are asked, once in a process that meets such a text.
+    """
+    every = "".join(map(chr, chain(range(0x370, 0xD800), range(0xE000, 0x110000))))
+    out = {}
+    for kind in (r"\p{L}", r"\p{N}"):
+        theirs = tiktoken.Encoding("class", pat_str=kind, mergeable_ranks={bytes([i]): i for i in range(256)},
+                                   special_tokens={}).encode_ordinary
+        out[kind] = "".join(f"\\U{ord(c):08x}" for c in regex.findall(kind, every) if not theirs(c))
+    return out
+
+
+def splitter(pattern: str):
+    """``findall`` of the pattern, with the tiktoken library's letters and numbers."""
+    plain = regex.compile(pattern).findall
+
+    @lru_cache(maxsize=1)
+    def exact():
+        newer = newer_characters()
+        changed = pattern
+        for kind, points in newer.items():
+            if points:
+                changed = changed.replace(kind, f"[{kind}--[{points}]]")
+        return regex.compile("[" + "".join(newer.values()) + "]").search, regex.compile(changed, regex.V1).findall
+
+    def split(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            met, findall = exact()
+            return findall(text) if met(text) else plain(text)
+        return plain(text)
+
+    return split
+
+
 class Codec:
     """Encoder and decoder over one rank file."""
 
     def __init__(self, path: str, pattern: str):
         self.tokens = read_ranks(path)
         self.ranks = {t: i for i, t in enumerate(self.tokens)}
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
         self.table = {b: c for b, c in enumerate(byte_characters())}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.tokens))
         self.memo: dict[str, tuple[int, ...]] = {}

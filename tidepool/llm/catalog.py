@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidepool.llm import bpe, exact_dedup, licenses, mix, quality, secrets, simhash, warc
+from tidepool.llm import bpe, exact_dedup, licenses, mix, quality, secrets, simhash, token_output, toxicity, warc
 from tidepool.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(read_table(spark, sf_dir, "documents"))
 
@@ -41,6 +45,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.training_order(read_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(read_table(spark, sf_dir, "documents"))
     return out.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -49,12 +57,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_mix": op3_mix,
     "op4_licenses": op4_licenses,
     "op5_secrets": op5_secrets,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op8_warc": op8_warc,
+    "op9_token_output": op9_token_output,
     "op10_quality_rules": op10_quality_rules,
     "pipeline": corpus_pipeline.run,
 }

@@ -29,11 +29,10 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import pin, small_slices
-from tidepool.session import scratch_path
+from tidepool.llm.common import pin, shared_folder, small_slices
 
 MIN_REVISIT = 1000
 ROLL_BYTES = 256 << 20
@@ -216,12 +215,6 @@ def read_index(normalised: DataFrame, folder: str) -> DataFrame:
             .sortWithinPartitions("archive", "offset"))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder of the shared storage as a full address, for Spark and ``pyarrow.fs`` alike."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, name))
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
-
-
 def _read(folder: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
