@@ -65,11 +65,6 @@ def sign_class(x: Column) -> Column:
     return F.when(x < 0, "negative").when(x > 0, "positive").otherwise("neutral")
 
 
-def padded_id(prefix: str, width: int, n: Column) -> Column:
-    """Zero-padded id that keeps every digit of oversize numbers (unlike lpad)."""
-    return F.format_string(f"{prefix}%0{width}d", n)
-
-
 def avg_round(col: str | Column, scale_in: int, scale_out: int) -> Column:
     """round(avg(col), scale_out) for values that are exact ``scale_in``-place decimals.
 

@@ -12,12 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.hashing import md5_mod
+from tidepool.functions.hashing import keyless_partition, md5_mod
 from tidepool.operators.ranking import global_row_number
 
 
 def route(df: DataFrame, key: str, n: int, out: str = "partition") -> DataFrame:
-    return df.withColumn(out, md5_mod(F.col(key), n))
+    """Partition by the md5 of the key; messages without a key are spread by their content."""
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), md5_mod(F.col(key), n))
+                         .otherwise(keyless_partition(n, *[F.col(c) for c in df.columns])))
 
 
 def with_offsets(df: DataFrame, order: Sequence[Column | str], part: str = "partition",
@@ -37,20 +39,9 @@ def end_offsets(topic: DataFrame, part: str = "partition") -> DataFrame:
     return topic.groupBy(part).agg(F.count(F.lit(1)).alias("end_offset"))
 
 
-def bounded_reads(topic: DataFrame, max_records: int, polls: int, part: str = "partition",
-                  offset: str = "offset") -> DataFrame:
-    """Which poll reads each message when every poll takes up to ``max_records`` per partition.
-
-    ``batch_id`` is null for messages not reached within ``polls`` polls.
-    """
-    b = F.floor(F.col(offset) / F.lit(max_records)).cast("bigint")
-    return topic.withColumn("batch_id", F.when(b < polls, b))
-
-
-def committed_after(topic: DataFrame, max_records: int, polls: int, part: str = "partition") -> DataFrame:
-    """Committed offset per partition after ``polls`` bounded polls."""
-    return end_offsets(topic, part).select(
-        part, F.least(F.col("end_offset"), F.lit(max_records * polls)).cast("bigint").alias("committed"))
+def read_range(topic: DataFrame, start: int, limit: int, part: str = "partition", offset: str = "offset") -> DataFrame:
+    """The messages of every partition from offset ``start`` on, at most ``limit`` of each."""
+    return topic.where((F.col(offset) >= start) & (F.col(offset) < start + limit))
 
 
 def consumer_lag(ends: DataFrame, commits: DataFrame, part: str = "partition") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tidepool.operators import alerts as AL
@@ -9,11 +11,13 @@ from tidepool.operators import routing as R
 from tidepool.plans.registry import query
 from tidepool.session import scratch_path
 from tidepool.sources import views
+from tidepool.streaming import jobs as J
 
 POST_PARTITIONS, TREND_PARTITIONS = 4, 2
-MAX_RECORDS, POLLS = 200, 12
+READ_FROM, READ_LIMIT = 100, 200
 # Reference threshold is -0.5; on the driver's data that raises nothing, so the checked keys use -0.1.
 CHECK_THRESHOLD = -0.1
+DELAY = dt.timedelta(minutes=10)
 
 
 def _md5_mod_sql(key: str, n: int) -> str:
@@ -50,22 +54,31 @@ def q_partition_offsets(spark, sf):
 
 @query("replay_range", f"""
 with {_SQL_TOPIC}
-select post_id, partition, "offset",
-  case when "offset" // {MAX_RECORDS} < {POLLS} then "offset" // {MAX_RECORDS} end as batch_id
-from logged""")
+select post_id, partition, "offset" from logged
+where "offset" >= {READ_FROM} and "offset" < {READ_FROM + READ_LIMIT}""")
 def q_replay_range(spark, sf):
-    t = posts_topic(spark, sf)
-    return R.bounded_reads(t, MAX_RECORDS, POLLS).select("post_id", "partition", "offset", "batch_id")
+    return R.read_range(posts_topic(spark, sf), READ_FROM, READ_LIMIT).select("post_id", "partition", "offset")
+
+
+_SQL_HALVES = """
+halves as (select *, epoch_us(ts) < (select (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 from events) as old from events)"""
 
 
 @query("consumer_lag", f"""
-with {_SQL_TOPIC}, ends as (select partition, count(*) as end_offset from logged group by partition)
-select partition, end_offset, least(end_offset, {MAX_RECORDS * POLLS}) as committed,
-  end_offset - least(end_offset, {MAX_RECORDS * POLLS}) as lag from ends""")
+with {_SQL_TOPIC}, {_SQL_HALVES},
+ends as (select partition, count(*) as end_offset, count(*) filter (where h.old) as committed
+         from topic t join halves h on t.event_id = h.event_id group by partition)
+select partition, end_offset, committed, end_offset - committed as lag from ends""")
 def q_consumer_lag(spark, sf):
+    """Lag of a consumer group that has read the older half of the topic, from the offsets it committed."""
+    older, _ = J.split_by_time(spark, sf)
+    folder = scratch_path(spark, "landing")
+    J.land(older, folder)
+    posts = J.post_messages(J.landing_stream(spark, folder))
+    group = J.run_batches(posts, "lag-group", J.commit_step(lambda b: R.route(b, "post_id", POST_PARTITIONS)))
     # end offsets are message counts per partition: routing is enough, no per-message offsets needed
-    t = R.route(views.posts(spark, sf).select("post_id"), "post_id", POST_PARTITIONS)
-    return R.consumer_lag(R.end_offsets(t), R.committed_after(t, MAX_RECORDS, POLLS))
+    topic = R.route(views.posts(spark, sf).select("post_id"), "post_id", POST_PARTITIONS)
+    return R.consumer_lag(R.end_offsets(topic), J.commits(spark, group))
 
 
 @query("topic_stats", f"""
@@ -78,11 +91,11 @@ def q_topic_stats(spark, sf):
 
 def _sql_alerts(partition: str) -> str:
     return f"""
-with t as (select post_id, topic, sum(cast(sentiment_score as decimal(18, 4))) over w * cast(0.05 as decimal(4, 2)) as m,
+with t as (select post_id, topic, posted_at as trigger_time, sum(cast(sentiment_score as decimal(18, 4))) over w * cast(0.05 as decimal(4, 2)) as m,
              count(*) over w as c
            from posts
            window w as ({partition} order by posted_at, event_id rows between 19 preceding and current row))
-select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg
+select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg, trigger_time
 from t where c = 20 and m < cast({CHECK_THRESHOLD} as decimal(18, 4))"""
 
 
@@ -105,18 +118,15 @@ def q_last100_mean(spark, sf):
 
 # ---- Structured Streaming -----------------------------------------------------------------------------
 
-from tidepool.streaming import jobs as J  # noqa: E402
-
-
-def _posts_stream(spark, sf, max_files=1):
-    return J.post_messages(J.event_stream(spark, sf, max_files))
+def _posts_stream(spark, sf, end=None):
+    return J.post_messages(J.event_stream(spark, sf, end=end))
 
 
 @query("stream_topic_counts", """
 select topic, sentiment_label, count(*) as count from posts group by topic, sentiment_label""")
 def q_stream_topic_counts(spark, sf):
     r = J.run_snapshot(J.topic_counts(_posts_stream(spark, sf)), "topic-counts")
-    return J.read_result(spark, r)
+    return J.read_snapshot(spark, r)
 
 
 @query("stream_platform_stats", """
@@ -126,56 +136,69 @@ select platform, count(*) as posts, cast(sum(likes) as bigint) as total_likes,
 from posts group by platform""")
 def q_stream_platform_stats(spark, sf):
     r = J.run_snapshot(J.platform_stats(_posts_stream(spark, sf)), "platform-stats", finish=J.finish_platform_stats)
-    return J.read_result(spark, r)
+    return J.read_snapshot(spark, r)
 
 
 @query("trend_leaderboard", """
 select hashtag, cast(sum(velocity) as bigint) as velocity from trend_events group by hashtag
 order by velocity desc, hashtag limit 10""")
 def q_trend_leaderboard(spark, sf):
-    trends = J.trend_messages(J.event_stream(spark, sf, 1))
+    trends = J.trend_messages(J.event_stream(spark, sf))
     r = J.run_snapshot(J.hashtag_velocity(trends), "trend-velocity", finish=J.leaderboard)
-    return J.read_result(spark, r)
-
+    return J.read_snapshot(spark, r)
 
-_CLOSED = "(select max(ts) - interval 10 minutes from events)"
 
-
-@query("stream_tumbling", f"""
+@query("stream_tumbling", """
 select window_start, window_end, topic, count(*) as posts
 from (select time_bucket(interval 1 minute, posted_at) as window_start,
         time_bucket(interval 1 minute, posted_at) + interval 1 minute as window_end, topic from posts)
-where window_end <= {_CLOSED} group by window_start, window_end, topic""")
+group by window_start, window_end, topic""")
 def q_stream_tumbling(spark, sf):
-    return J.read_result(spark, J.run_append(J.tumbling_counts(_posts_stream(spark, sf)), "tumbling"))
+    end = J.open_end(spark)
+    return J.read_result(spark, J.run_append(J.tumbling_counts(_posts_stream(spark, sf, end)), "tumbling", end=end))
 
 
-@query("stream_sliding", f"""
+@query("stream_sliding", """
 with w as (select p.topic, p.likes, s.ws as window_start, s.ws + interval 10 minutes as window_end
            from posts p, unnest(generate_series(time_bucket(interval 1 minute, p.posted_at) - interval 9 minutes,
                                                 time_bucket(interval 1 minute, p.posted_at), interval 1 minute)) s(ws))
 select window_start, window_end, topic, count(*) as posts, cast(sum(likes) as bigint) as likes
-from w where window_end <= {_CLOSED} group by window_start, window_end, topic""")
+from w group by window_start, window_end, topic""")
 def q_stream_sliding(spark, sf):
-    return J.read_result(spark, J.run_append(J.sliding_stats(_posts_stream(spark, sf)), "sliding"))
+    end = J.open_end(spark)
+    return J.read_result(spark, J.run_append(J.sliding_stats(_posts_stream(spark, sf, end)), "sliding", end=end))
 
 
 @query("stream_alerts", _sql_alerts("partition by topic"))
 def q_stream_alerts(spark, sf):
-    alerts = J.spike_alerts(_posts_stream(spark, sf), width=20, threshold=CHECK_THRESHOLD)
-    return J.read_result(spark, J.run_append(alerts, "alerts"))
+    """Released in event-time order (10 minutes' delay), the waiting rows drained at the end of the input."""
+    r = J.run_spikes(_posts_stream(spark, sf), "alerts", threshold=CHECK_THRESHOLD, delay=DELAY, drain=True)
+    return J.read_spikes(spark, r)
+
 
+@query("stream_alerts_global", _sql_alerts(""))
+def q_stream_alerts_global(spark, sf):
+    r = J.run_spikes(_posts_stream(spark, sf), "alerts-global", by=(), threshold=CHECK_THRESHOLD, delay=DELAY, drain=True)
+    return J.read_spikes(spark, r)
 
-@query("stream_last100", """
-with r as (select topic, sentiment_score, count(*) over (partition by topic) as seen,
-             row_number() over (partition by topic order by posted_at desc, event_id desc) as rn from posts),
-t as (select topic, max(seen) as seen, cast(sum(cast(sentiment_score as decimal(18, 4))) * 10000 as bigint) as i,
-        count(*) as n from r where rn <= 100 group by topic)
-select topic, seen, cast(sign(i) * ((2 * abs(i) + n) // (2 * n)) as double) / 10000 as window_sentiment,
-  n as window_size from t""")
+
+_SQL_LAST100 = """
+with r as (select topic, sentiment_score, count(*) over ({part}) as seen,
+             row_number() over ({part} order by posted_at desc, event_id desc) as rn from posts),
+t as (select {key} max(seen) as seen, cast(sum(cast(sentiment_score as decimal(18, 4))) * 10000 as bigint) as i,
+        count(*) as n from r where rn <= 100 {group})
+select {key} seen, cast(sign(i) * ((2 * abs(i) + n) // (2 * n)) as double) / 10000 as window_sentiment,
+  n as window_size from t"""
+
+
+@query("stream_last100", _SQL_LAST100.format(part="partition by topic", key="topic,", group="group by topic"))
 def q_stream_last100(spark, sf):
-    log = J.read_result(spark, J.run_append(J.last_n_means(_posts_stream(spark, sf), 100), "last100"))
-    return J.latest_per_key(log)
+    return J.read_last_n(spark, J.run_last_n(_posts_stream(spark, sf), "last100"))
+
+
+@query("stream_last100_global", _SQL_LAST100.format(part="", key="", group=""))
+def q_stream_last100_global(spark, sf):
+    return J.read_last_n(spark, J.run_last_n(_posts_stream(spark, sf), "last100-global", by=()), by=())
 
 
 @query("stream_dedup", """
@@ -183,8 +206,7 @@ select post_id, event_id, user_id, platform, topic, sentiment_label, sentiment_s
   likes > 5000 as is_viral, posted_at
 from posts""")
 def q_stream_dedup(spark, sf):
-    ev = J.event_stream(spark, sf, 1)
-    posts = J.post_messages(ev)
+    posts = _posts_stream(spark, sf)
     replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
     out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
     return out.select("post_id", "event_id", "user_id", "platform", "topic", "sentiment_label", "sentiment_score",
@@ -208,47 +230,91 @@ select topic, sentiment_label, count(*) as count from posts group by topic, sent
 def q_stream_restart(spark, sf):
     runs = _two_runs(spark, sf, False,
                      lambda posts, ck, out: J.run_snapshot(J.topic_counts(posts), "restart", checkpoint=ck, path=out))
-    return J.read_result(spark, runs[-1])
+    return J.read_snapshot(spark, runs[-1])
 
 
-@query("stream_late_drop")
+@query("stream_late_drop", f"""
+with {_SQL_HALVES},
+mark as (select max(ts) - interval 10 minutes as mark from halves where not old)
+select 1 as run, count(*) filter (where not old) as input_rows, 0 as late_rows from halves
+union all
+select 2, count(*) filter (where old),
+       count(*) filter (where old and time_bucket(interval 1 minute, ts) + interval 1 minute <= (select mark from mark))
+from halves""")
 def q_stream_late_drop(spark, sf):
-    runs = _two_runs(spark, sf, True,
-                     lambda posts, ck, out: J.run_append(J.tumbling_counts(posts), "late", checkpoint=ck, path=out))
-    rows = [(i + 1,) + J.progress_rows(r.progress) for i, r in enumerate(runs)]
-    return spark.createDataFrame(rows, "run int, input_rows long, dropped_by_watermark long")
+    """The newer half first: rows of the older half that arrive behind the watermark, counted before any aggregate."""
+    seen = []
+
+    def run(posts, ck, out):
+        done = J._batches(spark, out)
+        r = J.run_batches(posts, "late", J.late_step(delay=DELAY), checkpoint=ck, path=out)
+        seen.append(J.late_counts(spark, r, after=done[-1] if done else -1))
+
+    _two_runs(spark, sf, True, run)
+    return seen[0].select(F.lit(1).alias("run"), "*").unionByName(seen[1].select(F.lit(2).alias("run"), "*"))
 
 
 @query("stream_two_groups", """
-select 'sentiment_processor' as consumer_group, count(*) as processed, 1 as batches from events
-union all select 'trend_tracker', count(*), 1 from events""")
+select 'sentiment_processor' as consumer_group, count(*) as processed from posts
+union all select 'trend_tracker', count(*) from trend_events""")
 def q_stream_two_groups(spark, sf):
-    ev = J.event_stream(spark, sf, 1)
+    """Messages that each of two groups has processed, counted in the groups' own results."""
+    ev = J.event_stream(spark, sf)
     res = J.run_concurrently({"sentiment_processor": J.topic_counts(J.post_messages(ev)),
                               "trend_tracker": J.hashtag_velocity(J.trend_messages(ev))})
-    rows = [(name, J.progress_rows(r.progress)[0], len([p for p in r.progress if p.get("numInputRows", 0)]))
-            for name, r in res.items()]
-    return spark.createDataFrame(rows, "consumer_group string, processed long, batches int")
+    count = {"sentiment_processor": "count", "trend_tracker": "messages"}
+    rows = [J.read_snapshot(spark, r).agg(F.coalesce(F.sum(count[name]), F.lit(0)).alias("processed"))
+            .select(F.lit(name).alias("consumer_group"), "processed") for name, r in res.items()]
+    return rows[0].unionByName(rows[1])
+
+
+_SQL_SECTIONS = f"""
+with topic_breakdown as (
+  select topic, sentiment_label, count(*) as n from posts group by topic, sentiment_label),
+{_SQL_TOPIC.strip()}
+select 'processed' as section, 'sentiment-processor' as item,
+  '{{"consumer_group":"sentiment-processor","total_processed":' || (select count(*) from posts) || '}}' as payload
+union all select 'processed', 'trend-tracker',
+  '{{"consumer_group":"trend-tracker","total_processed":' || (select count(*) from trend_events) || '}}'
+union all select 'topic_breakdown', topic || '|' || sentiment_label,
+  '{{"topic":"' || topic || '","sentiment_label":"' || sentiment_label || '","count":' || n || '}}' from topic_breakdown
+union all select 'posts_topic_stats', cast(partition as varchar),
+  '{{"partition":' || partition || ',"messages":' || count(*) || ',"total_messages":' || sum(count(*)) over () || '}}'
+  from topic group by partition
+union all select 'consumer_lag_after', cast(partition as varchar),
+  '{{"partition":' || partition || ',"end_offset":' || count(*) || ',"committed":' || count(*) || ',"lag":0}}'
+  from topic group by partition
+union all select 'trending_leaderboard', hashtag, '{{"hashtag":"' || hashtag || '","velocity":' || velocity || '}}'
+  from (select hashtag, cast(sum(velocity) as bigint) as velocity from trend_events group by hashtag
+        order by velocity desc, hashtag limit 10)"""
+
+
+@query("stream_report_sections", _SQL_SECTIONS)
+def q_stream_report_sections(spark, sf):
+    """The report's sections that hold whole numbers, row by row."""
+    from tidepool.streaming.report import stream_report
+
+    exact = ["processed", "topic_breakdown", "posts_topic_stats", "consumer_lag_after", "trending_leaderboard"]
+    return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD).where(F.col("section").isin(exact))
 
 
 @query("stream_report_json")
 def q_stream_report_json(spark, sf):
     from tidepool.streaming.report import stream_report
 
-    return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD, max_records=MAX_RECORDS, polls=POLLS)
+    return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD)
 
 
 @query("stream_alerts_event_time", f"""
-with t as (select post_id, topic, posted_at,
+with t as (select post_id, topic, posted_at, posted_at as trigger_time,
              sum(cast(sentiment_score as decimal(18, 4))) over w * cast(0.05 as decimal(4, 2)) as m,
              count(*) over w as c
            from posts
            window w as (partition by topic order by posted_at, event_id rows between 19 preceding and current row))
-select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg
+select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg, trigger_time
 from t where c = 20 and m < cast({CHECK_THRESHOLD} as decimal(18, 4))
-  and epoch_us(posted_at) <= ((select epoch_us(max(ts)) from events) // 1000 - 600000) * 1000""")
+  and posted_at <= (select max(ts) - interval 10 minutes from events)""")
 def q_stream_alerts_event_time(spark, sf):
-    """Alerts released by the watermark (10 minutes): equal to the batch alerts up to the final watermark."""
-    alerts = J.spike_alerts_event_time(_posts_stream(spark, sf), width=20, threshold=CHECK_THRESHOLD,
-                                       delay="10 minutes")
-    return J.read_result(spark, J.run_append(alerts, "alerts-event-time"))
+    """Alerts released by the watermark alone (10 minutes): the batch alerts up to the final watermark."""
+    return J.read_spikes(spark, J.run_spikes(_posts_stream(spark, sf), "alerts-event-time", threshold=CHECK_THRESHOLD,
+                                             delay=DELAY))

@@ -1,38 +1,66 @@
 """Structured Streaming jobs over the post and trend streams.
 
-Sources are file streams over the driver's ``events`` table (a Kafka source takes the same transforms:
-see ``kafka_source``). Every job runs with a checkpoint under the shared checkpoint folder, so a restart
-continues from the last committed batch; sinks are Parquet (exactly-once file sink) or ``foreachBatch``
-writes that are idempotent per batch id.
+Sources are file streams over the driver's ``events`` table, one file or a folder of any number of files
+(a Kafka source takes the same transforms: see ``kafka_source``). Every job runs with a checkpoint under the
+shared checkpoint folder, so a restart continues from the last committed batch; sinks are Parquet (exactly-once
+file sink) or ``foreachBatch`` writes into one folder per batch id, so a replayed batch replaces only itself.
+
+Windows over the last N rows (alerts, newest-100 means) are native batch windows over each micro-batch joined
+to a small carried table, the newest rows of each key, written per batch id: a hot key is split over
+tasks like any other rows, and no Python runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import datetime as dt
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tidepool.operators import alerts as AL
 from tidepool.session import scratch_path
 from tidepool.sources import views
 from tidepool.sources.tables import SCHEMAS
 
+MAX_FILES_CONF = "spark.tidepool.maxFilesPerTrigger"
+MAX_FILES = 64
 POST_EVENT = "post_created"
 VIRAL_LIKES_STREAM = 5000  # stream messages flag virality on likes alone (the batch rule adds shares)
 
 
 # ---- sources -----------------------------------------------------------------------------------------
 
-def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the ``events`` table (a directory source; a single file path cannot stream)."""
-    r = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "events.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None,
+                 end: str | None = None) -> DataFrame:
+    """Streaming scan of the ``events`` table, stored as one file or as a folder of files.
+
+    The path is written as a glob of itself because a plain single-file path cannot stream. ``end`` is a folder
+    for an end-of-input marker (see ``open_end``): a marker row moves the watermark past all data.
+    """
+    files = max_files_per_trigger or int(spark.conf.get(MAX_FILES_CONF, str(MAX_FILES)))
+
+    def scan(path: str) -> DataFrame:
+        return spark.readStream.schema(SCHEMAS["events"]).option("maxFilesPerTrigger", files).parquet(path)
+
+    events = scan(f"{sf_dir.rstrip('/')}/events.parque[t]")
+    return events.unionByName(scan(end)) if end else events
+
+
+END_OF_INPUT = (-1, dt.datetime(9999, 1, 1), -1, "end_of_input", 0.0, '{"k": 0}')
+
+
+def open_end(spark: SparkSession) -> str:
+    """An empty folder that a stream watches for its end-of-input marker."""
+    folder = scratch_path(spark, "end-of-input")
+    spark.createDataFrame([], SCHEMAS["events"]).write.parquet(folder)
+    return folder
+
+
+def write_end(spark: SparkSession, folder: str) -> None:
+    spark.createDataFrame([END_OF_INPUT], SCHEMAS["events"]).write.mode("append").parquet(folder)
 
 
 def post_messages(events: DataFrame) -> DataFrame:
@@ -75,37 +103,77 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, max_offsets_per_
 class RunResult:
     path: str
     checkpoint: str
-    progress: list
 
 
 def _start(writer, checkpoint: str):
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def run_snapshot(df: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame] | None = None,
-                 checkpoint: str | None = None, path: str | None = None) -> RunResult:
-    """Complete-mode aggregate; each batch overwrites a Parquet snapshot of the (small, keyed) result."""
+def _batches(spark: SparkSession, root: str) -> list[int]:
+    """Ids of the batches completely written under ``root`` (one folder ``batch=<id>`` each)."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [f.getPath() for f in fs.listStatus(top) if f.isDirectory()]
+    return sorted(int(p.getName().split("=")[1]) for p in names
+                  if p.getName().startswith("batch=")
+                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+
+def _state(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
+    """The table that the last batch (before ``before``) left under ``root``; empty if there is none."""
+    done = [b for b in _batches(spark, root) if before is None or b < before]
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{root}/batch={done[-1]}")
+
+
+def run_batches(df: DataFrame, name: str, step: Callable[[DataFrame, int, str], None], mode: str = "append",
+                checkpoint: str | None = None, path: str | None = None) -> RunResult:
+    """``step(batch, batch_id, path)`` for every micro-batch of the available input."""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
+    q = _start(df.writeStream.outputMode(mode).foreachBatch(lambda b, i: step(b, i, path)), checkpoint)
+    q.awaitTermination()
+    return RunResult(path, checkpoint)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        out = finish(batch) if finish else batch
-        out.write.mode("overwrite").parquet(path)  # idempotent per batch: a replay rewrites the same snapshot
 
-    q = _start(df.writeStream.outputMode("complete").foreachBatch(write), checkpoint)
-    q.awaitTermination()
-    return RunResult(path, checkpoint, q.recentProgress)
+def run_snapshot(df: DataFrame, name: str, finish: Callable[[DataFrame], DataFrame] | None = None,
+                 checkpoint: str | None = None, path: str | None = None) -> RunResult:
+    """Complete-mode aggregate; each batch writes a snapshot of the (small, keyed) result to its own folder."""
+    def step(batch: DataFrame, batch_id: int, to: str) -> None:
+        _write_batch(finish(batch) if finish else batch, to, batch_id)
+
+    return run_batches(df, name, step, "complete", checkpoint, path)
+
+
+def read_snapshot(spark: SparkSession, r: RunResult) -> DataFrame:
+    """The last complete snapshot."""
+    return spark.read.parquet(f"{r.path}/batch={_batches(spark, r.path)[-1]}")
+
 
+def run_append(df: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None,
+               end: str | None = None) -> RunResult:
+    """Append-mode job into the exactly-once Parquet file sink.
 
-def run_append(df: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None) -> RunResult:
-    """Append-mode job into the exactly-once Parquet file sink."""
+    With ``end`` (the folder given to ``event_stream``) the input is bounded: after its last file the end marker is
+    written and the job runs on, so that windows still open behind the watermark come out too.
+    """
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
-    q = _start(df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
-    q.awaitTermination()
-    return RunResult(path, checkpoint, q.recentProgress)
+    for last in ([False, True] if end else [False]):
+        if last:
+            write_end(spark, end)
+        q = _start(df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
+        q.awaitTermination()
+    return RunResult(path, checkpoint)
 
 
 def read_result(spark: SparkSession, r: RunResult, schema: T.StructType | None = None) -> DataFrame:
@@ -141,12 +209,12 @@ def finish_platform_stats(snapshot: DataFrame) -> DataFrame:
 
 def hashtag_velocity(trends: DataFrame) -> DataFrame:
     return trends.groupBy(F.coalesce("hashtag", F.lit("")).alias("hashtag")).agg(
-        F.sum(F.coalesce("velocity", F.lit(0))).cast("bigint").alias("velocity"))
+        F.sum(F.coalesce("velocity", F.lit(0))).cast("bigint").alias("velocity"),
+        F.count(F.lit(1)).alias("messages"))
 
 
 def leaderboard(snapshot: DataFrame, n: int = 10) -> DataFrame:
-    top = snapshot.orderBy(F.col("velocity").desc(), F.col("hashtag")).limit(n)
-    return top
+    return snapshot.select("hashtag", "velocity").orderBy(F.col("velocity").desc(), F.col("hashtag")).limit(n)
 
 
 # ---- event-time windows -------------------------------------------------------------------------------
@@ -173,161 +241,124 @@ def dedup_within_watermark(posts: DataFrame, delay: str = "10 minutes") -> DataF
     return posts.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["post_id"])
 
 
-# ---- stateful count windows (ring buffers keyed by topic) ---------------------------------------------
-
-_E4 = 10_000
-
-
-def _round_half_away(total_e4: int, n: int) -> float:
-    """round(total_e4 / n / 1e4, 4) with ties away from zero, in exact integer arithmetic."""
-    q = (2 * abs(total_e4) + n) // (2 * n)
-    return (q if total_e4 >= 0 else -q) / _E4
-
-
-SPIKE_OUT = T.StructType([T.StructField("alert_type", T.StringType()), T.StructField("post_id", T.StringType()),
-                          T.StructField("topic", T.StringType()), T.StructField("window_avg", T.DoubleType())])
-LASTN_OUT = T.StructType([T.StructField("topic", T.StringType()), T.StructField("seen", T.LongType()),
-                          T.StructField("window_sentiment", T.DoubleType()),
-                          T.StructField("window_size", T.LongType())])
-_RING_STATE = T.StructType([T.StructField("ring", T.ArrayType(T.LongType())), T.StructField("seen", T.LongType())])
-
-
-def _ordered(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """This key's rows of one micro-batch in event order. Micro-batch size (maxFilesPerTrigger /
-    maxOffsetsPerTrigger) bounds how many rows a key brings at once."""
-    parts = [p for p in pdfs if len(p)]
-    if not parts:
-        return pd.DataFrame(columns=["post_id", "event_id", "posted_at", "sentiment_score"])
-    return pd.concat(parts).sort_values(["posted_at", "event_id"], kind="stable")
-
-
-def spike_processor(width: int, threshold: float):
-    limit_e4 = round(threshold * _E4 * width)  # mean < threshold  <=>  window sum (in 1e-4 units) < limit
-
-    def fn(key, pdfs, state):
-        ring, seen = (list(state.get[0]), state.get[1]) if state.exists else ([], 0)
-        rows = _ordered(pdfs)
-        out = []
-        for pid, s in zip(rows["post_id"], rows["sentiment_score"]):
-            ring.append(int(round(float(s) * _E4)))
-            if len(ring) > width:
-                ring.pop(0)
-            seen += 1
-            if len(ring) == width:
-                tot = sum(ring)
-                if tot < limit_e4:
-                    out.append(("NEGATIVE_SENTIMENT_SPIKE", pid, key[0], _round_half_away(tot, width)))
-        state.update((ring, seen))
-        yield pd.DataFrame(out, columns=["alert_type", "post_id", "topic", "window_avg"])
-
-    return fn
-
-
-def last_n_processor(n: int):
-    def fn(key, pdfs, state):
-        ring, seen = (list(state.get[0]), state.get[1]) if state.exists else ([], 0)
-        rows = _ordered(pdfs)
-        for s in rows["sentiment_score"]:
-            ring.append(int(round(float(s) * _E4)))
-            seen += 1
-        ring = ring[-n:]
-        state.update((ring, seen))
-        mean = _round_half_away(sum(ring), len(ring)) if ring else 0.0
-        yield pd.DataFrame([(key[0], seen, mean, len(ring))],
-                           columns=["topic", "seen", "window_sentiment", "window_size"])
-
-    return fn
-
-
-def spike_alerts(posts: DataFrame, width: int = 20, threshold: float = -0.5) -> DataFrame:
-    """Per-topic alert stream: one alert per event while the full last-``width`` mean is below threshold."""
-    cols = posts.where(F.col("event_type") == POST_EVENT).select("topic", "post_id", "event_id", "posted_at",
-                                                                  "sentiment_score")
-    return cols.groupBy("topic").applyInPandasWithState(
-        spike_processor(width, threshold), SPIKE_OUT, _RING_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def last_n_means(posts: DataFrame, n: int = 100) -> DataFrame:
-    """Per-topic mean of the newest ``n`` scores, one row per topic per batch (latest ``seen`` wins)."""
-    cols = posts.where(F.col("event_type") == POST_EVENT).select("topic", "post_id", "event_id", "posted_at",
-                                                                  "sentiment_score")
-    return cols.groupBy("topic").applyInPandasWithState(
-        last_n_processor(n), LASTN_OUT, _RING_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-_PENDING_STATE = T.StructType([
-    T.StructField("ring", T.ArrayType(T.LongType())), T.StructField("seen", T.LongType()),
-    T.StructField("p_us", T.ArrayType(T.LongType())), T.StructField("p_id", T.ArrayType(T.LongType())),
-    T.StructField("p_post", T.ArrayType(T.StringType())), T.StructField("p_e4", T.ArrayType(T.LongType()))])
-
-
-def spike_processor_event_time(width: int, threshold: float):
-    """Event-time form: rows wait in state until the watermark passes them, then enter the ring in
-    (event time, event id) order, whatever order they arrived in. An event-time timeout at the earliest
-    pending time re-invokes the key once the watermark has moved past it."""
-    limit_e4 = round(threshold * _E4 * width)
-
-    def fn(key, pdfs, state):
-        if state.exists:
-            ring, seen, p_us, p_id, p_post, p_e4 = state.get
-            ring, pending = list(ring), list(zip(p_us, p_id, p_post, p_e4))
-        else:
-            ring, seen, pending = [], 0, []
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                for us, eid, pid, s in zip(pdf["_us"], pdf["event_id"], pdf["post_id"], pdf["sentiment_score"]):
-                    pending.append((int(us), int(eid), pid, int(round(float(s) * _E4))))
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        pending.sort()
-        ready = [r for r in pending if r[0] <= wm_us]
-        pending = [r for r in pending if r[0] > wm_us]
-        out = []
-        for _, _, pid, e4 in ready:
-            ring.append(e4)
-            if len(ring) > width:
-                ring.pop(0)
-            seen += 1
-            if len(ring) == width and sum(ring) < limit_e4:
-                out.append(("NEGATIVE_SENTIMENT_SPIKE", pid, key[0], _round_half_away(sum(ring), width)))
-        state.update((ring, seen, [r[0] for r in pending], [r[1] for r in pending],
-                      [r[2] for r in pending], [r[3] for r in pending]))
-        if pending:
-            state.setTimeoutTimestamp(pending[0][0] // 1000)
-        yield pd.DataFrame(out, columns=["alert_type", "post_id", "topic", "window_avg"])
-
-    return fn
-
-
-def spike_alerts_event_time(posts: DataFrame, width: int = 20, threshold: float = -0.5,
-                            delay: str = "10 minutes") -> DataFrame:
-    """Per-topic alerts in event-time order under a watermark: robust to out-of-order arrival; rows later
-    than the watermark are dropped by the stateful operator, rows newer than it wait in state."""
-    cols = (posts.where(F.col("event_type") == POST_EVENT).withWatermark("event_time", delay)
-                 .select("topic", "post_id", "event_id", "event_time", "sentiment_score",
-                         F.unix_micros("event_time").alias("_us")))
-    return cols.groupBy("topic").applyInPandasWithState(
-        spike_processor_event_time(width, threshold), SPIKE_OUT, _PENDING_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
-
-
-def latest_per_key(df: DataFrame, key: str = "topic", version: str = "seen") -> DataFrame:
-    """Final state per key from an append log of per-batch snapshots (a max_by aggregate, partial-combined)."""
-    cols = [c for c in df.columns if c not in (key,)]
-    agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(version)).alias("_s"))
-    return agg.select(key, "_s.*")
+# ---- windows over the last N rows ---------------------------------------------------------------------
+
+_ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("topic", T.StringType()),
+                     T.StructField("post_id", T.StringType()), T.StructField("event_id", T.LongType()),
+                     T.StructField("posted_at", T.TimestampNTZType()), T.StructField("sentiment_score", T.DoubleType())])
+ARRIVAL = ("seq", "posted_at", "event_id")
+
+
+def _rows(posts: DataFrame, batch_id: int) -> DataFrame:
+    """Rows of one micro-batch; ``seq`` puts them behind those of earlier batches. A missing score counts as 0."""
+    return posts.where((F.col("event_type") == POST_EVENT) & (F.col("event_id") >= 0)).select(
+        F.lit(batch_id).cast("long").alias("seq"), "topic", "post_id", "event_id", "posted_at",
+        F.coalesce("sentiment_score", F.lit(0.0)).alias("sentiment_score"))
+
+
+def _newest(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
+    """The ``n`` newest rows of each key; tasks cut their own rows to n per key first."""
+    down = [F.col(c).desc() for c in ARRIVAL]
+    if not by:
+        return rows.orderBy(*down).limit(n)
+    w = Window.partitionBy(*by).orderBy(*down)
+    return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
+def spikes_step(by: Sequence[str] = ("topic",), width: int = 20, threshold: float = -0.5,
+                delay: dt.timedelta | None = None, drain: bool = False):
+    """Alerts of one micro-batch: one per event whose last ``width`` scores average below ``threshold``.
+
+    Without ``delay`` rows count in arrival order (event time within a batch). With it they wait until the
+    watermark (largest time seen less the delay) has passed them and count in event-time order; rows behind the
+    watermark are dropped. ``drain`` releases the waiting rows of a bounded input.
+    Carried per batch: the newest ``width - 1`` rows of each key, and the waiting rows.
+    """
+    def step(posts: DataFrame, batch_id: int, path: str) -> None:
+        spark = posts.sparkSession
+        rows = _rows(posts, batch_id)
+        if delay is not None:
+            marks = spark.createDataFrame([], "mark timestamp_ntz").schema
+            old = _state(spark, f"{path}/mark", marks, batch_id).first()
+            if old is not None and old["mark"] is not None:
+                rows = rows.where(F.col("posted_at") > F.lit(old["mark"]))
+            top = rows.agg(F.max("posted_at").alias("m")).first()["m"]
+            mark = max((m for m in (old and old["mark"], top and top - delay) if m is not None), default=None)
+            _write_batch(spark.createDataFrame([(mark,)], marks), f"{path}/mark", batch_id)
+            rows = rows.unionByName(_state(spark, f"{path}/waiting", _ROW, batch_id))
+            passed = F.lit(True) if drain else F.col("posted_at") <= F.lit(mark).cast("timestamp_ntz")
+            _write_batch(rows.where(~F.coalesce(passed, F.lit(False))), f"{path}/waiting", batch_id)
+            rows = rows.where(F.coalesce(passed, F.lit(False))).withColumn("seq", F.lit(batch_id).cast("long"))
+        before = _state(spark, f"{path}/carried", _ROW, batch_id)
+        every = rows.unionByName(before)
+        found = AL.negative_spikes(every, by=by, threshold=threshold, width=width, order=ARRIVAL, keep=("seq",))
+        _write_batch(found.where(F.col("seq") == batch_id).drop("seq"), f"{path}/alerts", batch_id)
+        _write_batch(_newest(every, width - 1, by), f"{path}/carried", batch_id)
+
+    return step
+
+
+def run_spikes(posts: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None,
+               drain: bool = False, **options) -> RunResult:
+    """Run ``spikes_step`` over the stream; ``drain`` adds a last step that releases the rows still waiting."""
+    r = run_batches(posts, name, spikes_step(**options), "append", checkpoint, path)
+    if drain:
+        spark = posts.sparkSession
+        last = (_batches(spark, f"{r.path}/alerts") or [-1])[-1]
+        nothing = spark.createDataFrame([], posts.schema)
+        spikes_step(drain=True, **options)(nothing, last + 1, r.path)
+    return r
+
+
+def read_spikes(spark: SparkSession, r: RunResult) -> DataFrame:
+    return spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{r.path}/alerts").drop("batch")
+
+
+_SEEN = T.StructType([T.StructField("topic", T.StringType()), T.StructField("seen", T.LongType())])
+
+
+def last_n_step(n: int = 100, by: Sequence[str] = ("topic",)):
+    """Carry the newest ``n`` rows of each key and how many rows it has had (``by=()``: one global window)."""
+    def step(posts: DataFrame, batch_id: int, path: str) -> None:
+        spark = posts.sparkSession
+        rows = _rows(posts, batch_id)
+        seen = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("seen"))
+        total = seen.unionByName(_state(spark, f"{path}/seen", _SEEN, batch_id))
+        _write_batch(total.groupBy("topic").agg(F.sum("seen").cast("long").alias("seen")), f"{path}/seen", batch_id)
+        before = _state(spark, f"{path}/newest", _ROW, batch_id)
+        _write_batch(_newest(rows.unionByName(before), n, by), f"{path}/newest", batch_id)
+
+    return step
+
+
+def run_last_n(posts: DataFrame, name: str, n: int = 100, by: Sequence[str] = ("topic",),
+               checkpoint: str | None = None, path: str | None = None) -> RunResult:
+    return run_batches(posts, name, last_n_step(n, by), "append", checkpoint, path)
+
+
+def read_last_n(spark: SparkSession, r: RunResult, by: Sequence[str] = ("topic",)) -> DataFrame:
+    """topic (unless global), seen, window_sentiment, window_size after the last batch."""
+    score = F.col("sentiment_score").cast("decimal(18,4)")
+    means = _state(spark, f"{r.path}/newest", _ROW).groupBy(*by).agg(
+        F.round(F.avg(score), 4).cast("double").alias("window_sentiment"), F.count(F.lit(1)).alias("window_size"))
+    seen = _state(spark, f"{r.path}/seen", _SEEN).groupBy(*by).agg(F.sum("seen").cast("long").alias("seen"))
+    key = list(by) or ["_all"]
+    if not by:
+        means, seen = means.withColumn("_all", F.lit(0)), seen.withColumn("_all", F.lit(0))
+    return seen.join(means, key).select(*by, "seen", "window_sentiment", "window_size")
 
 
 # ---- multi-run scenarios: restart, late data, concurrent groups ---------------------------------------
 
 def split_by_time(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The events table as (older half, newer half) around the midpoint of its time range."""
+    """The events table as (older half, newer half) around the midpoint of its time range (in microseconds)."""
     from tidepool.sources.tables import read_table
 
     e = read_table(spark, sf_dir, "events")
-    mid = e.agg((F.min("ts").cast("timestamp").cast("double") / 2
-                 + F.max("ts").cast("timestamp").cast("double") / 2).alias("m")).first()["m"]
-    cut = F.lit(mid).cast("timestamp").cast("timestamp_ntz")
-    return e.where(F.col("ts") < cut), e.where(F.col("ts") >= cut)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = e.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).first()
+    old = us < F.lit(((ends["lo"] or 0) + (ends["hi"] or 0)) // 2)
+    return e.where(old), e.where(~old)
 
 
 def land(df: DataFrame, folder: str) -> None:
@@ -339,11 +370,52 @@ def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "*.parquet").parquet(folder)
 
 
-def progress_rows(progress: list) -> tuple[int, int]:
-    """(input rows, rows dropped by the watermark) summed over a run's micro-batches."""
-    rows = sum(p.get("numInputRows", 0) for p in progress)
-    dropped = sum(s.get("numRowsDroppedByWatermark", 0) for p in progress for s in p.get("stateOperators", []))
-    return rows, dropped
+_LATE = T.StructType([T.StructField("input_rows", T.LongType()), T.StructField("late_rows", T.LongType()),
+                      T.StructField("mark", T.TimestampNTZType())])
+
+
+def late_step(width: str = "1 minute", delay: dt.timedelta = dt.timedelta(minutes=10)):
+    """Rows of each micro-batch, and those whose window the watermark of earlier batches has already closed."""
+    def step(posts: DataFrame, batch_id: int, path: str) -> None:
+        spark = posts.sparkSession
+        old = _state(spark, path, _LATE, batch_id).first()
+        mark = old["mark"] if old else None
+        closes = F.window("event_time", width)["end"].cast("timestamp_ntz")
+        late = F.lit(False) if mark is None else closes <= F.lit(mark)
+        got = posts.withColumn("_late", late).agg(
+            F.count(F.lit(1)).alias("input_rows"), F.coalesce(F.count_if("_late"), F.lit(0)).alias("late_rows"),
+            F.max("posted_at").alias("top")).first()
+        marks = [m for m in (mark, got["top"] and got["top"] - delay) if m is not None]
+        row = (got["input_rows"], got["late_rows"], max(marks, default=None))
+        _write_batch(spark.createDataFrame([row], _LATE), path, batch_id)
+
+    return step
+
+
+def late_counts(spark: SparkSession, r: RunResult, after: int = -1) -> DataFrame:
+    """input_rows and late_rows over the batches behind ``after``."""
+    rows = spark.read.schema(T.StructType([*_LATE.fields, T.StructField("batch", T.LongType())])).parquet(r.path)
+    return rows.where(F.col("batch") > after).agg(F.sum("input_rows").alias("input_rows"),
+                                                  F.sum("late_rows").alias("late_rows"))
+
+
+_COMMIT = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("committed", T.LongType())])
+
+
+def commit_step(route: Callable[[DataFrame], DataFrame]):
+    """Commit what a consumer group has read: the next offset of each partition, after every batch."""
+    def step(batch: DataFrame, batch_id: int, path: str) -> None:
+        spark = batch.sparkSession
+        read = route(batch).groupBy("partition").agg(F.count(F.lit(1)).alias("committed"))
+        every = read.unionByName(_state(spark, path, _COMMIT, batch_id))
+        _write_batch(every.groupBy("partition").agg(F.sum("committed").cast("long").alias("committed")), path, batch_id)
+
+    return step
+
+
+def commits(spark: SparkSession, r: RunResult) -> DataFrame:
+    """The group's committed offsets: the commit table of its last batch."""
+    return _state(spark, r.path, _COMMIT)
 
 
 def run_concurrently(queries: dict[str, DataFrame], mode: str = "complete") -> dict[str, RunResult]:
@@ -352,14 +424,11 @@ def run_concurrently(queries: dict[str, DataFrame], mode: str = "complete") -> d
     for name, df in queries.items():
         spark = df.sparkSession
         path, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-
-        def write(batch: DataFrame, batch_id: int, _p=path) -> None:
-            batch.write.mode("overwrite").parquet(_p)
-
-        q = _start(df.writeStream.outputMode(mode).foreachBatch(write).queryName(f"group_{name}"), ck)
+        q = _start(df.writeStream.outputMode(mode).queryName(f"group_{name}")
+                   .foreachBatch(lambda batch, batch_id, to=path: _write_batch(batch, to, batch_id)), ck)
         started[name] = (q, path, ck)
     out = {}
     for name, (q, path, ck) in started.items():
         q.awaitTermination()
-        out[name] = RunResult(path, ck, q.recentProgress)
+        out[name] = RunResult(path, ck)
     return out

@@ -1,8 +1,8 @@
-"""Streaming report: one JSON document per section, assembled from the stream sinks by Spark.
+"""Streaming report: one JSON document per row, section by section, assembled from the stream sinks by Spark.
 
-Each section is a small, bounded table (keys of a running aggregate, top-10 leaderboard, first-5
-alerts, one row per partition) folded into a JSON string with ``to_json(collect_list(struct(...)))``.
-The report is written as JSON to the shared folder (the object-store checkpoint of the run).
+A section is a keyed table (a running aggregate, top-10 leaderboard, first-5 alerts, one row per partition), so
+nothing is gathered into one value. The report is written as JSON, a folder per section, to the shared folder
+(the object-store checkpoint of the run).
 """
 
 from __future__ import annotations
@@ -17,52 +17,56 @@ from tidepool.streaming import jobs as J
 
 SAMPLE_ALERTS = 5
 LEADERBOARD = 10
+POST_PARTITIONS, TREND_PARTITIONS = 4, 2
 
 
-def _section(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("payload")).select(
-        F.lit(name).alias("section"), "payload")
+def _section(name: str, df: DataFrame, key: list[str]) -> DataFrame:
+    """One report row per row of a section: its key as text and the row as JSON."""
+    item = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
+    return df.select(F.lit(name).alias("section"), item.alias("item"), F.to_json(F.struct(*df.columns)).alias("payload"))
 
 
-def stream_report(spark: SparkSession, sf_dir: str, alert_threshold: float = -0.5,
-                  max_records: int = 200, polls: int = 12) -> DataFrame:
-    ev = J.event_stream(spark, sf_dir, 1)
+def stream_report(spark: SparkSession, sf_dir: str, alert_threshold: float = -0.5) -> DataFrame:
+    ev = J.event_stream(spark, sf_dir)
     posts = J.post_messages(ev)
     groups = J.run_concurrently({
         "topic_breakdown": J.topic_counts(posts),
         "platform_stats": J.platform_stats(posts),
         "trend_velocity": J.hashtag_velocity(J.trend_messages(ev)),
     })
-    alerts = J.run_append(J.spike_alerts(posts, 20, alert_threshold), "report-alerts")
-    last = J.run_append(J.last_n_means(posts, 100), "report-last100")
-    processed, _ = J.progress_rows(groups["topic_breakdown"].progress)
-    batches = len([p for p in groups["topic_breakdown"].progress if p.get("numInputRows", 0)])
+    alerts = J.run_spikes(posts, "report-alerts", threshold=alert_threshold)
+    last = J.run_last_n(posts, "report-last100")
+    consumer = J.run_batches(posts, "report-commits",
+                             J.commit_step(lambda batch: R.route(batch, "post_id", POST_PARTITIONS)))
 
-    al = J.read_result(spark, alerts)
-    p = views.posts(spark, sf_dir).select("post_id", "event_id", "posted_at")
-    first_alerts = (al.join(p, "post_id").orderBy("posted_at", "event_id").limit(SAMPLE_ALERTS)
-                      .select("alert_type", "topic", "window_avg", "post_id"))
-    topic = R.with_offsets(R.route(p, "post_id", 4), ["posted_at", "event_id"])
+    topics = J.read_snapshot(spark, groups["topic_breakdown"])
+    velocity = J.read_snapshot(spark, groups["trend_velocity"])
+    al = J.read_spikes(spark, alerts)
+    p = views.posts(spark, sf_dir).select("post_id")
+    first_alerts = al.orderBy("trigger_time", "post_id").limit(SAMPLE_ALERTS)
     trends = views.trend_events(spark, sf_dir)
+    routed = R.route(p, "post_id", POST_PARTITIONS)
+    processed = [topics.agg(F.sum("count").alias("n")).select(F.lit("sentiment-processor").alias("g"), "n"),
+                 velocity.agg(F.sum("messages").alias("n")).select(F.lit("trend-tracker").alias("g"), "n")]
     sections = [
-        spark.createDataFrame([("sentiment_processing",
-                                f'{{"consumer_group":"sentiment-processor","total_processed":{processed},'
-                                f'"total_batches":{batches}}}')], "section string, payload string"),
-        _section("topic_breakdown", J.read_result(spark, groups["topic_breakdown"])),
-        _section("platform_summary", J.finish_platform_stats(J.read_result(spark, groups["platform_stats"]))),
-        _section("window_sentiment", J.latest_per_key(J.read_result(spark, last))),
-        al.agg(F.to_json(F.struct(F.count(F.lit(1)).alias("alerts_raised"))).alias("payload")).select(
-            F.lit("alerts_raised").alias("section"), "payload"),
-        _section("sample_alerts", first_alerts),
-        _section("trending_leaderboard", J.leaderboard(J.read_result(spark, groups["trend_velocity"]), LEADERBOARD)),
-        _section("posts_topic_stats", R.topic_stats(R.route(p, "post_id", 4))),
-        _section("trends_topic_stats", R.topic_stats(R.route(trends, "hashtag", 2))),
-        _section("consumer_lag_after", R.consumer_lag(R.end_offsets(topic),
-                                                      R.committed_after(topic, max_records, polls))),
+        _section("processed", processed[0].unionByName(processed[1]).select(
+            F.col("g").alias("consumer_group"), F.col("n").alias("total_processed")), ["consumer_group"]),
+        _section("topic_breakdown", topics, ["topic", "sentiment_label"]),
+        _section("platform_summary", J.finish_platform_stats(J.read_snapshot(spark, groups["platform_stats"])),
+                 ["platform"]),
+        _section("window_sentiment", J.read_last_n(spark, last), ["topic"]),
+        _section("alerts_raised", al.agg(F.count(F.lit(1)).alias("alerts_raised")), ["alerts_raised"]),
+        _section("sample_alerts", first_alerts, ["trigger_time", "post_id"]),
+        _section("trending_leaderboard", J.leaderboard(velocity, LEADERBOARD), ["hashtag"]),
+        _section("posts_topic_stats", R.topic_stats(routed), ["partition"]),
+        _section("trends_topic_stats", R.topic_stats(R.route(trends, "hashtag", TREND_PARTITIONS)), ["partition"]),
+        _section("consumer_lag_after", R.consumer_lag(R.end_offsets(routed), J.commits(spark, consumer)),
+                 ["partition"]),
     ]
     rep = sections[0]
     for s in sections[1:]:
         rep = rep.unionByName(s)
     path = scratch_path(spark, "stream-report")
-    rep.coalesce(1).write.mode("overwrite").json(path)  # one row per section: ten small rows
-    return spark.read.schema("section string, payload string").json(path)
+    rep.write.mode("overwrite").partitionBy("section").json(path)
+    return spark.read.schema("section string, item string, payload string").json(path).select(
+        "section", "item", "payload")
