@@ -22,10 +22,6 @@ DEFAULT_NEGATIVE_WORDS = [
     "failure", "useless", "toxic", "outrageous", "sad", "angry",
 ]
 
-# Lexicon used on the driver's multilingual documents (frequent function words, measured on sf0.01).
-DOC_POSITIVE_WORDS = ["the", "la", "der", "que"]
-DOC_NEGATIVE_WORDS = ["and", "le", "die", "de"]
-
 
 def tokenize(text: Column) -> Column:
     """Lower-case word tokens, in order, repeats kept."""

@@ -34,24 +34,7 @@ def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) ->
     return df.where(prefix < F.lit(int(round(fraction * (1 << 32)))))
 
 
-def sample_n(df: DataFrame, key: str, n: int, seed: int = 42, total: int | None = None) -> DataFrame:
-    """Exactly min(n, |df|) rows: the n smallest md5(seed:key) values (ties by key).
-
-    A plain ``orderBy(...).limit(n)`` makes every task ship n rows to one final task. The md5 prefix is
-    uniform, so rows are first filtered to a prefix threshold expected to keep about 2n rows (a map-side
-    filter); the top n of the survivors is the exact answer whenever at least n survive, and the threshold
-    doubles until they do. Only O(n) rows ever leave their task.
-    """
+def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """Exactly min(n, |df|) rows: the n smallest md5(seed:key) values (ties by key), one TakeOrderedAndProject."""
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    prefix = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")  # uniform in [0, 2^32)
-    keyed = df.withColumn("_h", h).withColumn("_p", prefix)
-    total = df.count() if total is None else total
-    if total <= n:
-        return keyed.orderBy("_h", key).drop("_h", "_p")
-    space = 1 << 32
-    t = min(space, max(1, (2 * n * space) // total))
-    while True:
-        cand = keyed.where(F.col("_p") < F.lit(t))
-        if t >= space or cand.count() >= n:
-            return cand.orderBy("_h", key).limit(n).drop("_h", "_p")
-        t = min(space, t * 2)
+    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidepool.operators.ranking import global_cumsum
-from tidepool.session import ensure_checkpoint_dir
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -71,140 +70,102 @@ def duplicate_rows(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def _long_numeric(datasets: Mapping[str, DataFrame]) -> DataFrame:
+APPROX_ACCURACY = 10_000    # sketch accuracy: rank error at most N / accuracy
+
+
+def _valid(col: str) -> Column:
+    """The column as a double; NaN counts as missing."""
+    x = F.col(col).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _one_row(df: DataFrame, aggs: list[Column]) -> list:
+    """One wide aggregate of a dataset: a single row with a value per column."""
+    return list(df.agg(*aggs).first())
+
+
+def quartile_rows(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75),
+                  accuracy: int = APPROX_ACCURACY) -> list[tuple]:
+    """Exact linear-interpolated quantiles: (dataset, column, quantiles, n) of every numeric column with values.
+
+    Wide passes over each dataset, all columns at once: counts; mergeable sketches that bracket the target
+    ranks in a band of values; how many values lie below each band; and the band's own values, counted before
+    they are exchanged and ordered by a range-partitioned running count. The same passes at every size: with n
+    values the band is widened by 2 / n, so in a small column it is simply the whole column.
+    What comes back is a few numbers per column.
+    """
+    columns: list[tuple[str, str, int]] = []          # dataset, column, values
+    bands: list[tuple[int, int, int]] = []            # column, quantile, values below the band
     parts = []
     for name, df in datasets.items():
         cols = numeric_columns(df)
         if not cols:
             continue
-        x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-        long = x.unpivot([], cols, "column_name", "value")
-        parts.append(long.select(F.lit(name).alias("dataset"), "column_name", "value"))
-    return _union(parts).where(F.col("value").isNotNull() & ~F.isnan("value"))
-
+        sized = [(c, n) for c, n in zip(cols, _one_row(df, [F.count(_valid(c)) for c in cols])) if n]
+        if not sized:
+            continue
+        sketches = _one_row(df, [F.percentile_approx(_valid(c), [
+            f for p in probs for f in (max(0.0, p - 3.0 / accuracy - 2.0 / n), min(1.0, p + 3.0 / accuracy + 2.0 / n))],
+            accuracy) for c, n in sized])
+        own = [(len(columns) + k, c, b, sketches[k][2 * b], sketches[k][2 * b + 1])
+               for k, (c, _) in enumerate(sized) for b in range(len(probs))]
+        below = _one_row(df, [F.count_if(_valid(c) < F.lit(lo)) for _, c, _, lo, _ in own])
+        hits = F.array_compact(F.array(*[
+            F.when(_valid(c).between(lo, hi),
+                   F.struct(F.lit(k).alias("k"), F.lit(b).alias("b"), _valid(c).alias("value")))
+            for k, c, b, lo, hi in own]))
+        parts.append(df.select(F.explode(hits).alias("h")).select("h.*"))
+        columns += [(name, c, n) for c, n in sized]
+        bands += [(k, b, under) for (k, _, b, _, _), under in zip(own, below)]
+    if not columns:
+        return []
+    counted = _union(parts).groupBy("k", "b", "value").agg(F.count(F.lit(1)).alias("n"))
+    along = global_cumsum(counted, ["k", "b", "value"], "n", "cum")
+    # Running counts go over all bands; a band starts where the ones before it end.
+    ends = {(r["k"], r["b"]): r["cum"] for r in along.groupBy("k", "b").agg(F.max("cum").alias("cum")).collect()}
+    start, wanted = 0, []
+    for k, b, under in bands:
+        h = (columns[k][2] - 1) * probs[b]
+        low = int(h)
+        for side, pos in ((0, low), (1, min(low + 1, columns[k][2] - 1))):
+            wanted.append((k, b, side, h - low, start + pos - under))
+        start = ends[k, b]
+    spots = parts[0].sparkSession.createDataFrame(wanted, "k int, b int, side int, frac double, spot long")
+    found = along.join(F.broadcast(spots), ["k", "b"]).where(
+        (F.col("cum") - F.col("n") <= F.col("spot")) & (F.col("spot") < F.col("cum")))
+    got = {(r["k"], r["b"], r["side"]): (r["value"], r["frac"])
+           for r in found.select("k", "b", "side", "value", "frac").collect()}
+    if len(got) != len(wanted):
+        raise RuntimeError("a quantile band missed a rank")
+    out = []
+    for k, (name, c, n) in enumerate(columns):
+        ends_of = [(got[k, b, 0], got[k, b, 1][0]) for b in range(len(probs))]
+        out.append((name, c, [lo + (hi - lo) * frac for (lo, frac), hi in ends_of], n))
+    return out
 
-APPROX_ACCURACY = 10_000    # sketch accuracy: rank error at most N / accuracy
-EXACT_BELOW = 1_000_000     # columns with fewer values use one unbounded band (ordered in full)
 
+def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75), accuracy: int = APPROX_ACCURACY) -> DataFrame:
+    """(dataset, column_name, q1, q3, n), one row per numeric column."""
+    spark = next(iter(datasets.values())).sparkSession
+    return spark.createDataFrame([(d, c, *q, n) for d, c, q, n in quartile_rows(datasets, probs, accuracy)],
+                                 "dataset string, column_name string, q1 double, q3 double, n long")
 
-def _bands(long: DataFrame, probs, accuracy: int, exact_below: float) -> DataFrame:
-    """Pass 1 (one scan, mergeable sketches): value bands that hold the target ranks.
 
-    Returns (dataset, column_name, group_n, band, lo, hi, targets) where targets lists (pi, p) pairs.
-    With rank error <= N/accuracy, the values at fractions p -+ 3/accuracy bracket ranks p*N -+ 2N/accuracy,
-    which contain floor(p*(N-1)) and the next rank once N >= exact_below; smaller columns get a single
-    unbounded band for all quantiles. Tiny result (one row per column and band): pinned.
-    """
-    key = ["dataset", "column_name"]
-    ensure_checkpoint_dir(long.sparkSession)
-    eps = 3.0 / accuracy
-    fracs = []
-    for p in probs:
-        fracs += [max(0.0, p - eps), min(1.0, p + eps)]
-    # Per-column sizes first (one row per column, so bounded on the driver); only columns large enough
-    # to need a band are sketched.
-    spark = long.sparkSession
-    size_rows = [(r["dataset"], r["column_name"], r["group_n"])
-                 for r in long.groupBy(*key).agg(F.count(F.lit(1)).alias("group_n")).collect()]
-    sizes = spark.createDataFrame(size_rows, "dataset string, column_name string, group_n long")
-    large = [(d, c) for d, c, n in size_rows if n >= exact_below]
-    if large:
-        big = spark.createDataFrame(large, "dataset string, column_name string")
-        apx = (long.join(F.broadcast(big), key)
-                   .groupBy(*key).agg(F.percentile_approx("value", fracs, accuracy).alias("apx")))
-        sk = sizes.join(apx, key, "left")
-    else:
-        sk = sizes.withColumn("apx", F.lit(None).cast("array<double>"))
-    tgt = lambda i, p: F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p"))
-    narrow = F.array(*[F.struct(F.lit(i).alias("band"), F.col("apx")[2 * i].alias("lo"),
-                                F.col("apx")[2 * i + 1].alias("hi"), F.array(tgt(i, p)).alias("targets"))
-                       for i, p in enumerate(probs)])
-    wide = F.array(F.struct(F.lit(0).alias("band"), F.lit(float("-inf")).alias("lo"), F.lit(float("inf")).alias("hi"),
-                            F.array(*[tgt(i, p) for i, p in enumerate(probs)]).alias("targets")))
-    b = sk.select(*key, "group_n", F.explode(F.when(F.col("group_n") < F.lit(exact_below), wide).otherwise(narrow))
-                  .alias("b")).select(*key, "group_n", "b.*")
-    return b.checkpoint(eager=True) if large else b  # pin the sketch result; a local table needs no pin
-
-
-def _pick(long: DataFrame, bands: DataFrame) -> DataFrame:
-    """Passes 2-3: count rows below each band, value-count rows inside it, locate the target ranks."""
-    key = ["dataset", "column_name"]
-    j = long.join(F.broadcast(bands.select(*key, "band", "lo", "hi")), key)
-    cls = F.when(F.col("value") < F.col("lo"), F.lit(0)).when(F.col("value") > F.col("hi"), F.lit(2)).otherwise(F.lit(1))
-    g = (j.withColumn("_c", cls).where(F.col("_c") < 2)
-          .groupBy(*key, "band", "_c", F.when(F.col("_c") == 1, F.col("value")).alias("v"))
-          .agg(F.count(F.lit(1)).alias("n")))  # map-side combined: rows below collapse to one per task
-    g = g.checkpoint(eager=True)  # small (band rows only); read by the three consumers below without a rescan
-    below = g.where(F.col("_c") == 0).groupBy(*key, "band").agg(F.sum("n").alias("below"))
-    inside = g.where(F.col("_c") == 1).select(*key, "band", F.col("v").alias("value"), "n")
-    cum = global_cumsum(inside, key + ["band", "value"], "n", "cum")
-    gsize = cum.groupBy(*key, "band").agg(F.sum("n").alias("band_n"))
-    goff = gsize.select(*key, "band", F.coalesce(F.sum("band_n").over(
-        Window.orderBy(*key, "band").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("goff"))
-    t = (bands.join(below, key + ["band"], "left").join(goff, key + ["band"], "left")
-              .select(*key, "band", "group_n", F.coalesce("below", F.lit(0)).alias("below"),
-                      F.coalesce("goff", F.lit(0)).alias("goff"), F.explode("targets").alias("tg"))
-              .select(*key, "band", "group_n", "below", "goff", "tg.pi", "tg.p"))
-    h = (F.col("group_n") - 1) * F.col("p")
-    lo = F.floor(h).cast("bigint")
-    t = t.select(*key, "band", "group_n", "below", "goff", "pi", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), lo.alias("pos"), (h - lo).alias("frac")),
-        F.struct(F.lit("hi").alias("side"), F.least(lo + 1, F.col("group_n") - 1).alias("pos"),
-                 (h - lo).alias("frac")))).alias("x")).select(*key, "band", "group_n", "below", "goff", "pi", "x.*")
-    start = F.col("below") + F.col("cum") - F.col("n") - F.col("goff")
-    return (cum.join(F.broadcast(t), key + ["band"])
-               .where((start <= F.col("pos")) & (F.col("pos") < start + F.col("n")))
-               .select(*key, "pi", "group_n", "side", "frac", "value"))
-
-
-def pinned_values(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """The long (dataset, column, value) table, computed once and written to the checkpoint folder:
-    the sketch, band and outlier passes then re-read three narrow columns instead of re-deriving them."""
-    long = _long_numeric(datasets)
-    ensure_checkpoint_dir(long.sparkSession)
-    return long.checkpoint(eager=True)
-
-
-def quartiles(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75), accuracy: int = APPROX_ACCURACY,
-              exact_below: float = EXACT_BELOW, long: DataFrame | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles of every numeric column: (dataset, column_name, q1, q3, n).
-
-    No per-group value map and no sort of whole large columns: a sketch pass narrows each quantile to a
-    band of about 6N/accuracy values, a second pass counts what lies below the band and value-counts what
-    lies in it, and only band rows are ordered. If a band ever misses its target ranks, unbounded bands
-    are used instead.
-    """
-    key = ["dataset", "column_name"]
-    long = long if long is not None else pinned_values(datasets)
-    hits = _pick(long, _bands(long, probs, accuracy, exact_below)).checkpoint(eager=True)
-    # every (column, quantile, side) must have found exactly one value: one tiny aggregate to verify
-    st = hits.agg(F.count(F.lit(1)).alias("h"), F.countDistinct(*key).alias("k")).first()
-    if st["h"] == 0 or st["h"] != 2 * len(probs) * st["k"]:
-        hits = _pick(long, _bands(long, probs, accuracy, float("inf"))).checkpoint(eager=True)
-    picked = hits.groupBy(*key, "group_n", "pi", "frac").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("value"))).alias("vlo"),
-        F.max(F.when(F.col("side") == "hi", F.col("value"))).alias("vhi"))
-    q = picked.select(*key, "group_n", "pi", (F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac")).alias("q"))
-    out = q.groupBy(*key).agg(F.max("group_n").alias("n"),
-                              *[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))])
-    return out.select(*key, F.col("q0").alias("q1"), F.col("q1").alias("q3"), F.col("n").cast("bigint").alias("n"))
-
-
-def outliers(datasets: Mapping[str, DataFrame], factor: float = OUTLIER_IQR_FACTOR,
-             q: DataFrame | None = None, long: DataFrame | None = None) -> DataFrame:
+def outliers(datasets: Mapping[str, DataFrame], factor: float = OUTLIER_IQR_FACTOR) -> DataFrame:
     """(dataset, column_name, outliers): values strictly beyond [Q1 - f*IQR, Q3 + f*IQR]; only > 0 rows.
 
-    One scan with the per-column bounds broadcast (a table with one row per column).
+    One more wide pass per dataset, with each column's bounds in the plan.
     """
-    long = long if long is not None else pinned_values(datasets)
-    q = q if q is not None else quartiles(datasets, long=long)
-    iqr = F.col("q3") - F.col("q1")
-    bounds = q.select("dataset", "column_name", (F.col("q1") - factor * iqr).alias("lo"),
-                      (F.col("q3") + factor * iqr).alias("hi"))
-    j = long.join(F.broadcast(bounds), ["dataset", "column_name"])
-    c = j.groupBy("dataset", "column_name").agg(
-        F.count_if((F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))).cast("bigint").alias("outliers"))
-    return c.where(F.col("outliers") > 0)
+    bounds: dict[str, list[tuple[str, float, float]]] = {}
+    for name, col, (q1, q3), _ in quartile_rows(datasets):
+        bounds.setdefault(name, []).append((col, q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)))
+    parts = []
+    for name, cols in bounds.items():
+        wide = datasets[name].agg(*[F.count_if((_valid(c) < F.lit(lo)) | (_valid(c) > F.lit(hi))).alias(c)
+                                    for c, lo, hi in cols])
+        parts.append(wide.unpivot([], [c for c, _, _ in cols], "column_name", "outliers")
+                     .select(F.lit(name).alias("dataset"), "column_name", F.col("outliers").cast("bigint")))
+    return _union(parts).where(F.col("outliers") > 0)
 
 
 def range_violations(datasets: Mapping[str, DataFrame], column: str = RANGE_COLUMN,
@@ -238,15 +199,13 @@ def orphans(child: DataFrame, parent: DataFrame, key: str, child_id: str) -> Dat
 
 def issues(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """Long-form issue table (dataset, check, column_name, n), only checks that found something."""
-    long = pinned_values(datasets)
-    q = quartiles(datasets, long=long)
     parts = [
         null_counts(datasets).select("dataset", F.lit("nulls").alias("check"), "column_name",
                                      F.col("null_count").alias("n")),
         duplicate_rows(datasets).where(F.col("duplicate_rows") > 0).select(
             "dataset", F.lit("duplicates").alias("check"), F.lit(None).cast("string").alias("column_name"),
             F.col("duplicate_rows").alias("n")),
-        outliers(datasets, q=q, long=long).select("dataset", F.lit("outliers").alias("check"), "column_name",
+        outliers(datasets).select("dataset", F.lit("outliers").alias("check"), "column_name",
                                      F.col("outliers").alias("n")),
         range_violations(datasets).where(F.col("violations") > 0).select(
             "dataset", F.lit("sentiment_range_violation").alias("check"), "column_name",

@@ -101,6 +101,7 @@ def write_index(post: DataFrame, path: str, buckets: int = 64) -> dict[str, str]
     root = path.rstrip("/")
     out = {"postings": f"{root}/postings", "df": f"{root}/df"}
     (post.withColumn("bucket", term_bucket(F.col("term"), buckets))
+         .hint("rebalance", "bucket")  # a bucket's rows meet in a few tasks: few files, none from every task
          .write.mode("overwrite").partitionBy("bucket").parquet(out["postings"]))
     document_frequency(post).write.mode("overwrite").parquet(out["df"])
     return out

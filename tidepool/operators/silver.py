@@ -11,7 +11,7 @@ from tidepool.operators.dedup import drop_metadata, keep_first
 
 def silver_users(users: DataFrame) -> DataFrame:
     u = drop_metadata(users).fillna({"location": "Unknown"})
-    u = keep_first(u, ["user_id"], ["user_id"])
+    u = keep_first(u, ["user_id"], [c for c in u.columns if c != "user_id"])
     return (u.withColumn("is_influencer", C.is_influencer(F.col("followers")))
              .withColumn("follower_tier", C.follower_tier(F.col("followers"))))
 
@@ -19,7 +19,7 @@ def silver_users(users: DataFrame) -> DataFrame:
 def silver_posts(posts: DataFrame, dedup: bool = True) -> DataFrame:
     p = drop_metadata(posts)
     if dedup:
-        p = keep_first(p, ["post_id"], ["posted_at"])
+        p = keep_first(p, ["post_id"], ["posted_at", *[c for c in p.columns if c not in ("post_id", "posted_at")]])
     ts = F.col("posted_at")
     return p.select(
         *[c for c in p.columns if c != "sentiment_score"],

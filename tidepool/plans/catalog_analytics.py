@@ -58,7 +58,7 @@ select topic, sentiment_label, count(*) as post_count, (cast(sign(cast(sum(cast(
   cast(rank() over (partition by sentiment_label order by count(*) desc) as bigint) as topic_rank
 from fact_posts group by topic, sentiment_label""")
 def q_vw_topic_sentiment_rank(spark, sf):
-    return A.run_view(spark, "vw_topic_sentiment_rank", _tables(spark, sf))
+    return A.run_view("vw_topic_sentiment_rank", _tables(spark, sf))
 
 
 @query("vw_influencer_impact", """
@@ -83,7 +83,7 @@ select post_date, topic, count(*) as daily_posts, (cast(sign(cast(sum(cast(senti
         rows between 6 preceding and current row) / cast(7 as double), 2) as engagement_7d_avg
 from fact_posts group by post_date, topic""")
 def q_vw_daily_sentiment_trend(spark, sf):
-    return A.run_view(spark, "vw_daily_sentiment_trend", _tables(spark, sf))
+    return A.run_view("vw_daily_sentiment_trend", _tables(spark, sf))
 
 
 @query("vw_platform_health", """
@@ -93,7 +93,7 @@ select source, count(*) as total_calls, cast(sum(is_error) as bigint) as error_c
   (cast(sign(cast(sum(cast(records_fetched as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(records_fetched as decimal(18, 0)))  * 1 as hugeint)) * 10 + count(records_fetched)  * 1) // (2 * count(records_fetched)  * 1)) as double) / 10) as avg_records_per_call
 from stg_api_logs group by source""")
 def q_vw_platform_health(spark, sf):
-    return A.run_view(spark, "vw_platform_health", _tables(spark, sf))
+    return A.run_view("vw_platform_health", _tables(spark, sf))
 
 
 @query("vw_viral_content_analysis", """
@@ -103,7 +103,7 @@ select platform, topic, sentiment_label, count(case when is_viral = 1 then 1 end
   (cast(sign(cast(sum(cast(case when is_viral = 1 then engagement_score end as decimal(18, 0)))  * 1 as hugeint)) * ((2 * abs(cast(sum(cast(case when is_viral = 1 then engagement_score end as decimal(18, 0)))  * 1 as hugeint)) * 100 + count(case when is_viral = 1 then engagement_score end)  * 1) // (2 * count(case when is_viral = 1 then engagement_score end)  * 1)) as double) / 100) as avg_viral_engagement
 from fact_posts group by platform, topic, sentiment_label""")
 def q_vw_viral_content_analysis(spark, sf):
-    return A.run_view(spark, "vw_viral_content_analysis", _tables(spark, sf))
+    return A.run_view("vw_viral_content_analysis", _tables(spark, sf))
 
 
 @query("kpis", """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from tidepool.operators import gold
-from tidepool.plans.common import s_api_logs, s_hashtag_trends, s_posts, s_users
+from tidepool.plans.common import hashtag_trends, s_api_logs, s_hashtag_trends, s_posts, s_users
 from tidepool.plans.oracle_views import exact_avg4
 from tidepool.plans.registry import query
 from tidepool.sources import views
@@ -95,14 +95,14 @@ from tidepool.operators import quality as Q  # noqa: E402
 # Column lists of the checked datasets (name -> [(column, kind)]), kind: n=integer, f=float, o=other.
 _DQ_COLS = {
     "users": [("user_id", "n"), ("username", "o"), ("platform", "o"), ("location", "o"), ("followers", "n"),
-              ("verified", "o"), ("account_age_days", "n"), ("email", "o")],
+              ("following", "n"), ("verified", "o"), ("account_age_days", "n"), ("language", "o"), ("email", "o")],
     "posts": [("post_id", "o"), ("event_id", "n"), ("user_id", "n"), ("platform", "o"), ("topic", "o"),
               ("hashtags", "o"), ("likes", "n"), ("shares", "n"), ("comments", "n"), ("sentiment_label", "o"),
               ("sentiment_score", "f"), ("posted_at", "o"), ("is_viral", "o")],
     "hashtag_trends": [("trend_date", "o"), ("hashtag", "o"), ("topic", "o"), ("post_count", "n"),
                        ("total_likes", "n"), ("total_shares", "n"), ("avg_sentiment", "f"), ("viral_count", "n")],
     "api_logs": [("log_id", "n"), ("log_ts", "o"), ("source", "o"), ("endpoint", "o"), ("status_code", "n"),
-                 ("response_time_ms", "f"), ("records_fetched", "n")],
+                 ("response_time_ms", "f"), ("records_fetched", "n"), ("rate_limited", "o")],
 }
 _DQ_SRC = {"users": "users", "posts": "posts_with_replays", "hashtag_trends": "hashtag_trends", "api_logs": "api_logs"}
 _PK = {"users": "user_id", "posts": "post_id", "api_logs": "log_id"}
@@ -110,7 +110,7 @@ _PK = {"users": "user_id", "posts": "post_id", "api_logs": "log_id"}
 
 def dq_datasets(spark, sf):
     return {"users": views.users(spark, sf), "posts": views.posts_with_replays(spark, sf),
-            "hashtag_trends": views.hashtag_trends(spark, sf), "api_logs": views.api_logs(spark, sf)}
+            "hashtag_trends": hashtag_trends(spark, sf), "api_logs": views.api_logs(spark, sf)}
 
 
 def _sql_nulls():

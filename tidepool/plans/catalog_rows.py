@@ -16,10 +16,10 @@ from tidepool.sources.tables import read_table
 
 
 @query("dedup_posts", """
-select * exclude (rn) from (select *, row_number() over (partition by post_id order by posted_at) as rn
+select * exclude (rn) from (select *, row_number() over (partition by post_id order by posted_at, event_id) as rn
                             from posts_with_replays) where rn = 1""")
 def q_dedup_posts(spark, sf):
-    return keep_first(views.posts_with_replays(spark, sf), ["post_id"], ["posted_at"])
+    return keep_first(views.posts_with_replays(spark, sf), ["post_id"], ["posted_at", "event_id"])
 
 
 @query("sample_frac", """
@@ -90,13 +90,17 @@ def q_parse_timestamps(spark, sf):
     return e.select("event_id", "raw_ts", parsed.alias("parsed_ts"), parsed.isNotNull().alias("is_valid"))
 
 
-@query("bronze_ingest")
+@query("bronze_ingest", """
+select *, 'events.parquet' as source_name, '1.0' as _pipeline_version, true as stamped from events""")
 def q_bronze_ingest(spark, sf):
-    """Stamp raw post rows, append them to the bronze landing folder (partitioned by ingest date), and
-    return what landed."""
-    path = scratch_path(spark, "bronze-posts")
-    bronze.write_bronze(bronze.stamp(views.posts(spark, sf, events=bronze.read_raw(spark, sf, "events"))), path)
-    return spark.read.parquet(path)
+    """Land the raw event rows unchanged, stamped; a source that is missing is recorded and skipped."""
+    root = scratch_path(spark, "bronze")
+    landed, status = bronze.ingest(spark, sf, ["events", "no_such_source"], root)
+    assert {r["source"]: r["landed"] for r in status.collect()} == {"events": True, "no_such_source": False}
+    e = spark.read.parquet(landed["events"])
+    return e.select(*read_table(spark, sf, "events").columns,
+                    F.regexp_extract("_source_file", r"/([^/]*[.]parquet)(?:/[^/]*)?$", 1).alias("source_name"),
+                    "_pipeline_version", F.col("_ingested_at").isNotNull().alias("stamped"))
 
 
 _LAYER_TABLES = {

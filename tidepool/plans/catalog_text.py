@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidepool.functions import columns as C
-from tidepool.functions.text import DOC_NEGATIVE_WORDS, DOC_POSITIVE_WORDS, standardise_text
+from tidepool.functions.text import DEFAULT_NEGATIVE_WORDS, DEFAULT_POSITIVE_WORDS, standardise_text
 from tidepool.operators import analytics as A
 from tidepool.operators import search as S
 from tidepool.plans.registry import query
 from tidepool.sources import views
-from tidepool.sources.tables import read_table, spread_for_cpu
+from tidepool.sources.tables import read_table
 
-_POS = ", ".join(f"'{w}'" for w in DOC_POSITIVE_WORDS)
-_NEG = ", ".join(f"'{w}'" for w in DOC_NEGATIVE_WORDS)
+_POS = ", ".join(f"'{w}'" for w in DEFAULT_POSITIVE_WORDS)
+_NEG = ", ".join(f"'{w}'" for w in DEFAULT_NEGATIVE_WORDS)
 
 # DuckDB form of the lexicon classifier over doc_tokens (tokens) -> nlp_* columns.
 _SQL_SCORED = f"""
@@ -29,7 +29,7 @@ scored as (
 
 
 def _scored(spark, sf):
-    return S.score_documents(views.docs(spark, sf), DOC_POSITIVE_WORDS, DOC_NEGATIVE_WORDS)
+    return S.score_documents(views.docs(spark, sf), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS)
 
 
 @query("tokenize", "select doc_id, tokens from doc_tokens")
@@ -40,7 +40,7 @@ def q_tokenize(spark, sf):
 @query("standardise_text", """
 select doc_id, lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as text_std from documents""")
 def q_standardise_text(spark, sf):
-    d = spread_for_cpu(read_table(spark, sf, "documents").select("doc_id", "text"))
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", standardise_text(F.col("text")).alias("text_std"))
 
 
@@ -172,7 +172,7 @@ select r.query_id, r.rank, r.doc_id, round(r.score, 4) as relevance_score, d.lan
 from r join docs d on r.doc_id = d.doc_id where r.rank <= 10""")
 def q_search_topk(spark, sf):
     dt = views.doc_tokens(spark, sf)
-    n_docs = views.docs(spark, sf).count()  # N: a row count, answered from Parquet metadata where possible
+    n_docs = read_table(spark, sf, "documents").count()  # N: answered from the Parquet footers
     hits = S.search(views.search_queries(spark, sf), S.postings(dt), n_docs, k=10)
     docs = views.docs(spark, sf).select("doc_id", "lang", "source", "sentiment_label")
     # at most k rows per query on the left: the join fetches the document fields for the hits only

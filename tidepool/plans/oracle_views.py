@@ -35,14 +35,17 @@ from (select event_id, user_id, ts, cast(json_extract_string(props, '$.k') as in
 select c_custkey as user_id, c_name as username, {_PLATFORM.format(u='c_custkey')} as platform,
   case when c_custkey % 50 = 0 then null else n_name end as location,
   cast(floor(c_acctbal * c_acctbal / cast(500 as double)) as bigint) as followers,
+  50 + (c_custkey * 37) % 4951 as following,
   c_custkey % 20 = 0 as verified, 30 + c_custkey % 3620 as account_age_days,
+  ['en', 'es', 'fr', 'de', 'pt'][c_custkey % 5 + 1] as language,
   lower(regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g')) || '@' || lower(c_mktsegment) || '.com' as email
 from customer join nation on c_nationkey = n_nationkey""",
     "api_logs": """
 select event_id as log_id, ts as log_ts, case when user_id % 2 = 0 then 'Twitter' else 'Reddit' end as source,
   '/api/' || event_type as endpoint,
   cast(case event_id % 7 when 4 then 429 when 5 then 404 when 6 then 500 else 200 end as bigint) as status_code,
-  value as response_time_ms, cast(json_extract_string(props, '$.k') as bigint) as records_fetched
+  value as response_time_ms, cast(json_extract_string(props, '$.k') as bigint) as records_fetched,
+  event_id % 11 = 3 as rate_limited
 from events""",
     "hashtag_trends": """
 select cast(posted_at as date) as trend_date, t.tag as hashtag, topic, count(*) as post_count,
@@ -95,8 +98,8 @@ select post_id, user_id, platform, topic, sentiment_label, sentiment_score, like
   post_date, post_hour, post_month, post_year
 from s_posts""",
     "dim_users": """
-select user_id, username, location, followers, follower_tier, cast(is_influencer as integer) as is_influencer,
-  cast(verified as integer) as verified, account_age_days
+select user_id, username, location, followers, following, follower_tier,
+  cast(is_influencer as integer) as is_influencer, cast(verified as integer) as verified, account_age_days, language
 from s_users""",
     "stg_api_logs": """
 select log_id, log_ts, source, endpoint, status_code, response_time_ms, records_fetched,

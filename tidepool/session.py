@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local runs, tests) is a fresh scratch folder created and set.
+    Only a ``local`` master without the setting gets a folder of this machine, removed at exit; on a cluster the
+    setting is required, for executors cannot read the driver's disk.
     """
     try:
         sc = spark.sparkContext
@@ -44,7 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc is not None else None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidepool-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, d)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

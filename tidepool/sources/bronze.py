@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.sources.tables import read_table
+from tidepool.sources.tables import read_table, table_path
 
 PIPELINE_VERSION = "1.0"
 
@@ -27,3 +27,21 @@ def write_bronze(df: DataFrame, path: str) -> None:
     """Append-only landing zone, partitioned by ingest date so re-runs add a partition, never rewrite."""
     (df.withColumn("_ingest_date", F.to_date("_ingested_at"))
        .write.mode("append").partitionBy("_ingest_date").parquet(path))
+
+
+def ingest(spark: SparkSession, sf_dir: str, names: list[str], root: str) -> tuple[dict[str, str], DataFrame]:
+    """Land each named table raw and stamped under ``root``; a missing source is recorded and the rest go on.
+
+    Returns the landed folders and a status table (source, landed, error).
+    """
+    landed, status = {}, []
+    for name in names:
+        path = table_path(sf_dir, name)
+        source = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not source.getFileSystem(spark._jsc.hadoopConfiguration()).exists(source):
+            status.append((name, False, f"no such source: {path}"))
+            continue
+        landed[name] = f"{root.rstrip('/')}/{name}"
+        write_bronze(stamp(read_raw(spark, sf_dir, name)), landed[name])
+        status.append((name, True, None))
+    return landed, spark.createDataFrame(status, "source string, landed boolean, error string")

@@ -44,19 +44,3 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table. Column pruning and filters reach the Parquet reader through Catalyst."""
     return spark.read.schema(SCHEMAS[name]).parquet(table_path(sf_dir, name))
-
-
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores when it yields fewer partitions than the cluster's parallelism.
-
-    For CPU-heavy per-row work (regex tokenising of long texts) on inputs stored as a few large row
-    groups. Decided at planning time from the file listing; on a large input the scan already has far
-    more partitions than cores and nothing is added.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            return df.repartition(par)
-    except Exception:  # noqa: BLE001 - no SparkContext (remote session): leave the scan as planned
-        pass
-    return df

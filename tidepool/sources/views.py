@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.columns import avg_round
 from tidepool.functions.text import tokenize
-from tidepool.sources.tables import read_table, spread_for_cpu
+from tidepool.sources.tables import read_table
 
 # Fixed values of the data model.
 PLATFORMS = ["Twitter", "Reddit", "Instagram", "LinkedIn"]
+LANGUAGES = ["en", "es", "fr", "de", "pt"]
 LABELS = ["positive", "negative", "neutral"]
 LABEL_BASE_SCORE = {"positive": 0.65, "negative": -0.65, "neutral": 0.05}
 POSITIVE_EVENTS = ["purchase", "signup"]
@@ -93,8 +94,10 @@ def users(spark: SparkSession, sf_dir: str, customer: DataFrame | None = None) -
         platform_of(uid).alias("platform"),
         F.when(uid % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("location"),
         F.floor(F.col("c_acctbal") * F.col("c_acctbal") / F.lit(500.0)).cast("bigint").alias("followers"),
+        (F.lit(50) + (uid * 37) % 4951).alias("following"),
         (uid % 20 == 0).alias("verified"),
         (F.lit(30) + uid % 3620).alias("account_age_days"),
+        F.element_at(F.array(*[F.lit(x) for x in LANGUAGES]), (uid % len(LANGUAGES) + 1).cast("int")).alias("language"),
         F.concat(F.lower(F.regexp_replace("c_name", "[^A-Za-z0-9]", "")), F.lit("@"),
                  F.lower(F.col("c_mktsegment")), F.lit(".com")).alias("email"),
         *meta,
@@ -113,6 +116,7 @@ def api_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(m7 == 4, 429).when(m7 == 5, 404).when(m7 == 6, 500).otherwise(200).cast("bigint").alias("status_code"),
         F.col("value").alias("response_time_ms"),
         _k(F.col("props")).cast("bigint").alias("records_fetched"),
+        (eid % 11 == 3).alias("rate_limited"),  # a draw of its own, independent of the status
     )
 
 
@@ -150,7 +154,7 @@ def trend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a stored label from ``labels`` (quality 1/0 -> positive/negative, unlabelled -> neutral)."""
-    d = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     return j.select(
@@ -162,7 +166,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, straight from the documents scan (no label join needed)."""
-    d = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return d.select("doc_id", tokenize(F.col("text")).alias("tokens"))
 
 

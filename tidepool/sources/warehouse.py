@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from tidepool.operators.ranking import global_row_number
 
+# The columns of the star schema.
 FACT_POST_COLUMNS = ["post_id", "user_id", "platform", "topic", "sentiment_label", "sentiment_score", "likes",
                      "shares", "comments", "engagement_score", "is_viral", "is_prime_time", "post_date",
                      "post_hour", "post_month", "post_year"]
-DIM_USER_COLUMNS = ["user_id", "username", "location", "followers", "follower_tier", "is_influencer",
-                    "verified", "account_age_days"]
+DIM_USER_COLUMNS = ["user_id", "username", "location", "followers", "following", "follower_tier",
+                    "is_influencer", "verified", "account_age_days", "language"]
 STG_API_COLUMNS = ["log_id", "log_ts", "source", "endpoint", "status_code", "response_time_ms",
                    "records_fetched", "is_error", "is_rate_limited", "hour"]
 
@@ -68,9 +69,12 @@ def write_layer(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
     out = {}
     for name, df in tables.items():
         path = f"{root.rstrip('/')}/{name}"
+        keys = list(partition_by.get(name, ())) if partition_by else []
+        if keys:  # rows of a folder meet in a few tasks (rebalanced by size), not one small file from every task
+            df = df.hint("rebalance", *keys)
         w = df.write.mode("overwrite")
-        if partition_by and partition_by.get(name):
-            w = w.partitionBy(*partition_by[name])
+        if keys:
+            w = w.partitionBy(*keys)
         if fmt == "csv":
             w.option("header", True).csv(path)
         else:
@@ -80,8 +84,10 @@ def write_layer(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet"
 
 
 def read_csv_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; malformed rows are kept with nulls (PERMISSIVE)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Headered CSV with a declared schema; a malformed row is kept, with its text in ``_corrupt_record``."""
+    full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    return (spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
 
 
 def table_inventory(spark: SparkSession, tables: Mapping[tuple[str, str], str]) -> DataFrame:
@@ -119,6 +125,6 @@ def missing_outputs(required: DataFrame, inventory: DataFrame) -> DataFrame:
 def validate_outputs(required: DataFrame, inventory: DataFrame) -> None:
     """Raise listing every missing output (the check itself runs in Spark; only the missing list returns)."""
     missing = missing_outputs(required, inventory)
-    rows = missing.limit(1000).collect()
+    rows = missing.collect()  # a subset of the fixed list of required outputs
     if rows:
         raise FileNotFoundError(f"Missing outputs: {[(r.layer, r.table) for r in rows]}")
