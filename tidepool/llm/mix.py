@@ -10,8 +10,8 @@ fraction times (size / mean size) ** 0.5: inclusion is unequal, a longer documen
 cut where the words taken come nearest to the remainder. Documents above ``grain`` of the remainder are cut
 first, on their own; the rest is then cut at what they leave, so one long document cannot miss the target.
 
-Scale: nothing is sorted as a whole. The rank is mapped to 65,536 bins, words are summed by (source, bin) with
-map-side sums, and only the rows of the one bin where a source's target falls are ordered. Decisions come back as
+Scale: nothing is sorted as a whole. The rank is mapped to 256 bins and those to 256 again; words are summed
+by (source, bin) with map-side sums, and only the rows of the one bin where a source's target falls are ordered. Decisions come back as
 one row per source, so applying them needs no exchange of the documents; a hot source is never one task's.
 
 Edge cases: null text has size 0 and is never sampled (it gets the whole copies). Null sources form one source.
@@ -98,27 +98,40 @@ def _cut(ranked: DataFrame, quota: DataFrame, label: str) -> DataFrame:
         q = quota.withColumnRenamed("source", "__s")
         return df.join(q, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
 
-    rows = ranked.filter("v is not null").select("source", "bin", "v", "id", "size")
-    along = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    bins = (with_quota(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")))
-            .withColumn("through", F.sum("words").over(along)))
-    cross = pin(bins.groupBy("source", "quota").agg(
-        F.min(F.when(F.col("through") > F.col("quota"),
-                     F.struct("bin", (F.col("through") - F.col("words")).alias("before")))).alias("at"),
-        F.max("through").alias("all")), f"{label}-bins")
-    at = cross.filter("at is not null").select(F.col("source").alias("__s"), F.col("at.bin").alias("__b"),
-                                               F.col("at.before").alias("before"), "quota")
-    inside = (rows.join(at, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bin") == F.col("__b")))
+    def crossing(rows: DataFrame, bin_: Column, label: str) -> DataFrame:
+        """For each source the bin in which its quota falls, and the words before it; one row per source."""
+        along = Window.partitionBy("source").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # at most 256 rows
+        bins = (rows.groupBy("source", "before", "quota", bin_.alias("b")).agg(F.sum("size").alias("words"))
+                .withColumn("through", F.col("before") + F.sum("words").over(along)))
+        return pin(bins.groupBy("source", "quota").agg(
+            F.min(F.when(F.col("through") > F.col("quota"),
+                         F.struct("b", (F.col("through") - F.col("words")).alias("before")))).alias("at"),
+            F.max("through").alias("all")), f"{label}-bins")
+
+    def within(rows: DataFrame, cross: DataFrame, bin_: Column) -> DataFrame:
+        at = cross.filter("at is not null").select(F.col("source").alias("__s"), F.col("at.b").alias("__b"),
+                                                   F.col("at.before").alias("before"), "quota")
+        return (rows.drop("before", "quota").join(at, F.col("source").eqNullSafe(F.col("__s")) & (bin_ == F.col("__b")))
+                .drop("__s", "__b"))
+
+    rows = with_quota(ranked.filter("v is not null").select("source", "bin", "v", "id", "size")
+                      .withColumn("before", F.lit(0).cast("long")))
+    coarse, fine_bin = F.shiftright("bin", 8), F.col("bin")
+    outer = crossing(rows, coarse, f"{label}-coarse")
+    rows = within(rows, outer, coarse)
+    cross = crossing(rows, fine_bin, label)
+    inside = (within(rows, cross, fine_bin)
               .groupBy("source", "v", "id", "before", "quota").agg(F.sum("size").alias("words")))
     fine = Window.partitionBy("source").orderBy("v", "id").rowsBetween(Window.unboundedPreceding, 0)
     taken = (inside.withColumn("through", F.col("before") + F.sum("words").over(fine))
              .filter(2 * F.col("through") - F.col("words") <= 2 * F.col("quota"))
              .groupBy("source").agg(F.max(F.struct("v", "id")).alias("last"), F.max("through").alias("got"))
              .withColumnRenamed("source", "__s"))
-    return (cross.join(taken, F.col("source").eqNullSafe(F.col("__s")), "left")
-            .select("source", F.coalesce("at.bin", F.lit(BINS)).alias("bin"), F.col("last.v").alias("v"),
-                    F.col("last.id").alias("id"),
-                    F.when(F.col("at").isNull(), F.col("all")).otherwise(F.coalesce("got", "at.before")).alias("got")))
+    found = (cross.join(taken, F.col("source").eqNullSafe(F.col("__s")), "left").select(
+        F.col("source").alias("__f"), F.col("at.b").alias("b"), "last", F.coalesce("got", "at.before").alias("got")))
+    return (outer.join(found, F.col("source").eqNullSafe(F.col("__f")), "left")
+            .select("source", F.coalesce("b", F.lit(BINS)).alias("bin"), F.col("last.v").alias("v"),
+                    F.col("last.id").alias("id"), F.coalesce("got", "all").alias("got")))
 
 
 def decisions(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = SEED,

@@ -45,7 +45,7 @@ MAX_TRAIN = 3000
 LANDMARKS = 160
 ROUNDS = 3
 WITNESSES = 4
-ANCHOR_LIFT = 2.9
+ANCHOR_LIFT, WITNESS_LIFT = 2.9, 1.5
 MAX_ANCHORS = 300
 MAX_INSTANCES = 6000
 COST = 2000.0
@@ -204,7 +204,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     lift = (d1 - n1 * rate) / np.sqrt(n1 * rate * (1 - n1 / n) + 0.5)
     lift[d1 * (n - n1) < 4 * (d0 + 0.5) * n1] = 0
     ranked = np.argsort(-lift, kind="stable")
-    anchors = ranked[:min(MAX_ANCHORS, max(40, int((lift > ANCHOR_LIFT).sum())))]
+    anchors = ranked[:min(MAX_ANCHORS, max(12, int((lift > ANCHOR_LIFT).sum())))]
     anchors = anchors[lift[anchors] > 0]
     plain = np.flatnonzero(d0 > 0)
     marked = [every[i] for i in anchors[:landmarks // 2]]
@@ -216,11 +216,19 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     at, code, weight = triples(chosen)
     in_toxic, in_clean = d1 / n1, d0 / (n - n1)                        # shares of documents, the costs of errors
 
+    known, held = np.empty(0, dtype=np.int64), np.empty((0, root.shape[1]))
+
     def trained(positive: np.ndarray, negative: np.ndarray) -> Model:
+        nonlocal known, held
         both = np.union1d(positive, negative)
-        x = kernel([every[i] for i in both], chosen) @ root
+        new = np.setdiff1d(both, known)
+        held = np.vstack([held, kernel([every[i] for i in new], chosen) @ root])
+        known = np.concatenate([known, new])
+        order = np.argsort(known)
+        x = held[order[np.searchsorted(known[order], both)]]
         up, down = np.isin(both, positive) & (d1[both] > 0), d0[both] > 0
-        cost = np.concatenate([in_toxic[both][up], in_clean[both][down]])
+        # A missed positive costs the share of toxic documents that hold it; false alarms cost alike.
+        cost = np.concatenate([in_toxic[both][up], np.where(up, in_clean[both] / (in_clean + in_toxic)[both], 1.0)[down]])
         side = np.concatenate([np.ones(up.sum()), -np.ones(down.sum())])
         for k in (1, -1):
             cost[side == k] *= COST / cost[side == k].sum()
@@ -231,14 +239,16 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     ids = [np.array([index[w] for w in words], dtype=np.int64) for words in sets]
     spare = rng.choice(plain, min(MAX_INSTANCES, len(plain)), replace=False)
     model = trained(anchors, spare)
+    witnesses: list[list[np.ndarray]] = [[spare], [anchors]]
     for _ in range(ROUNDS):
         margin = model.margins(every)
-        witnesses: list[list[np.ndarray]] = [[spare], [anchors]]
         for words, label in zip(ids, labels):
             if len(words):
                 best = words[np.argsort(-margin[words], kind="stable")[:WITNESSES]]
                 if label:
-                    best = best[(margin[best] > 0) & (in_toxic[best] > 4 * in_clean[best]) & (d1[best] > 1)]
+                    best = best[(margin[best] > 0) & (lift[best] > WITNESS_LIFT)]
+                else:
+                    best = best[margin[best] > -1]
                 witnesses[label].append(best)
         model = trained(np.unique(np.concatenate(witnesses[1])), np.unique(np.concatenate(witnesses[0])))
     margin = model.margins(every)
