@@ -33,6 +33,7 @@ from tidepool.llm.common import pin, text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.85
+SEGMENT = 512
 
 # The phrases of the base scan and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -147,7 +148,15 @@ def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[
                           for x in (F.lit(w), F.lit(i))])
     touched = F.array_distinct(F.flatten(F.transform(
         F.array_intersect("words", _strings(prefixes)), lambda w: F.try_element_at(by_word, w))))
-    block = F.array_distinct(F.slice("words", F.col("start") + 1, 2 * F.col("length")))
+    # A document is cut into segments first, so that taking a block never copies a long text; a segment holds
+    # whole the blocks that start in it. Those without a word of the template's prefix hold no candidate.
+    stride = F.col("length") * F.ceil(F.lit(SEGMENT) / F.col("length")).cast("int")
+    segments = F.filter(
+        F.transform(F.sequence(F.lit(0), F.size("words") - 1, stride),
+                    lambda s: F.struct(s.alias("first"), F.slice("words", s + 1, stride + F.col("length")).alias("part"))),
+        lambda g: F.arrays_overlap(g["part"], F.col("t_prefix")))
+    last = F.least(F.size("seg.part") - 1, stride - 1)
+    block = F.array_distinct(F.slice("seg.part", F.col("at") + 1, 2 * F.col("length")))
     in_order = F.transform(F.array_sort(F.transform("block", lambda w: F.struct(
         F.coalesce(F.try_element_at(rank, w), F.lit(len(frequencies))).alias("i"), w.alias("w")))), lambda s: s["w"])
     b_size, t_size, least = F.size("block"), F.size("t_words"), F.col("least")
@@ -156,9 +165,10 @@ def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[
     return (rows.filter("words is not null")
             .select("row", "words", F.explode(touched).alias("template"))
             .join(table, "template")
-            .select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.col("length")))
-                    .alias("start"))
-            .withColumn("block", block).filter(b_size >= least)                                  # length
+            .select("row", "template", "label", "length", "t_words", "least", "t_prefix", F.explode(segments).alias("seg"))
+            .select("*", F.explode(F.sequence(F.lit(0), last, F.col("length"))).alias("at"))
+            .withColumn("start", F.col("seg.first") + F.col("at"))
+            .withColumn("block", block).drop("seg").filter(b_size >= least)                      # length
             .withColumn("block", in_order)
             .withColumn("b_prefix", F.slice("block", 1, F.greatest(b_size - least + 1, F.lit(0))))
             .filter(F.arrays_overlap("t_prefix", "b_prefix"))                                    # prefix
