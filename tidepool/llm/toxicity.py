@@ -231,7 +231,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         cost = np.concatenate([in_toxic[both][up], np.where(up, in_clean[both] / (in_clean + in_toxic)[both], 1.0)[down]])
         side = np.concatenate([np.ones(up.sum()), -np.ones(down.sum())])
         for k in (1, -1):
-            cost[side == k] *= COST / cost[side == k].sum()
+            if total := cost[side == k].sum():
+                cost[side == k] *= COST / total
         w = _svm(np.vstack([x[up], x[down]]), side, cost)
         table = np.bincount(code, weights=weight * (root @ w[:-1])[at], minlength=LETTERS ** 3)
         return Model(table.astype(np.float32), float(w[-1]), np.ones(TOP), 0.0, share)
