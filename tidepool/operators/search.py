@@ -1,8 +1,8 @@
 """Lexicon sentiment over documents and an inverted-index search, as Spark jobs.
 
 The index is a postings table (term, doc_id) with one row per distinct term per document. Search runs
-many queries in one job: query terms join the postings, every (query, doc) pair accumulates
-``qtf * idf(term)`` with idf = ln(N / (df + 1)) + 1, and the top k per query come from a
+many queries in one job: query terms join the postings, a document's scores ``qtf * idf(term)`` with
+idf = ln(N / (df + 1)) + 1 add up in one task, and the top k per query come from a
 ``row_number() <= k`` filter, which the planner turns into a partial per-task group limit before the
 shuffle and a final one after it.
 """
@@ -62,22 +62,33 @@ def index_stats(post: DataFrame, doc_tokens: DataFrame) -> DataFrame:
     return d.unionByName(t).unionByName(p)
 
 
-def top_terms(post: DataFrame, n: int = 20) -> DataFrame:
-    return document_frequency(post).orderBy(F.col("df").desc(), F.col("term")).limit(n)
+def top_terms(df: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` terms in most documents, from a document-frequency table."""
+    return df.orderBy(F.col("df").desc(), F.col("term")).limit(n)
 
 
-def search(queries: DataFrame, post: DataFrame, doc_count: int, k: int = 10) -> DataFrame:
+BROADCAST_ROWS = 1_000_000
+
+
+def search(queries: DataFrame, post: DataFrame, doc_count: int, k: int = 10, df: DataFrame | None = None) -> DataFrame:
     """Top ``k`` documents per query: (query_id, rank, doc_id, relevance_score).
 
     ``queries`` is (query_id, tokens); repeated query tokens count again (qtf weight). Ties go to the
-    smaller doc_id. ``doc_count`` is N, the number of indexed documents (one scalar).
+    smaller doc_id. ``doc_count`` is N, the number of indexed documents; ``df`` the stored document frequencies.
+
+    Only the postings of asked terms move, dealt by document, so all scores of a document add up in one task and
+    just the k best rows per query and task are exchanged. That needs the query terms on every task: they are
+    counted, and beyond ``BROADCAST_ROWS`` the (query, document) pairs are dealt out instead.
     """
     qt = (queries.select("query_id", F.explode("tokens").alias("term"))
                  .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
-    df = document_frequency(post)
+    df = df if df is not None else document_frequency(post)
     idf = df.select("term", (F.log(F.lit(float(doc_count)) / (F.col("df") + 1)) + 1).alias("idf"))
-    # Only terms some query asks for: the postings side is filtered by the (smaller) query-term side first.
     wanted = qt.join(idf, "term")
+    if qt.count() <= BROADCAST_ROWS:
+        asked = F.broadcast(qt.select("term").distinct())
+        wanted = F.broadcast(wanted)
+        post = post.join(asked, "term", "left_semi").repartition("doc_id")
     hits = post.join(wanted, "term").groupBy("query_id", "doc_id").agg(
         F.sum(F.col("qtf") * F.col("idf")).alias("score"))
     # Scores are sums of floats whose order of addition is not fixed: rank on 9 decimals so equal

@@ -8,6 +8,7 @@ from tidepool.functions import columns as C
 from tidepool.functions.text import DEFAULT_NEGATIVE_WORDS, DEFAULT_POSITIVE_WORDS, standardise_text
 from tidepool.operators import analytics as A
 from tidepool.operators import search as S
+from tidepool.plans.common import once
 from tidepool.plans.registry import query
 from tidepool.sources import views
 from tidepool.sources.tables import read_table
@@ -134,6 +135,12 @@ def q_panel_confidence_hist(spark, sf):
     return A.confidence_histogram(_scored(spark, sf))
 
 
+def _index(spark, sf):
+    """The stored index: postings and document frequencies, built once from one tokenising pass."""
+    post = once(spark, sf, "postings", lambda s, d: S.postings(views.doc_tokens(s, d)), ("documents",))
+    return post, once(spark, sf, "term-df", lambda s, d: S.document_frequency(post), ("documents",))
+
+
 _SQL_POSTINGS = "postings as (select distinct doc_id, unnest(list_distinct(tokens)) as term from doc_tokens)"
 
 
@@ -148,15 +155,16 @@ select 'doc_count' as stat, (select count(*) from doc_tokens) as value
 union all select 'unique_terms', (select count(distinct term) from postings)
 union all select 'postings', (select count(*) from postings)""")
 def q_index_stats(spark, sf):
-    dt = views.doc_tokens(spark, sf)
-    return S.index_stats(S.postings(dt), dt)
+    post, _ = _index(spark, sf)
+    return S.index_stats(post, read_table(spark, sf, "documents"))
 
 
 @query("top_terms", f"""
 with {_SQL_POSTINGS}
 select term, count(*) as df from postings group by term order by df desc, term limit 20""")
 def q_top_terms(spark, sf):
-    return S.top_terms(S.postings(views.doc_tokens(spark, sf)))
+    _, df = _index(spark, sf)
+    return S.top_terms(df)
 
 
 @query("search_topk", f"""
@@ -171,9 +179,9 @@ r as (select *, row_number() over (partition by query_id order by round(score, 9
 select r.query_id, r.rank, r.doc_id, round(r.score, 4) as relevance_score, d.lang, d.source, d.sentiment_label
 from r join docs d on r.doc_id = d.doc_id where r.rank <= 10""")
 def q_search_topk(spark, sf):
-    dt = views.doc_tokens(spark, sf)
     n_docs = read_table(spark, sf, "documents").count()  # N: answered from the Parquet footers
-    hits = S.search(views.search_queries(spark, sf), S.postings(dt), n_docs, k=10)
+    post, df = _index(spark, sf)
+    hits = S.search(views.search_queries(spark, sf), post, n_docs, k=10, df=df)
     docs = views.docs(spark, sf).select("doc_id", "lang", "source", "sentiment_label")
     # at most k rows per query on the left: the join fetches the document fields for the hits only
     return hits.join(docs, "doc_id").select("query_id", "rank", "doc_id", "relevance_score", "lang", "source",
