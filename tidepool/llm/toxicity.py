@@ -50,7 +50,7 @@ MAX_ANCHORS = 300
 MAX_INSTANCES = 6000
 COST = 2000.0
 TOP = 3
-MEMO = 400_000
+MEMO = 200_000
 FLOOR, CEILING = -1.5, 1.5
 SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
 SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
@@ -276,15 +276,15 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
 def _scores(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, float] = {}
-        for batch in small_slices(batches):
+        for batch in small_slices(batches, 2 << 20):
             texts = batch.column("text").to_pylist()
             found = [segments(t) for t in texts]
             new = sorted(set().union(*found).difference(memo))
             if len(memo) + len(new) > MEMO:
                 memo.clear()
                 new = sorted(set().union(*found))
-            for k in range(0, len(new), 20_000):
-                part = new[k:k + 20_000]
+            for k in range(0, len(new), 5_000):
+                part = new[k:k + 5_000]
                 memo.update(zip(part, model.margins(part).tolist()))
             scores = [model.score(np.fromiter(map(memo.__getitem__, words), float, len(words))) for words in found]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
