@@ -41,13 +41,13 @@ LETTERS = 48
 END = LETTERS - 1
 DECAY = 0.6
 MAX_SPAN = 7
-MAX_TRAIN = 3000
-LANDMARKS = 160
+MAX_TRAIN = 2000
+LANDMARKS = 128
 ROUNDS = 3
 WITNESSES = 4
 ANCHOR_LIFT, WITNESS_LIFT = 2.9, 1.5
 MAX_ANCHORS = 300
-MAX_INSTANCES = 6000
+MAX_INSTANCES = 4000
 COST = 2000.0
 TOP = 3
 MEMO = 200_000
@@ -102,12 +102,12 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, code, (weight / norm[at]).astype(np.float32)
 
 
-def kernel(words: list[str], landmarks: list[str], step: int = 500) -> np.ndarray:
+def kernel(words: list[str], landmarks: list[str], step: int = 250) -> np.ndarray:
     """The kernel between every word and every landmark."""
     at, code, weight = triples(landmarks)
     table = np.zeros((LETTERS ** 3, len(landmarks)), dtype=np.float32)
     np.add.at(table, (code, at), weight)
-    out = np.zeros((len(words), len(landmarks)), dtype=np.float64)
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     for k in range(0, len(words), step):
         at, code, weight = triples(words[k:k + step])
         order = np.argsort(at, kind="stable")
@@ -127,9 +127,13 @@ class Model:
     shift: float
     share: float
 
-    def margins(self, words: list[str]) -> np.ndarray:
-        at, code, weight = triples(words)
-        return np.bincount(at, weights=weight * self.table[code], minlength=len(words)) + self.bias
+    def margins(self, words: list[str], step: int = 5000) -> np.ndarray:
+        out = np.empty(len(words), dtype=np.float32)
+        for k in range(0, len(words), step):
+            part = words[k:k + step]
+            at, code, weight = triples(part)
+            out[k:k + step] = np.bincount(at, weights=weight * self.table[code], minlength=len(part)) + self.bias
+        return out
 
     def score(self, margins: np.ndarray) -> float:
         """The score of a text whose segments have these margins."""
@@ -146,14 +150,14 @@ def top(margins: np.ndarray) -> np.ndarray:
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
     """Weights (the last one is the bias) of a linear SVM with squared hinge loss, by finite Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)])
     w = np.zeros(x.shape[1])
     reg = ridge * np.eye(len(w))
     reg[-1, -1] = 1e-6
     active = np.ones(len(x), dtype=bool)
     for _ in range(rounds):
         xa, ca = x[active], cost[active]
-        w = np.linalg.solve(xa.T @ (xa * ca[:, None]) + reg, xa.T @ (ca * y[active]))
+        w = np.linalg.solve(xa.T @ (xa * ca[:, None].astype(xa.dtype)) + reg, xa.T @ (ca * y[active]))
         now = y * (x @ w) < 1
         if np.array_equal(now, active):
             break
@@ -192,14 +196,16 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         return Model(np.zeros(LETTERS ** 3, dtype=np.float32), 0.0, None, 0.0, share)
     rng = np.random.default_rng(seed)
     y = np.array(labels)
-    sets = [sorted(set().union(*(segments(s) for s in SENTENCE_END.split(t)))) for t in texts]
-    seen = [Counter(), Counter()]
-    for words, label in zip(sets, labels):
-        seen[label].update(words)
     n1, n = int(y.sum()), len(y)
-    every = sorted(set(seen[0]) | set(seen[1]))
-    index = {w: i for i, w in enumerate(every)}
-    d1, d0 = (np.array([seen[k][w] for w in every], dtype=float) for k in (1, 0))
+    index: dict[str, int] = {}
+    ids = [np.array([index.setdefault(w, len(index)) for w in sorted(set().union(*map(segments, SENTENCE_END.split(t))))],
+                    dtype=np.int32) for t in texts]
+    every = list(index)
+    del index
+    d1, d0 = (np.bincount(np.concatenate([i for i, label in zip(ids, labels) if label == k] or [ids[0][:0]]),
+                          minlength=len(every)).astype(np.float32) for k in (1, 0))
+    if not every:
+        return Model(np.zeros(LETTERS ** 3, dtype=np.float32), 0.0, None, 0.0, share)
     rate = (d1 + d0) / n
     lift = (d1 - n1 * rate) / np.sqrt(n1 * rate * (1 - n1 / n) + 0.5)
     lift[d1 * (n - n1) < 4 * (d0 + 0.5) * n1] = 0
@@ -216,13 +222,13 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
     at, code, weight = triples(chosen)
     in_toxic, in_clean = d1 / n1, d0 / (n - n1)                        # shares of documents, the costs of errors
 
-    known, held = np.empty(0, dtype=np.int64), np.empty((0, root.shape[1]))
+    known, held = np.empty(0, dtype=np.int64), np.empty((0, root.shape[1]), dtype=np.float32)
 
     def trained(positive: np.ndarray, negative: np.ndarray) -> Model:
         nonlocal known, held
         both = np.union1d(positive, negative)
         new = np.setdiff1d(both, known)
-        held = np.vstack([held, kernel([every[i] for i in new], chosen) @ root])
+        held = np.vstack([held, (kernel([every[i] for i in new], chosen) @ root).astype(np.float32)])
         known = np.concatenate([known, new])
         order = np.argsort(known)
         x = held[order[np.searchsorted(known[order], both)]]
@@ -237,7 +243,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
         table = np.bincount(code, weights=weight * (root @ w[:-1])[at], minlength=LETTERS ** 3)
         return Model(table.astype(np.float32), float(w[-1]), np.ones(TOP), 0.0, share)
 
-    ids = [np.array([index[w] for w in words], dtype=np.int64) for words in sets]
     spare = rng.choice(plain, min(MAX_INSTANCES, len(plain)), replace=False)
     model = trained(anchors, spare)
     witnesses: list[list[np.ndarray]] = [[spare], [anchors]]
