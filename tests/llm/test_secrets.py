@@ -56,6 +56,32 @@ def test_novelty_reports_random_keys_and_not_known_names():
     assert secrets.scan(key) == []                                  # nothing sensitive around
 
 
+def novel(text):
+    return [(a, b) for k, a, b in secrets.scan(text) if k == "novel"]
+
+
+ALPHABETS = {"digits": "0123456789", "HEX": "0123456789ABCDEF", "hex": "0123456789abcdef",
+             "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+             "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"}
+
+
+def test_random_keys_of_any_length_and_alphabet():
+    rng = random.Random(11)
+    for name, letters in ALPHABETS.items():
+        for n in (12, 15, 16, 20, 32, 40, 64, 80, 128, 200, 400, 800, 1600, 4000):
+            for _ in range(10):
+                key = "".join(rng.choice(letters) for _ in range(n))
+                for text in (f"the private key is {key} as agreed", f"use {key} as your password here"):
+                    at = text.index(key)
+                    assert novel(text) == [(at, at + n)], (name, n, text)
+
+
+def test_repeats_inside_a_string_and_plain_words_are_not_novel():
+    for text in ("token " + "abcdefgh1234" * 40, "secret " + "A" * 4000, "the password documentation of the organisation.",
+                 "international cooperation needs no passphrase"):
+        assert novel(text) == []
+
+
 def test_report_columns(spark):
     data = rows() + [(9000 + k, t, "en", "s", 1, *["x"] * 23) for k, t in enumerate(samples()) if k % 9 == 0]
     got = secrets.secret_report(spark.createDataFrame(data, SCHEMA)).collect()

@@ -1,10 +1,13 @@
 """Secret scans: fixed patterns, and novelty against a dictionary-primed zstandard compressor.
 
 Base kinds, leftmost non-overlapping matches each: ``assign``, ``access`` and ``hex``. The method adds ``novel``: a string of
-credential characters near a sensitive word is a candidate; it is compressed with a raw dictionary made of common
-identifiers and of the text around it (without the candidate itself), and its marginal cost is the growth of the
-frame over that of an empty input. A string that costs at least ``NOVELTY`` of its own length is new to both
-dictionaries: names, paths and words that recur nearby compress away, random keys do not.
+credential characters up to ``REACH`` behind a sensitive word, or before it, is a candidate; it is compressed with a raw
+dictionary made of common identifiers and of the text around it (without the candidate itself), and its
+marginal cost is the growth of the frame over that of an empty input. Zstandard entropy-codes literals from 64 bytes
+on, which tells the alphabet and not what is known, so a longer string is compressed in pieces below that, each primed
+with what stands before it in the string too. A string that costs at least ``NOVELTY`` of its own length is new to both
+dictionaries: names, paths and words that recur nearby compress away, random keys do not. Strings under ``SHORT`` that read as plain words
+are no candidates.
 
 Scale: one pass over whole texts without an exchange; memory per task is one slice of rows and one text.
 
@@ -15,7 +18,9 @@ the asked columns and ``text`` are read. Offsets are code points, ends exclusive
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -40,9 +45,14 @@ SENSITIVE_WORDS = ("password", "passwd", "passphrase", "secret", "token", "apike
                    "private_key", "private key", "access_key", "access key", "auth_key", "bearer", "authorization")
 SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE_WORDS)), re.IGNORECASE | re.ASCII)
 REACH = 96
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{12,}")
+SHORT = 16
+WORDS = re.compile(r"(?!.*[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{5})[+/_=.-]*[A-Z]?[a-z]+(?:[+/_=.-]+[A-Z]?[a-z]+)*[+/_=.-]*")
 AROUND = 512
 NOVELTY = 0.8
+# Literals of up to so many bytes are stored as they are; how far back a string's own text counts as known.
+PIECE = 63
+OWN = 4096
 
 # The identifier dictionary: names that stand where a credential could.
 IDENTIFIERS = (
@@ -58,11 +68,22 @@ IDENTIFIERS = (
 def novelty(candidate: str, before: str, after: str) -> float:
     """Marginal compressed bytes of ``candidate`` over its length, given its surroundings and the identifiers."""
     raw = candidate.encode()
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS + before.encode() + b"\n" + after.encode(),
-                                           dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    squeeze = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False,
-                                       write_dict_id=False).compress
-    return (len(squeeze(raw)) - len(squeeze(b""))) / len(raw)
+    known = IDENTIFIERS + before.encode() + b"\n" + after.encode()
+    pieces = math.ceil(len(raw) / PIECE)
+    cost = 0
+    for k in range(pieces):
+        a, b = k * len(raw) // pieces, (k + 1) * len(raw) // pieces
+        primed = zstandard.ZstdCompressionDict(known + raw[max(0, a - OWN):a], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        squeeze = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False,
+                                           write_dict_id=False).compress
+        cost += len(squeeze(raw[a:b])) - len(squeeze(b""))
+    return cost / len(raw)
+
+
+def _novel(text: str, a: int, b: int) -> bool:
+    if b - a < SHORT and WORDS.fullmatch(text, a, b):
+        return False
+    return novelty(text[a:b], text[max(0, a - AROUND):a], text[b:b + AROUND]) >= NOVELTY
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -75,17 +96,24 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     if any(w in low for w in SENSITIVE_WORDS):
-        seen: set[tuple[int, int]] = set()
-        for word in SENSITIVE.finditer(text):
-            for m in CANDIDATE.finditer(text, word.end()):
-                if m.start() - word.end() > REACH:
+        words = [w.span() for w in SENSITIVE.finditer(text)]
+        near: set[tuple[int, int]] = set()
+        for _, end in words:
+            for m in CANDIDATE.finditer(text, end):
+                if m.start() - end > REACH:
                     break
-                a, b = m.span()
-                if (a, b) in seen:
-                    continue
-                seen.add((a, b))
-                if novelty(m.group(), text[max(0, a - AROUND):a], text[b:b + AROUND]) >= NOVELTY:
-                    found.append(("novel", a, b))
+                near.add(m.span())
+        # Before a word: whole strings, unless one is already a candidate from the word inside it.
+        judged = {b for _, b in near}
+        runs = [m.span() for m in CANDIDATE.finditer(text)]
+        ends = [b for _, b in runs]
+        for start, _ in words:
+            k = bisect_left(ends, start - REACH)
+            while k < len(runs) and ends[k] <= start:
+                if ends[k] not in judged:
+                    near.add(runs[k])
+                k += 1
+        found += [("novel", a, b) for a, b in near if _novel(text, a, b)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
