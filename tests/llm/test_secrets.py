@@ -76,6 +76,18 @@ def test_random_keys_of_any_length_and_alphabet():
                     assert novel(text) == [(at, at + n)], (name, n, text)
 
 
+def test_copies_of_a_key_do_not_hide_it():
+    rng = random.Random(12)
+    for n in (12, 40, 64, 300, 600):
+        key = "Q7" + "".join(rng.choice(ALPHABETS["base64"][:62]) for _ in range(n - 2))
+        twice = f"the bearer credential is {key} and later\nsend the token {key} again"
+        assert [twice[a:b] for a, b in novel(twice)] == [key, key]
+        line = f"API_TOKEN_A={key}\n"
+        assert {b for _, b in novel(line * 5)} == {len(line) * k - 1 for k in range(1, 6)}
+        used = f"password={key}\nlogin with bearer {key}"
+        assert [used[a:b] for a, b in novel(used)] == [f"={key}", key]
+
+
 def test_repeats_inside_a_string_and_plain_words_are_not_novel():
     for text in ("token " + "abcdefgh1234" * 40, "secret " + "A" * 4000, "the password documentation of the organisation.",
                  "international cooperation needs no passphrase"):

@@ -2,11 +2,12 @@
 
 Base kinds, leftmost non-overlapping matches each: ``assign``, ``access`` and ``hex``. The method adds ``novel``: a string of
 credential characters up to ``REACH`` behind a sensitive word, or before it, is a candidate; it is compressed with a raw
-dictionary made of common identifiers and of the text around it (without the candidate itself), and its
+dictionary made of common identifiers and of the text around it (without the candidate and its copies), and its
 marginal cost is the growth of the frame over that of an empty input. Zstandard entropy-codes literals from 64 bytes
 on, which tells the alphabet and not what is known, so a longer string is compressed in pieces below that, each primed
 with what stands before it in the string too. A string that costs at least ``NOVELTY`` of its own length is new to both
-dictionaries: names, paths and words that recur nearby compress away, random keys do not. Strings under ``SHORT`` that read as plain words
+dictionaries: names, paths and words that stand nearby in other strings compress away, random keys do not. Copies of a
+string that the text calls as a function are left in: it is a name. Strings under ``SHORT`` that read as plain words
 are no candidates.
 
 Scale: one pass over whole texts without an exchange; memory per task is one slice of rows and one text.
@@ -80,10 +81,21 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return cost / len(raw)
 
 
+def surroundings(text: str, a: int, b: int) -> tuple[str, str]:
+    """The text before and after the candidate at (a, b), copies of its value blanked unless it is a function's name."""
+    value = text[a:b].rstrip("=").rsplit("=", 1)[-1].strip("+/_=.-") or text[a:b]
+    lo, n = max(0, a - AROUND), len(value)
+    far = max(0, lo - n)
+    before, after = text[far:a], text[b:b + AROUND + n]
+    if text[b:b + 1] != "(" and f"{value}(" not in before and f"{value}(" not in after:
+        before, after = (x.replace(value, "\n" * n) for x in (before, after))
+    return before[lo - far:], after[:AROUND]
+
+
 def _novel(text: str, a: int, b: int) -> bool:
     if b - a < SHORT and WORDS.fullmatch(text, a, b):
         return False
-    return novelty(text[a:b], text[max(0, a - AROUND):a], text[b:b + AROUND]) >= NOVELTY
+    return novelty(text[a:b], *surroundings(text, a, b)) >= NOVELTY
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
