@@ -116,6 +116,23 @@ def test_streams_read_every_file_of_a_folder(spark, many_files, key):
     assert _rows(got.columns, [tuple(r) for r in got.collect()]) == _rows(rel.columns, rel.fetchall())
 
 
+@pytest.mark.parametrize("key", ["stream_alerts", "stream_alerts_global", "stream_tumbling", "stream_sliding", "stream_dedup"])
+def test_event_time_streams_lose_no_row_of_shuffled_files(spark, many_files, key):
+    """Six shuffled files, one a batch: the watermark passes no row of the bounded table before its end."""
+    import duckdb
+
+    import __spark_entry__ as E
+    from tests.test_oracle import TABLES, _rows
+    con = duckdb.connect()
+    for t in TABLES:
+        path = f"{many_files}/{t}.parquet"
+        con.execute(f"create view {t} as select * from read_parquet('{path}{'/*.parquet' if os.path.isdir(path) else ''}')")
+    got = E.queries()[key](spark, many_files)
+    rel = con.sql(E.oracle_sql()[key])
+    want = rel.fetchall()
+    assert want and _rows(got.columns, [tuple(r) for r in got.collect()]) == _rows(rel.columns, want)
+
+
 def test_materialized_layers_are_complete_and_consistent(spark):
     from tests.conftest import SF_SMALL
     from tidepool.operators import gold

@@ -155,7 +155,8 @@ from (select time_bucket(interval 1 minute, posted_at) as window_start,
 group by window_start, window_end, topic""")
 def q_stream_tumbling(spark, sf):
     end = J.open_end(spark)
-    return J.read_result(spark, J.run_append(J.tumbling_counts(_posts_stream(spark, sf, end)), "tumbling", end=end))
+    counts = J.tumbling_counts(_posts_stream(spark, sf, end), delay=J.whole_delay(spark, sf))
+    return J.read_result(spark, J.run_append(counts, "tumbling", end=end))
 
 
 @query("stream_sliding", """
@@ -166,19 +167,20 @@ select window_start, window_end, topic, count(*) as posts, cast(sum(likes) as bi
 from w group by window_start, window_end, topic""")
 def q_stream_sliding(spark, sf):
     end = J.open_end(spark)
-    return J.read_result(spark, J.run_append(J.sliding_stats(_posts_stream(spark, sf, end)), "sliding", end=end))
+    stats = J.sliding_stats(_posts_stream(spark, sf, end), delay=J.whole_delay(spark, sf))
+    return J.read_result(spark, J.run_append(stats, "sliding", end=end))
 
 
 @query("stream_alerts", _sql_alerts("partition by topic"))
 def q_stream_alerts(spark, sf):
-    """Released in event-time order (10 minutes' delay), the waiting rows drained at the end of the input."""
-    r = J.run_spikes(_posts_stream(spark, sf), "alerts", threshold=CHECK_THRESHOLD, delay=DELAY, drain=True)
+    """Held while the table is read, and released in event-time order at the end of the input."""
+    r = J.run_spikes_bounded(_posts_stream(spark, sf), "alerts", threshold=CHECK_THRESHOLD)
     return J.read_spikes(spark, r)
 
 
 @query("stream_alerts_global", _sql_alerts(""))
 def q_stream_alerts_global(spark, sf):
-    r = J.run_spikes(_posts_stream(spark, sf), "alerts-global", by=(), threshold=CHECK_THRESHOLD, delay=DELAY, drain=True)
+    r = J.run_spikes_bounded(_posts_stream(spark, sf), "alerts-global", by=(), threshold=CHECK_THRESHOLD)
     return J.read_spikes(spark, r)
 
 
@@ -208,7 +210,7 @@ from posts""")
 def q_stream_dedup(spark, sf):
     posts = _posts_stream(spark, sf)
     replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
-    out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed), "dedup"))
+    out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed, J.whole_delay(spark, sf)), "dedup"))
     return out.select("post_id", "event_id", "user_id", "platform", "topic", "sentiment_label", "sentiment_score",
                       "likes", "shares", "comments", "is_viral", "posted_at")
 

@@ -59,6 +59,18 @@ def open_end(spark: SparkSession) -> str:
     return folder
 
 
+def whole_delay(spark: SparkSession, sf_dir: str, delay: dt.timedelta = dt.timedelta(minutes=10)) -> str:
+    """A watermark delay for the bounded ``events`` table: its measured range of times and ``delay``.
+
+    Whatever order its files arrive in, the watermark stays before its first row until the end of the input.
+    """
+    from tidepool.sources.tables import read_table
+
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = read_table(spark, sf_dir, "events").agg(F.max(us) - F.min(us)).first()[0] or 0
+    return f"{span + delay // dt.timedelta(microseconds=1)} microseconds"
+
+
 def write_end(spark: SparkSession, folder: str) -> None:
     spark.createDataFrame([END_OF_INPUT], SCHEMAS["events"]).write.mode("append").parquet(folder)
 
@@ -310,6 +322,22 @@ def run_spikes(posts: DataFrame, name: str, checkpoint: str | None = None, path:
     return r
 
 
+def run_spikes_bounded(posts: DataFrame, name: str, by: Sequence[str] = ("topic",), width: int = 20,
+                       threshold: float = -0.5, checkpoint: str | None = None, path: str | None = None) -> RunResult:
+    """Alerts over a bounded input: every batch is held, and released in event-time order once the input is drained.
+
+    The files may come in any order and any number of batches; each row is written once while it waits.
+    """
+    spark = posts.sparkSession
+    r = run_batches(posts, name, lambda b, i, to: _write_batch(_rows(b, 0), f"{to}/held", i), "append", checkpoint, path)
+    held = spark.createDataFrame([], _ROW)
+    if _batches(spark, f"{r.path}/held"):
+        held = spark.read.schema(_ROW).parquet(f"{r.path}/held").select(*_ROW.names)
+    found = AL.negative_spikes(held, by=by, threshold=threshold, width=width)
+    _write_batch(found, f"{r.path}/alerts", 0)
+    return r
+
+
 def read_spikes(spark: SparkSession, r: RunResult) -> DataFrame:
     return spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{r.path}/alerts").drop("batch")
 
