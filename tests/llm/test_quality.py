@@ -83,6 +83,19 @@ def test_cleaning_keeps_columns_and_removes_lines(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out)
 
 
+def test_a_line_is_common_however_large_its_host_is(spark):
+    """A line in 20 of 800 documents is removed from 19 of them, as in a host of 20."""
+    import random
+    rng = random.Random(6)
+    data = []
+    for k in range(820):
+        host = "large" if k < 800 else "small"
+        text = ("Share this  page\n" if k % 40 == 0 or k >= 800 else "") + sentence(rng, 60)
+        data.append((k, text, "en", host, len(text), *["x"] * 23))
+    out = quality.clean(spark.createDataFrame(data, SCHEMA)).filter("text like '%Share this%'").collect()
+    assert sorted(r["doc_id"] for r in out) == [0, 800]
+
+
 def test_copies_do_not_make_their_own_lines_common(spark):
     import random
     rng = random.Random(4)

@@ -5,14 +5,15 @@ a text fails with under ``MIN_WORDS`` words, or with over half of its words in r
 
 Cross-document rule: each line is normalised (lower case, white space collapsed) and hashed; the distinct
 documents of a host that hold it are counted (equal texts are one document, so copies do not make their own lines
-common). A line held by at least ``min_docs`` documents and by more than ``max_share`` of the host's documents
-is removed from every document but the first (by doc_id) that holds it, and a document left with under ``min_left`` of its
-words is rejected.
+common). A line held by at least ``min_docs`` documents, however large the host is, is removed from every document but
+the first (by doc_id) that holds it, and a document left with under ``min_left`` of its words is rejected. With
+``max_share`` (off unless given) a line must also be held by more than that share of the host's documents.
 
-Scale: (host, line, document) hashes move, combined before the exchange, never texts; the hash of the document is
-in the key, so a very common line spreads over all tasks. At most (lines per document / max_share) lines of a
-host can exceed the share, so the table of common lines stays small against the input: one row per host, joined as
-its measured size allows (broadcast, or a sorted join that splits hot hosts).
+Scale: (host, line, document) hashes are written once, combined before the exchange; the hash of the document is in the
+key, so a very common line spreads over all tasks. The common lines are a table of (host, line), joined to those rows;
+what is removed comes back as one row per distinct document that loses a line, with the hashes of those lines (bounded
+by the document). It joins the texts by host and document in a sorted join, for which texts move once and which
+splits groups of copies.
 
 Edge cases: null text has no words and no lines. Null hosts form one host. Documents repeated with the same id
 get a row each. Only doc_id, text and the host column are read; ``clean`` keeps all columns.
@@ -34,7 +35,6 @@ from tidepool.llm.common import pin, small_slices
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_DOCS = 20
-MAX_SHARE = 0.05
 MIN_LEFT = 0.3
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -81,21 +81,25 @@ def _line_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(dict(zip(schema.names, out)), schema=schema)
 
 
-def common_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
-                 max_share: float = MAX_SHARE) -> DataFrame:
-    """host, lines, firsts: for each host the hashes of its common lines and the first document of each."""
+def removed_lines(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS,
+                  max_share: float | None = None) -> DataFrame:
+    """host, document, gone: for each distinct document that loses lines, the hashes of those lines."""
     rows = docs.select(F.col(host).cast("string").alias("host"), F.col("text").cast("string").alias("text"),
                        F.col("doc_id").cast("bigint").alias("doc_id"))
-    seen = (rows.mapInArrow(_line_rows, "host string, line bigint, document bigint, doc_id bigint")
-            .groupBy("host", "line", "document").agg(F.min("doc_id").alias("doc_id")))
+    seen = pin(rows.mapInArrow(_line_rows, "host string, line bigint, document bigint, doc_id bigint")
+               .groupBy("host", "line", "document").agg(F.min("doc_id").alias("doc_id")), "line-holders")
     # The row without a line counts the host's documents.
-    counts = pin(seen.groupBy("host", "line")
-                 .agg(F.count(F.lit(1)).alias("n"), F.min_by("document", F.struct("doc_id", "document")).alias("first"))
-                 .filter((F.col("n") >= min_docs) | F.col("line").isNull()), "line-counts")
-    hosts = counts.filter("line is null").select(F.col("host").alias("h"), F.col("n").alias("documents"))
-    return pin(counts.filter("line is not null").join(hosts, F.col("host").eqNullSafe(F.col("h")))
-               .filter(F.col("n") > F.lit(max_share) * F.col("documents"))
-               .groupBy("host").agg(F.collect_list(F.struct("line", "first")).alias("common")), "common-lines")
+    counts = seen.groupBy("host", "line").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("document", F.struct("doc_id", "document")).alias("first"))
+    common = pin(counts.filter((F.col("n") >= min_docs) | F.col("line").isNull()), "line-counts")
+    if max_share is not None:
+        hosts = common.filter("line is null").select(F.col("host").alias("h"), F.col("n").alias("documents"))
+        common = (common.join(hosts, F.col("host").eqNullSafe(F.col("h")))
+                  .filter(F.col("n") > F.lit(max_share) * F.col("documents")))
+    common = common.filter("line is not null").select(F.col("host").alias("h"), F.col("line").alias("l"), "first")
+    return pin(seen.join(common, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("l")))
+               .filter("document <> first")
+               .groupBy("host", "document").agg(F.collect_list("line").alias("gone")), "removed-lines")
 
 
 def _judge(min_left: float):
@@ -105,29 +109,20 @@ def _judge(min_left: float):
         for batch in small_slices(batches):
             counts: list[tuple] = []
             left, cleaned = [], []
-            sets: dict = {}
-            for text, common, key in zip(batch.column("__text").to_pylist(), batch.column("__common"),
-                                         batch.column("__host").to_pylist()):
-                if key not in sets:
-                    sets[key] = {c["line"]: c["first"] for c in common.as_py() or []}
-                firsts = sets[key]
+            for text, gone in zip(batch.column("__text").to_pylist(), batch.column("__gone").to_pylist()):
                 whole = text or ""
                 counts.append(row := text_counts(whole))
                 kept_text, n_left = text, row[0]
-                if firsts:
-                    lines = whole.split("\n")
-                    hit = [x for x in lines if (h := line_hash(x)) in firsts]
-                    if hit:
-                        own = _hash(whole.encode("utf-8", "surrogatepass"))
-                        gone = {x for x in hit if firsts[line_hash(x)] != own}
-                        kept_text = "\n".join(x for x in lines if x not in gone)
-                        n_left = len(kept_text.encode("utf-8", "surrogatepass").split())
+                if gone:
+                    lines = set(gone)
+                    kept_text = "\n".join(x for x in whole.split("\n") if line_hash(x) not in lines)
+                    n_left = len(kept_text.encode("utf-8", "surrogatepass").split())
                 left.append(n_left)
                 cleaned.append(kept_text)
             cols = {n: pa.array([c[k] for c in counts], pa.int64()) for k, n in enumerate(names)}
             failed = [n < MIN_WORDS or 100 * r > MAX_REPEAT_PERCENT * n for n, _, _, _, r in counts]
             kept = [not f and n >= min_left * c[0] for f, n, c in zip(failed, left, counts)]
-            rest = [i for i, n in enumerate(batch.schema.names) if n not in ("__text", "__common", "__host")]
+            rest = [i for i, n in enumerate(batch.schema.names) if n not in ("__text", "__gone")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in rest]
                 + [*cols.values(), pa.array(failed), pa.array(left, pa.int64()), pa.array(cleaned, pa.string()),
@@ -141,15 +136,18 @@ _VERDICT = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bi
 
 
 def quality_rules(docs: DataFrame, host: str = "source", carry: list[str] | None = None, min_docs: int = MIN_DOCS,
-                  max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
+                  max_share: float | None = None, min_left: float = MIN_LEFT) -> DataFrame:
     """The columns ``carry`` (doc_id) packed in ``doc``, the counts, base_failed, n_left, clean_text and kept."""
-    common = common_lines(docs, host, min_docs, max_share).withColumnRenamed("host", "__h")
+    removed = removed_lines(docs, host, min_docs, max_share).select(F.col("host").alias("__h"), F.col("document").alias("__d"),
+                                                                    F.col("gone").alias("__gone"))
     carry = carry or ["doc_id"]
     rows = docs.select(F.struct(*[F.col(c) for c in carry]).alias("doc"), F.col(host).cast("string").alias("__host"),
                        F.col("text").cast("string").alias("__text"))
-    joined = (rows.join(common, F.coalesce("__host", F.lit("")).eqNullSafe(F.coalesce("__h", F.lit("")))
-                        & F.col("__host").isNull().eqNullSafe(F.col("__h").isNull()), "left")
-              .select("doc", "__host", "__text", F.col("common").alias("__common")))
+    # The same hash as _hash: Spark's seed is 42 too, its sign is the highest bit.
+    own = F.xxhash64(F.coalesce("__text", F.lit(""))).bitwiseXOR(F.lit(-(1 << 63)))
+    # Merged at every size: one plan, whose disk grows in proportion to the texts.
+    joined = (rows.join(removed.hint("merge"), F.col("__host").eqNullSafe(F.col("__h")) & (own == F.col("__d")), "left")
+              .select("doc", "__text", "__gone"))
     kind = rows.schema["doc"].dataType.simpleString()
     return joined.mapInArrow(_judge(min_left), f"doc {kind}, {_VERDICT}")
 
