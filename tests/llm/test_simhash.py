@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
 import pytest
 import xxhash
 
-from tests.llm.helpers import empty, messy, rows
+from tests.llm.helpers import empty, messy, rows, sentence
 from tidepool.llm import simhash
 from tidepool.llm.components import connected_components
 
@@ -94,3 +95,13 @@ def test_empty_and_dropping(spark):
     near = simhash.near_duplicates(docs).collect()
     assert {r["doc_id"] for r in out.collect()} == {r["component_id"] for r in near}
     assert out.count() == len({r["component_id"] for r in near})
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Repeated and null ids: a row is kept for its own component, not for its id."""
+    rng = random.Random(8)
+    a, b, c, d = (sentence(rng, 200) for _ in range(4))
+    data = [(1, a), (5, a), (1, b), (2, c), (5, c), (None, d), (None, d), (None, a), (3, a + " "), (2, c)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = [tuple(r) for r in simhash.drop_near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == sorted([(1, a), (1, b), (2, c), (None, d)], key=repr)

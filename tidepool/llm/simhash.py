@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.llm.common import pin, small_slices, text_or_empty
+from tidepool.llm.common import pin, row_key, small_slices, text_or_empty
 from tidepool.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -198,12 +198,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component, with all their columns.
+    """One row of each component with all its columns: the smallest doc_id (null last), then the smallest text digest.
 
-    Rows without a doc_id stay only where their whole component has none.
+    Components are told apart by their rows, so repeated or null ids keep one row each too.
     """
-    key = "__near_key"
-    kept = (near_duplicates(docs, shingle, radius).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(key)).distinct())
-    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    return keyed.join(kept, key, "left_semi").drop(key)
+    key, digest = "__near_key", F.sha2(text_or_empty(), 256)
+    rows = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+                                digest.alias("digest")).alias("doc_id"), "text")
+    kept = (near_duplicates(rows, shingle, radius).filter(F.col("doc_id") == F.col("component_id"))
+            .select(row_key("doc_id.id", "doc_id.digest").alias(key)))
+    keyed = docs.withColumn(key, row_key("doc_id", digest))
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
