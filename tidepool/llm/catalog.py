@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidepool.llm import bpe, exact_dedup, licenses, mix, quality, secrets, simhash, token_output, toxicity, warc
+from tidepool.llm import (bpe, exact_dedup, licenses, mix, piece_bpe, quality, secrets, simhash, token_output, toxicity,
+                          warc)
 from tidepool.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "n_left", "kept")
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.digests(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +71,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_warc": op8_warc,
     "op9_token_output": op9_token_output,
     "op10_quality_rules": op10_quality_rules,
+    "op11_piece_bpe": op11_piece_bpe,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,3 +50,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder of the shared storage as a full address, for Spark and ``pyarrow.fs`` alike."""
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, name))
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+
+
+def arrow_columns(df: DataFrame, cols: list[Column], source: Column, make: Callable[[pa.Array], list[pa.Array]],
+                  outs: dict[str, str], max_bytes: int) -> DataFrame:
+    """``cols`` and, for each name of ``outs`` (name: type), a column that ``make`` derives from slices of ``source``.
+
+    Rows travel as one struct, so names that clash do no harm.
+    """
+    names = [f"__out{k}" for k in range(len(outs))]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, max_bytes):
+            yield pa.RecordBatch.from_arrays([batch.column("__row"), *make(batch.column("__in"))], ["__row", *names])
+
+    rows = df.select(F.struct(*cols).alias("__row"), source.alias("__in"))
+    kinds = [f"__row {rows.schema['__row'].dataType.simpleString()}", *(f"{n} {k}" for n, k in zip(names, outs.values()))]
+    made = rows.mapInArrow(run, ", ".join(kinds))
+    return made.select("__row.*", *[F.col(n).alias(o) for n, o in zip(names, outs)])
