@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidepool.llm import (bpe, exact_dedup, licenses, mix, piece_bpe, quality, secrets, simhash, token_output, toxicity,
-                          warc)
+from tidepool.llm import (bpe, exact_dedup, licenses, merkle, mix, piece_bpe, quality, secrets, simhash, token_output,
+                          toxicity, warc)
+from tidepool.llm.common import crc32_sql
 from tidepool.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,10 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verification(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -72,6 +77,7 @@ QUERIES: dict[str, QueryFn] = {
     "op9_token_output": op9_token_output,
     "op10_quality_rules": op10_quality_rules,
     "op11_piece_bpe": op11_piece_bpe,
+    "op12_merkle": op12_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -142,7 +148,58 @@ select page_id, cast(strlen(p.h) as bigint) as payload_bytes, sha1(p.h) as paylo
 from p left join g on p.h = g.h
 """
 
+def _leaf_sql(*values: str) -> str:
+    parts = [f"case when {v} is null then '-' else strlen(({v})::varchar) || ':' || ({v})::varchar end" for v in values]
+    return f"sha256({' || '.join(parts)})"
+
+
+_MERKLE_SQL = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, lang, {_leaf_sql(*merkle.FIELDS)} as leaf,
+         case when {crc32_sql("doc_id::varchar")} % 3 = 0 then
+           {_leaf_sql(*merkle.FIELDS[:-1], "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+         end as tampered
+  from documents),
+placed as (
+  select *, coalesce('=' || lang, '-') as tree, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+         count(*) over (partition by lang) as n from d),
+nodes as (
+  select tree, 0 as level, place, n, leaf as digest from placed
+  union all
+  select tree, level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by place))
+  from nodes where n > 1 group by tree, level, place // 8, n),
+langs as (
+  select tree, digest as subroot, row_number() over (order by tree <> '-', tree) - 1 as place, count(*) over () as n
+  from nodes where n = 1),
+tops as (
+  select 0 as level, place, n, subroot as digest from langs
+  union all
+  select level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' order by place))
+  from tops where n > 1 group by level, place // 8, n),
+root as (select digest as root from tops where n = 1),
+steps as (
+  select p.r, 0 as part, s.level, coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < p.place >> 3 * s.level), '') as l,
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > p.place >> 3 * s.level), '') as g
+  from placed p join nodes s on s.tree = p.tree and s.n > 1 and s.place // 8 = p.place >> 3 * (s.level + 1) group by p.r, s.level
+  union all
+  select p.r, 1, s.level, coalesce(string_agg(s.digest, '' order by s.place) filter (s.place < t.place >> 3 * s.level), ''),
+         coalesce(string_agg(s.digest, '' order by s.place) filter (s.place > t.place >> 3 * s.level), '')
+  from placed p join langs t on t.tree = p.tree join tops s on s.n > 1 and s.place // 8 = t.place >> 3 * (s.level + 1)
+  group by p.r, s.level),
+numbered as (select *, row_number() over (partition by r order by part, level) as step from steps),
+folds as (
+  select r, 0::bigint as step, coalesce(tampered, leaf) as h from d
+  union all
+  select f.r, n.step, sha256(n.l || f.h || n.g) from folds f join numbered n on n.r = f.r and n.step = f.step + 1),
+folded as (select r, arg_max(h, step) as folded_root from folds group by r),
+proof as (select r, sha256(string_agg(l || g, '' order by step)) as proof_sha256 from numbered group by r)
+select p.doc_id, p.leaf, t.subroot, root.root, coalesce(q.proof_sha256, sha256('')) as proof_sha256, f.folded_root,
+       f.folded_root = root.root as verified
+from placed p join langs t on t.tree = p.tree join folded f on f.r = p.r left join proof q on q.r = p.r, root
+"""
+
 ORACLE: dict[str, str] = {"op1_exact_dedup": _EXACT_SQL, "op3_mix": _MIX_SQL,
-                          "op4_licenses": licenses.oracle_sql(), "op8_warc": _WARC_SQL}
+                          "op4_licenses": licenses.oracle_sql(), "op8_warc": _WARC_SQL,
+                          "op12_merkle": _MERKLE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -35,6 +35,18 @@ def row_key(*cols: str | Column) -> Column:
     return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), p.cast("string")), F.lit("-")) for p in parts])
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the CRC-32 of an ASCII string expression, half a byte at a time."""
+    steps = []
+    for c in range(16):
+        for _ in range(4):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        steps.append(c)
+    halves = f"flatten(list_transform(str_split({text}, ''), lambda c: [ord(c) & 15, ord(c) >> 4]))"
+    return (f"xor(list_reduce(list_prepend(4294967295::bigint, {halves}::bigint[]), "
+            f"lambda c, n: xor(({steps}::bigint[])[(xor(c, n) & 15) + 1], c >> 4)), 4294967295::bigint)")
+
+
 def small_slices(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of about ``max_bytes`` (one row at least), so a task's memory stays bounded."""
     for batch in batches:
