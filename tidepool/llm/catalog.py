@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tidepool.llm import (bpe, exact_dedup, licenses, merkle, mix, piece_bpe, quality, secrets, simhash, token_output,
-                          toxicity, warc)
+                          toxicity, trie, warc)
 from tidepool.llm.common import crc32_sql
 from tidepool.sources.tables import read_table
 
@@ -65,6 +65,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verification(read_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
@@ -78,6 +82,7 @@ QUERIES: dict[str, QueryFn] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_piece_bpe": op11_piece_bpe,
     "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -198,8 +203,40 @@ select p.doc_id, p.leaf, t.subroot, root.root, coalesce(q.proof_sha256, sha256('
 from placed p join langs t on t.tree = p.tree join folded f on f.r = p.r left join proof q on q.r = p.r, root
 """
 
+_TRIE_SQL = f"""
+with t as (
+  select conv_id, strlen(coalesce(text, '')) as size, turn,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as token
+  from conversations where conv_id is not null),
+own as (select *, row_number() over (partition by conv_id order by turn nulls first, token) as idx from t),
+convs as (select conv_id, {crc32_sql("conv_id::varchar")} % {trie.MOST} as h from (select distinct conv_id from t)),
+rebuilt as (
+  select c.conv_id, o.idx, o.token, o.size from convs c join own o on o.conv_id = c.conv_id - c.conv_id % {trie.FAMILY} and o.idx <= c.h
+  union all
+  select c.conv_id, o.idx, o.token, o.size from convs c join own o on o.conv_id = c.conv_id and o.idx > c.h),
+prefixes as (
+  select conv_id, size, row_number() over w as depth, string_agg(token, '') over w as prefix from rebuilt
+  window w as (partition by conv_id order by idx rows between unbounded preceding and current row)
+  union all
+  select conv_id, 0, 0, '' from convs),
+node as (
+  select prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(size) as saved
+  from prefixes group by prefix, depth),
+child as (select left(prefix, cast(64 * (depth - 1) as bigint)) as prefix, count(*) as n from node where depth > 0 group by 1),
+ended as (
+  select prefix, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends
+  from (select conv_id, arg_max(prefix, depth) as prefix from prefixes group by conv_id) group by prefix),
+sub as (
+  select a.prefix, sum(b.saved) as saved, count(*) filter (c.prefix is null) as leaves
+  from node a join node b on starts_with(b.prefix, a.prefix) left join child c on c.prefix = b.prefix group by a.prefix)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n, 0) as n_children, s.leaves as n_leaves,
+       cast(s.saved as bigint) as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from node n join sub s on s.prefix = n.prefix left join child c on c.prefix = n.prefix left join ended e on e.prefix = n.prefix
+left join node p on n.depth > 0 and p.depth = n.depth - 1 and p.prefix = left(n.prefix, cast(64 * (n.depth - 1) as bigint))
+"""
+
 ORACLE: dict[str, str] = {"op1_exact_dedup": _EXACT_SQL, "op3_mix": _MIX_SQL,
                           "op4_licenses": licenses.oracle_sql(), "op8_warc": _WARC_SQL,
-                          "op12_merkle": _MERKLE_SQL}
+                          "op12_merkle": _MERKLE_SQL, "op13_prefix_trie": _TRIE_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
