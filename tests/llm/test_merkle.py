@@ -64,7 +64,9 @@ def test_messy_rows(spark, fanout, stride):
     assert sorted(map(tuple, got), key=repr) == plainly(docs, fanout)
 
 
-def test_many_groups_and_one_large_group(spark):
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_many_groups_and_one_large_group(spark, monkeypatch, most):
+    monkeypatch.setattr(merkle, "BROADCAST_GROUPS", most)
     docs = spark.range(700).select(
         F.col("id").alias("doc_id"), F.lit("s").alias("source"),
         F.when(F.col("id") % 3 > 0, "big").otherwise(F.concat(F.lit("g"), F.col("id").cast("string"))).alias("lang"),

@@ -32,6 +32,8 @@ from tidepool.operators.ranking import global_row_number
 
 FANOUT = 8
 STRIDE = 3
+#: Up to so many groups their table is sent to every task; beyond, rows and groups are shuffled, and skewed ones split at run time.
+BROADCAST_GROUPS = 200_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left:string,right:string>>"
 
@@ -148,6 +150,7 @@ class Manifest:
     rows: Tree
     groups: Tree
     root: str | None
+    n_groups: int
 
 
 def build(leaves: DataFrame, group: str, key: str, digest: str = "leaf", fanout: int = FANOUT, stride: int = STRIDE) -> Manifest:
@@ -158,15 +161,16 @@ def build(leaves: DataFrame, group: str, key: str, digest: str = "leaf", fanout:
     spans = base.groupBy("grp", "name").agg(F.count(F.lit(1)).alias("n"))
     ordered = pin(global_row_number(spans, [F.col("name").asc_nulls_first()]), "merkle-groups")
     first = numbered.groupBy("grp").agg(F.min("rn").alias("first"))
-    placed = numbered.join(ordered.select("grp", "n").join(first, "grp"), "grp")
-    rows = Tree(fanout, stride).grow(placed.select("grp", (F.col("rn") - F.col("first")).alias("place"), "n", "digest", "row"))
     count = ordered.count()
+    spans = ordered.select("grp", "n").join(first, "grp")
+    placed = numbered.join(F.broadcast(spans) if count <= BROADCAST_GROUPS else spans, "grp")
+    rows = Tree(fanout, stride).grow(placed.select("grp", (F.col("rn") - F.col("first")).alias("place"), "n", "digest", "row"))
     tops = rows.tops().join(ordered.select("grp", "rn"), "grp")
     groups = Tree(fanout, stride).grow(tops.select(
         F.lit("").alias("grp"), (F.col("rn") - 1).alias("place"), F.lit(count).cast("long").alias("n"), "digest",
         F.struct(F.col("grp").alias("of")).alias("row")))
     root = groups.tops().first()
-    return Manifest(rows, groups, root["digest"] if root else None)
+    return Manifest(rows, groups, root["digest"] if root else None, count)
 
 
 def proofs(manifest: Manifest) -> DataFrame:
@@ -178,7 +182,9 @@ def proofs(manifest: Manifest) -> DataFrame:
     top = manifest.groups.tops().select("grp", none.alias("path"))
     whole = manifest.groups.paths(top).select(F.col("row.of").alias("grp"), "path", F.col("digest").alias("subroot"))
     above = pin(whole, "merkle-paths")
-    found = manifest.rows.paths(above.select("grp", "path")).join(above.select("grp", "subroot"), "grp")
+    tops = above.select("grp", "subroot")
+    found = manifest.rows.paths(above.select("grp", "path")).join(
+        F.broadcast(tops) if manifest.n_groups <= BROADCAST_GROUPS else tops, "grp")
     return found.select("row", F.col("digest").alias("leaf"), "path", "subroot",
                         F.lit(manifest.root).cast("string").alias("root"))
 
