@@ -11,6 +11,7 @@ from tidepool.operators import routing as R
 from tidepool.plans.registry import query
 from tidepool.session import scratch_path
 from tidepool.sources import views
+from tidepool.sources.tables import read_table
 from tidepool.streaming import jobs as J
 
 POST_PARTITIONS, TREND_PARTITIONS = 4, 2
@@ -155,7 +156,7 @@ from (select time_bucket(interval 1 minute, posted_at) as window_start,
 group by window_start, window_end, topic""")
 def q_stream_tumbling(spark, sf):
     end = J.open_end(spark)
-    counts = J.tumbling_counts(_posts_stream(spark, sf, end), delay=J.whole_delay(spark, sf))
+    counts = J.tumbling_counts(_posts_stream(spark, sf, end), delay=J.measured_delay(spark, sf))
     return J.read_result(spark, J.run_append(counts, "tumbling", end=end))
 
 
@@ -167,21 +168,25 @@ select window_start, window_end, topic, count(*) as posts, cast(sum(likes) as bi
 from w group by window_start, window_end, topic""")
 def q_stream_sliding(spark, sf):
     end = J.open_end(spark)
-    stats = J.sliding_stats(_posts_stream(spark, sf, end), delay=J.whole_delay(spark, sf))
+    stats = J.sliding_stats(_posts_stream(spark, sf, end), delay=J.measured_delay(spark, sf))
     return J.read_result(spark, J.run_append(stats, "sliding", end=end))
 
 
+def _alerts(spark, sf, **options):
+    """Rows sealed by a watermark that the measured disorder holds back; the end of the input seals the rest."""
+    end = J.open_end(spark)
+    return J.read_spikes(spark, J.run_spikes(_posts_stream(spark, sf, end), "alerts", J.measured_delay(spark, sf), end=end,
+                                             threshold=CHECK_THRESHOLD, **options))
+
+
 @query("stream_alerts", _sql_alerts("partition by topic"))
 def q_stream_alerts(spark, sf):
-    """Held while the table is read, and released in event-time order at the end of the input."""
-    r = J.run_spikes_bounded(_posts_stream(spark, sf), "alerts", threshold=CHECK_THRESHOLD)
-    return J.read_spikes(spark, r)
+    return _alerts(spark, sf)
 
 
 @query("stream_alerts_global", _sql_alerts(""))
 def q_stream_alerts_global(spark, sf):
-    r = J.run_spikes_bounded(_posts_stream(spark, sf), "alerts-global", by=(), threshold=CHECK_THRESHOLD)
-    return J.read_spikes(spark, r)
+    return _alerts(spark, sf, by=())
 
 
 _SQL_LAST100 = """
@@ -210,7 +215,7 @@ from posts""")
 def q_stream_dedup(spark, sf):
     posts = _posts_stream(spark, sf)
     replayed = posts.unionByName(posts.where(F.col("event_id") % 97 == 0))  # at-least-once redelivery
-    out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed, J.whole_delay(spark, sf)), "dedup"))
+    out = J.read_result(spark, J.run_append(J.dedup_within_watermark(replayed, J.measured_delay(spark, sf)), "dedup"))
     return out.select("post_id", "event_id", "user_id", "platform", "topic", "sentiment_label", "sentiment_score",
                       "likes", "shares", "comments", "is_viral", "posted_at")
 
@@ -237,23 +242,48 @@ def q_stream_restart(spark, sf):
 
 @query("stream_late_drop", f"""
 with {_SQL_HALVES},
-mark as (select max(ts) - interval 10 minutes as mark from halves where not old)
+mark as (select date_trunc('millisecond', max(ts)) - interval 10 minutes as mark from halves where not old)
 select 1 as run, count(*) filter (where not old) as input_rows, 0 as late_rows from halves
 union all
-select 2, count(*) filter (where old),
-       count(*) filter (where old and time_bucket(interval 1 minute, ts) + interval 1 minute <= (select mark from mark))
-from halves""")
+select 2, count(*) filter (where old), count(*) filter (where old and ts <= (select mark from mark)) from halves""")
 def q_stream_late_drop(spark, sf):
-    """The newer half first: rows of the older half that arrive behind the watermark, counted before any aggregate."""
+    """The newer half first: rows of the older half that arrive behind the watermark, as Spark's own metric counts them."""
     seen = []
 
     def run(posts, ck, out):
-        done = J._batches(spark, out)
-        r = J.run_batches(posts, "late", J.late_step(delay=DELAY), checkpoint=ck, path=out)
-        seen.append(J.late_counts(spark, r, after=done[-1] if done else -1))
+        with J.ProgressLog(spark) as log:
+            J.run_append(J.dedup_within_watermark(posts), "late", checkpoint=ck, path=out)
+        seen.append((len(seen) + 1, *J.late_counts(log)))
 
     _two_runs(spark, sf, True, run)
-    return seen[0].select(F.lit(1).alias("run"), "*").unionByName(seen[1].select(F.lit(2).alias("run"), "*"))
+    return spark.createDataFrame(seen, "run int, input_rows long, late_rows long")
+
+
+BOUND_FILES = 8
+
+
+@query("stream_bounded_read", """
+select count(*) as rows, true as several_batches, 0 as batches_above_bound from events""")
+def q_stream_bounded_read(spark, sf):
+    """The events landed as files, read under a bound of bytes a micro-batch: rows read, batches over the bound."""
+    folder, ck = scratch_path(spark, "landing"), scratch_path(spark, "bounded-ckpt")
+    J.land(read_table(spark, sf, "events").repartition(BOUND_FILES), folder)
+    files = spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("path"),
+                                              F.col("_metadata.file_size").alias("bytes")).distinct()
+    bound = 3 * files.agg(F.max("bytes")).first()[0]
+    r = J.run_snapshot(J.topic_counts(J.post_messages(J.landing_stream(spark, folder, bound))), "bounded", checkpoint=ck)
+    sizes = J.batch_sizes(spark, ck, files)
+    rows = J.read_snapshot(spark, r).agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("rows"))
+    return rows.crossJoin(sizes.agg((F.count(F.lit(1)) > 1).alias("several_batches"),
+                                    F.count_if(F.col("bytes") > bound).cast("int").alias("batches_above_bound")))
+
+
+@query("stream_state_export", """
+select topic, sentiment_label, count(*) as count from posts group by topic, sentiment_label""")
+def q_stream_state_export(spark, sf):
+    """The running counts as the state store holds them after the last batch, read as a table."""
+    r = J.run_snapshot(J.topic_counts(_posts_stream(spark, sf)), "state-export")
+    return J.exported_state(spark, r.checkpoint).select("topic", "sentiment_label", "count")
 
 
 @query("stream_two_groups", """
@@ -308,15 +338,23 @@ def q_stream_report_json(spark, sf):
 
 
 @query("stream_alerts_event_time", f"""
-with t as (select post_id, topic, posted_at, posted_at as trigger_time,
+with t as (select post_id, topic, posted_at as trigger_time,
              sum(cast(sentiment_score as decimal(18, 4))) over w * cast(0.05 as decimal(4, 2)) as m,
              count(*) over w as c
            from posts
            window w as (partition by topic order by posted_at, event_id rows between 19 preceding and current row))
 select 'NEGATIVE_SENTIMENT_SPIKE' as alert_type, post_id, topic, cast(round(m, 4) as double) as window_avg, trigger_time
 from t where c = 20 and m < cast({CHECK_THRESHOLD} as decimal(18, 4))
-  and posted_at <= (select max(ts) - interval 10 minutes from events)""")
+  and time_bucket(interval 1 minute, trigger_time) + interval 1 minute
+      <= (select date_trunc('millisecond', max(ts)) - interval 10 minutes from events)""")
 def q_stream_alerts_event_time(spark, sf):
-    """Alerts released by the watermark alone (10 minutes): the batch alerts up to the final watermark."""
-    return J.read_spikes(spark, J.run_spikes(_posts_stream(spark, sf), "alerts-event-time", threshold=CHECK_THRESHOLD,
-                                             delay=DELAY))
+    """Alerts of the minutes that a watermark of the newest time less 10 minutes has sealed; later ones stay open.
+
+    The end marker's time makes up for the measured disorder in the delay, so the final watermark is the same for any files.
+    """
+    back, newest = J.disorder(read_table(spark, sf, "events"))
+    end = J.open_end(spark)
+    r = J.run_spikes(_posts_stream(spark, sf, end), "alerts-event-time", J.delay_of(back, DELAY),
+                     end=end if newest else None, until=newest + back if newest else J.END_OF_TIME,
+                     threshold=CHECK_THRESHOLD)
+    return J.read_spikes(spark, r)

@@ -5,20 +5,23 @@ Sources are file streams over the driver's ``events`` table, one file or a folde
 shared checkpoint folder, so a restart continues from the last committed batch; sinks are Parquet (exactly-once
 file sink) or ``foreachBatch`` writes into one folder per batch id, so a replayed batch replaces only itself.
 
-Windows over the last N rows (alerts, newest-100 means) are native batch windows over each micro-batch joined
-to a small carried table, the newest rows of each key, written per batch id: a hot key is split over
-tasks like any other rows, and no Python runs.
+Event time decides, not arrival: rows are sealed by Spark's watermark, whose delay is measured from the files' own
+disorder (``measured_delay``), so a folder in time order keeps little state and a shuffled one loses nothing. Windows over the last N rows
+are native batch windows over the sealed rows of each micro-batch and a small carried table, the newest rows of each key, written
+per batch id: a hot key is split over tasks like any other rows, and no Python runs. State is kept on disk (RocksDB).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidepool.operators import alerts as AL
 from tidepool.session import scratch_path
@@ -38,7 +41,7 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     """Streaming scan of the ``events`` table, stored as one file or as a folder of files.
 
     The path is written as a glob of itself because a plain single-file path cannot stream. ``end`` is a folder
-    for an end-of-input marker (see ``open_end``): a marker row moves the watermark past all data.
+    for an end-of-input marker (see ``open_end``, ``write_end``): a marker row moves the watermark past all data.
     """
     files = max_files_per_trigger or int(spark.conf.get(MAX_FILES_CONF, str(MAX_FILES)))
 
@@ -49,7 +52,8 @@ def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int |
     return events.unionByName(scan(end)) if end else events
 
 
-END_OF_INPUT = (-1, dt.datetime(9999, 1, 1), -1, "end_of_input", 0.0, '{"k": 0}')
+END_OF_TIME = dt.datetime(9999, 1, 1)
+SLACK = dt.timedelta(minutes=10)
 
 
 def open_end(spark: SparkSession) -> str:
@@ -59,20 +63,40 @@ def open_end(spark: SparkSession) -> str:
     return folder
 
 
-def whole_delay(spark: SparkSession, sf_dir: str, delay: dt.timedelta = dt.timedelta(minutes=10)) -> str:
-    """A watermark delay for the bounded ``events`` table: its measured range of times and ``delay``.
+def write_end(spark: SparkSession, folder: str, at: dt.datetime = END_OF_TIME) -> None:
+    """The marker: one row of the time ``at``, which moves the watermark past all data less the delay."""
+    spark.createDataFrame([(-1, at, -1, "end_of_input", 0.0, '{"k": 0}')], SCHEMAS["events"]).write.mode("append").parquet(folder)
 
-    Whatever order its files arrive in, the watermark stays before its first row until the end of the input.
-    """
-    from tidepool.sources.tables import read_table
 
+def disorder(events: DataFrame) -> tuple[dt.timedelta, dt.datetime | None]:
+    """How far a file's oldest row lies behind the newest row of the files read before it, at most; and the newest time of all.
+
+    A file source reads files by their time of writing; files of equal time count as read in either order. One pass over
+    the time column alone, to one row per file (the window runs over these). Zero where files follow one another in time.
+    """
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    span = read_table(spark, sf_dir, "events").agg(F.max(us) - F.min(us)).first()[0] or 0
-    return f"{span + delay // dt.timedelta(microseconds=1)} microseconds"
+    written = F.unix_millis("_metadata.file_modification_time")
+    files = events.groupBy(F.col("_metadata.file_path").alias("file"), written.alias("written")).agg(
+        F.min(us).alias("low"), F.max(us).alias("top"))
+    earlier = Window.orderBy("written").rangeBetween(Window.unboundedPreceding, -1)
+    peers = Window.partitionBy("written").orderBy(F.col("top").desc(), "file")
+    seen = files.select(
+        "low", "top", F.max("top").over(earlier).alias("earlier"),
+        F.when(F.row_number().over(peers) == 1, F.lead("top").over(peers)).otherwise(F.first("top").over(peers)).alias("peer"))
+    got = seen.agg(F.max(F.greatest("earlier", "peer") - F.col("low")).alias("back"), F.max("top").alias("top")).first()
+    newest = None if got["top"] is None else dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=got["top"])
+    return dt.timedelta(microseconds=max(got["back"] or 0, 0)), newest
 
 
-def write_end(spark: SparkSession, folder: str) -> None:
-    spark.createDataFrame([END_OF_INPUT], SCHEMAS["events"]).write.mode("append").parquet(folder)
+def delay_of(back: dt.timedelta, slack: dt.timedelta = SLACK) -> str:
+    return f"{(back + slack) // dt.timedelta(microseconds=1)} microseconds"
+
+
+def measured_delay(spark: SparkSession, sf_dir: str, slack: dt.timedelta = SLACK) -> str:
+    """A watermark delay that no row of the ``events`` table is behind: the measured disorder of its files and ``slack``."""
+    from tidepool.sources.tables import read_table
+
+    return delay_of(disorder(read_table(spark, sf_dir, "events"))[0], slack)
 
 
 def post_messages(events: DataFrame) -> DataFrame:
@@ -117,10 +141,54 @@ class RunResult:
     checkpoint: str
 
 
+STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _start(writer, checkpoint: str):
+    """Start over the available input. State goes to RocksDB unless the session names a store itself."""
+    conf = SparkSession.active().conf
+    named = conf.get(STORE_CONF, None)
+    if named is None or named.endswith("HDFSBackedStateStoreProvider"):
+        conf.set(STORE_CONF, ROCKSDB)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+class ProgressLog(StreamingQueryListener):
+    """What Spark reports of every micro-batch while the log is open: input rows, state rows, rows dropped as late.
+
+    A listener hears of each batch, where ``recentProgress`` forgets all but the last ones.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.batches, self._begun, self._ended = spark, [], set(), set()
+
+    def onQueryStarted(self, event) -> None:
+        self._begun.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.batches.append({"run": str(p.runId), "batch": p.batchId, "rows": p.numInputRows,
+                             "state_rows": max((s.numRowsTotal for s in p.stateOperators), default=0),
+                             "late_rows": sum(s.numRowsDroppedByWatermark for s in p.stateOperators)})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.add(str(event.runId))
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        until = time.monotonic() + 30  # events come behind the queries' own end
+        while (not self._begun or self._begun - self._ended) and time.monotonic() < until:
+            time.sleep(0.02)
+        self.spark.streams.removeListener(self)
+
+
 def _batches(spark: SparkSession, root: str) -> list[int]:
     """Ids of the batches completely written under ``root`` (one folder ``batch=<id>`` each)."""
     top = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -171,18 +239,18 @@ def read_snapshot(spark: SparkSession, r: RunResult) -> DataFrame:
 
 
 def run_append(df: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None,
-               end: str | None = None) -> RunResult:
+               end: str | None = None, until: dt.datetime = END_OF_TIME) -> RunResult:
     """Append-mode job into the exactly-once Parquet file sink.
 
-    With ``end`` (the folder given to ``event_stream``) the input is bounded: after its last file the end marker is
-    written and the job runs on, so that windows still open behind the watermark come out too.
+    With ``end`` (the folder given to ``event_stream``) the input is bounded: after its last file the end marker, of time ``until``,
+    is written and the job runs on, so that windows still open behind the watermark come out too.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     for last in ([False, True] if end else [False]):
         if last:
-            write_end(spark, end)
+            write_end(spark, end, until)
         q = _start(df.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
         q.awaitTermination()
     return RunResult(path, checkpoint)
@@ -197,10 +265,9 @@ def read_result(spark: SparkSession, r: RunResult, schema: T.StructType | None =
 
 def topic_counts(posts: DataFrame) -> DataFrame:
     """Running topic x label counts over the whole stream (state: one row per key)."""
-    return (posts.where(F.col("event_type") == POST_EVENT)
-                 .groupBy(F.coalesce("topic", F.lit("Unknown")).alias("topic"),
-                          F.coalesce("sentiment_label", F.lit("neutral")).alias("sentiment_label"))
-                 .agg(F.count(F.lit(1)).alias("count")))
+    named = posts.where(F.col("event_type") == POST_EVENT).select(
+        F.coalesce("topic", F.lit("Unknown")).alias("topic"), F.coalesce("sentiment_label", F.lit("neutral")).alias("sentiment_label"))
+    return named.groupBy("topic", "sentiment_label").agg(F.count(F.lit(1)).alias("count"))
 
 
 def platform_stats(posts: DataFrame) -> DataFrame:
@@ -255,101 +322,92 @@ def dedup_within_watermark(posts: DataFrame, delay: str = "10 minutes") -> DataF
 
 # ---- windows over the last N rows ---------------------------------------------------------------------
 
-_ROW = T.StructType([T.StructField("seq", T.LongType()), T.StructField("topic", T.StringType()),
-                     T.StructField("post_id", T.StringType()), T.StructField("event_id", T.LongType()),
-                     T.StructField("posted_at", T.TimestampNTZType()), T.StructField("sentiment_score", T.DoubleType())])
-ARRIVAL = ("seq", "posted_at", "event_id")
+_FIELDS = ["topic", "post_id", "event_id", "posted_at", "sentiment_score"]
+_ROW = T.StructType([T.StructField("topic", T.StringType()), T.StructField("post_id", T.StringType()),
+                     T.StructField("event_id", T.LongType()), T.StructField("posted_at", T.TimestampNTZType()),
+                     T.StructField("sentiment_score", T.DoubleType())])
+EVENT_ORDER = ("posted_at", "event_id")
+SHARDS = 32
 
 
-def _rows(posts: DataFrame, batch_id: int) -> DataFrame:
-    """Rows of one micro-batch; ``seq`` puts them behind those of earlier batches. A missing score counts as 0."""
+def _rows(posts: DataFrame) -> DataFrame:
+    """What the windows need of the posts. A missing score counts as 0; end markers are left out."""
     return posts.where((F.col("event_type") == POST_EVENT) & (F.col("event_id") >= 0)).select(
-        F.lit(batch_id).cast("long").alias("seq"), "topic", "post_id", "event_id", "posted_at",
-        F.coalesce("sentiment_score", F.lit(0.0)).alias("sentiment_score"))
+        *_FIELDS[:-1], F.coalesce("sentiment_score", F.lit(0.0)).alias("sentiment_score"))
 
 
 def _newest(rows: DataFrame, n: int, by: Sequence[str]) -> DataFrame:
     """The ``n`` newest rows of each key; tasks cut their own rows to n per key first."""
-    down = [F.col(c).desc() for c in ARRIVAL]
+    down = [F.col(c).desc() for c in EVENT_ORDER]
     if not by:
         return rows.orderBy(*down).limit(n)
     w = Window.partitionBy(*by).orderBy(*down)
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def spikes_step(by: Sequence[str] = ("topic",), width: int = 20, threshold: float = -0.5,
-                delay: dt.timedelta | None = None, drain: bool = False):
-    """Alerts of one micro-batch: one per event whose last ``width`` scores average below ``threshold``.
+def sealed(posts: DataFrame, delay: str, width: str = "1 minute", shards: int = SHARDS) -> DataFrame:
+    """Rows in sealed pieces of event time: those of a ``width`` come out together once the watermark has passed it.
 
-    Without ``delay`` rows count in arrival order (event time within a batch). With it they wait until the
-    watermark (largest time seen less the delay) has passed them and count in event-time order; rows behind the
-    watermark are dropped. ``drain`` releases the waiting rows of a bounded input.
-    Carried per batch: the newest ``width - 1`` rows of each key, and the waiting rows.
+    Each micro-batch of the result is thus newer than all before it, whatever order rows arrive in. Until then Spark's state store holds them,
+    a piece of time in ``shards`` rows, so that a busy minute is spread over tasks.
     """
-    def step(posts: DataFrame, batch_id: int, path: str) -> None:
-        spark = posts.sparkSession
-        rows = _rows(posts, batch_id)
-        if delay is not None:
-            marks = spark.createDataFrame([], "mark timestamp_ntz").schema
-            old = _state(spark, f"{path}/mark", marks, batch_id).first()
-            if old is not None and old["mark"] is not None:
-                rows = rows.where(F.col("posted_at") > F.lit(old["mark"]))
-            top = rows.agg(F.max("posted_at").alias("m")).first()["m"]
-            mark = max((m for m in (old and old["mark"], top and top - delay) if m is not None), default=None)
-            _write_batch(spark.createDataFrame([(mark,)], marks), f"{path}/mark", batch_id)
-            rows = rows.unionByName(_state(spark, f"{path}/waiting", _ROW, batch_id))
-            passed = F.lit(True) if drain else F.col("posted_at") <= F.lit(mark).cast("timestamp_ntz")
-            _write_batch(rows.where(~F.coalesce(passed, F.lit(False))), f"{path}/waiting", batch_id)
-            rows = rows.where(F.coalesce(passed, F.lit(False))).withColumn("seq", F.lit(batch_id).cast("long"))
-        before = _state(spark, f"{path}/carried", _ROW, batch_id)
-        every = rows.unionByName(before)
-        found = AL.negative_spikes(every, by=by, threshold=threshold, width=width, order=ARRIVAL, keep=("seq",))
-        _write_batch(found.where(F.col("seq") == batch_id).drop("seq"), f"{path}/alerts", batch_id)
-        _write_batch(_newest(every, width - 1, by), f"{path}/carried", batch_id)
+    piece = F.struct(*_FIELDS[:-1], F.coalesce("sentiment_score", F.lit(0.0)).alias("sentiment_score"))
+    held = (posts.withWatermark("event_time", delay)
+            .groupBy(F.window("event_time", width).alias("w"), F.pmod("event_id", F.lit(shards)).alias("shard"))
+            .agg(F.collect_list(F.when(F.col("event_type") == POST_EVENT, piece)).alias("rows")))
+    return held.select(F.explode("rows").alias("r")).select("r.*")
 
-    return step
 
+def spikes_step(by: Sequence[str] = ("topic",), width: int = 20, threshold: float = -0.5):
+    """Alerts of one micro-batch of ``sealed`` rows: one per event whose last ``width`` scores average below ``threshold``.
 
-def run_spikes(posts: DataFrame, name: str, checkpoint: str | None = None, path: str | None = None,
-               drain: bool = False, **options) -> RunResult:
-    """Run ``spikes_step`` over the stream; ``drain`` adds a last step that releases the rows still waiting."""
-    r = run_batches(posts, name, spikes_step(**options), "append", checkpoint, path)
-    if drain:
-        spark = posts.sparkSession
-        last = (_batches(spark, f"{r.path}/alerts") or [-1])[-1]
-        nothing = spark.createDataFrame([], posts.schema)
-        spikes_step(drain=True, **options)(nothing, last + 1, r.path)
-    return r
+    Carried per batch: the newest ``width - 1`` rows of each key.
+    """
+    def step(rows: DataFrame, batch_id: int, path: str) -> None:
+        spark = rows.sparkSession
+        rows = rows.persist()
+        try:
+            if rows.isEmpty():
+                return
+            before = _state(spark, f"{path}/carried", _ROW, batch_id)
+            every = rows.withColumn("new", F.lit(True)).unionByName(before.withColumn("new", F.lit(False)))
+            found = AL.negative_spikes(every, by=by, threshold=threshold, width=width, order=EVENT_ORDER, keep=("new",))
+            _write_batch(found.where("new").drop("new"), f"{path}/alerts", batch_id)
+            _write_batch(_newest(rows.unionByName(before), width - 1, by), f"{path}/carried", batch_id)
+        finally:
+            rows.unpersist()
 
+    return step
 
-def run_spikes_bounded(posts: DataFrame, name: str, by: Sequence[str] = ("topic",), width: int = 20,
-                       threshold: float = -0.5, checkpoint: str | None = None, path: str | None = None) -> RunResult:
-    """Alerts over a bounded input: every batch is held, and released in event-time order once the input is drained.
 
-    The files may come in any order and any number of batches; each row is written once while it waits.
-    """
-    spark = posts.sparkSession
-    r = run_batches(posts, name, lambda b, i, to: _write_batch(_rows(b, 0), f"{to}/held", i), "append", checkpoint, path)
-    held = spark.createDataFrame([], _ROW)
-    if _batches(spark, f"{r.path}/held"):
-        held = spark.read.schema(_ROW).parquet(f"{r.path}/held").select(*_ROW.names)
-    found = AL.negative_spikes(held, by=by, threshold=threshold, width=width)
-    _write_batch(found, f"{r.path}/alerts", 0)
+def run_spikes(posts: DataFrame, name: str, delay: str, checkpoint: str | None = None, path: str | None = None,
+               end: str | None = None, until: dt.datetime = END_OF_TIME, **options) -> RunResult:
+    """Alerts in event-time order, released as the watermark passes; ``end`` and ``until`` close a bounded input as in ``run_append``."""
+    rows = sealed(posts, delay)
+    r = run_batches(rows, name, spikes_step(**options), "append", checkpoint, path)
+    if end:
+        write_end(posts.sparkSession, end, until)
+        r = run_batches(rows, name, spikes_step(**options), "append", r.checkpoint, r.path)
     return r
 
 
 def read_spikes(spark: SparkSession, r: RunResult) -> DataFrame:
-    return spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{r.path}/alerts").drop("batch")
+    if not _batches(spark, f"{r.path}/alerts"):
+        return spark.createDataFrame([], AL.ALERT_SCHEMA)
+    return spark.read.schema(AL.ALERT_SCHEMA).parquet(f"{r.path}/alerts").select(*AL.ALERT_SCHEMA.names)
 
 
 _SEEN = T.StructType([T.StructField("topic", T.StringType()), T.StructField("seen", T.LongType())])
 
 
 def last_n_step(n: int = 100, by: Sequence[str] = ("topic",)):
-    """Carry the newest ``n`` rows of each key and how many rows it has had (``by=()``: one global window)."""
+    """Carry the newest ``n`` rows of each key by event time and how many rows it has had (``by=()``: one global window).
+
+    The order of arrival plays no part: the newest n of new and carried rows are the newest n of all.
+    """
     def step(posts: DataFrame, batch_id: int, path: str) -> None:
         spark = posts.sparkSession
-        rows = _rows(posts, batch_id)
+        rows = _rows(posts)
         seen = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("seen"))
         total = seen.unionByName(_state(spark, f"{path}/seen", _SEEN, batch_id))
         _write_batch(total.groupBy("topic").agg(F.sum("seen").cast("long").alias("seen")), f"{path}/seen", batch_id)
@@ -394,37 +452,36 @@ def land(df: DataFrame, folder: str) -> None:
     df.write.mode("append").parquet(folder)
 
 
-def landing_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "*.parquet").parquet(folder)
+def landing_stream(spark: SparkSession, folder: str, max_bytes: int | None = None) -> DataFrame:
+    """Stream of a landing folder; ``max_bytes`` bounds what a micro-batch reads (one file at least)."""
+    read = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", "*.parquet")
+    return (read.option("maxBytesPerTrigger", max_bytes) if max_bytes else read).parquet(folder)
 
 
-_LATE = T.StructType([T.StructField("input_rows", T.LongType()), T.StructField("late_rows", T.LongType()),
-                      T.StructField("mark", T.TimestampNTZType())])
+def late_counts(log: ProgressLog, before: int = 0) -> tuple[int, int]:
+    """Rows read, and rows that Spark dropped behind the watermark, over the batches of ``log`` from number ``before`` on."""
+    seen = log.batches[before:]
+    return sum(b["rows"] for b in seen), sum(b["late_rows"] for b in seen)
 
 
-def late_step(width: str = "1 minute", delay: dt.timedelta = dt.timedelta(minutes=10)):
-    """Rows of each micro-batch, and those whose window the watermark of earlier batches has already closed."""
-    def step(posts: DataFrame, batch_id: int, path: str) -> None:
-        spark = posts.sparkSession
-        old = _state(spark, path, _LATE, batch_id).first()
-        mark = old["mark"] if old else None
-        closes = F.window("event_time", width)["end"].cast("timestamp_ntz")
-        late = F.lit(False) if mark is None else closes <= F.lit(mark)
-        got = posts.withColumn("_late", late).agg(
-            F.count(F.lit(1)).alias("input_rows"), F.coalesce(F.count_if("_late"), F.lit(0)).alias("late_rows"),
-            F.max("posted_at").alias("top")).first()
-        marks = [m for m in (mark, got["top"] and got["top"] - delay) if m is not None]
-        row = (got["input_rows"], got["late_rows"], max(marks, default=None))
-        _write_batch(spark.createDataFrame([row], _LATE), path, batch_id)
+def state_rows(log: ProgressLog) -> int:
+    """The most rows that a batch's state held."""
+    return max((b["state_rows"] for b in log.batches), default=0)
 
-    return step
+
+def batch_sizes(spark: SparkSession, checkpoint: str, files: DataFrame) -> DataFrame:
+    """batch, files, bytes: what each micro-batch took in, from the source's own log; ``files`` has path and bytes of every file."""
+    entry = F.from_json("value", "path string, batchId long")
+    log = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{")).select(entry.alias("e"))
+    name = F.element_at(F.split(F.col("e.path"), "/"), -1)
+    return (log.select(F.col("e.batchId").alias("batch"), name.alias("name")).distinct()
+            .join(files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "bytes"), "name")
+            .groupBy("batch").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")))
 
 
-def late_counts(spark: SparkSession, r: RunResult, after: int = -1) -> DataFrame:
-    """input_rows and late_rows over the batches behind ``after``."""
-    rows = spark.read.schema(T.StructType([*_LATE.fields, T.StructField("batch", T.LongType())])).parquet(r.path)
-    return rows.where(F.col("batch") > after).agg(F.sum("input_rows").alias("input_rows"),
-                                                  F.sum("late_rows").alias("late_rows"))
+def exported_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The keys and values that a stateful query's last batch left in its state store (group by named columns)."""
+    return spark.read.format("statestore").load(checkpoint).select("key.*", "value.*")
 
 
 _COMMIT = T.StructType([T.StructField("partition", T.IntegerType()), T.StructField("committed", T.LongType())])

@@ -27,6 +27,7 @@ def _section(name: str, df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def stream_report(spark: SparkSession, sf_dir: str, alert_threshold: float = -0.5) -> DataFrame:
+    end = J.open_end(spark)
     ev = J.event_stream(spark, sf_dir)
     posts = J.post_messages(ev)
     groups = J.run_concurrently({
@@ -34,7 +35,8 @@ def stream_report(spark: SparkSession, sf_dir: str, alert_threshold: float = -0.
         "platform_stats": J.platform_stats(posts),
         "trend_velocity": J.hashtag_velocity(J.trend_messages(ev)),
     })
-    alerts = J.run_spikes(posts, "report-alerts", threshold=alert_threshold)
+    alerts = J.run_spikes(J.post_messages(J.event_stream(spark, sf_dir, end=end)), "report-alerts",
+                          J.measured_delay(spark, sf_dir), end=end, threshold=alert_threshold)
     last = J.run_last_n(posts, "report-last100")
     consumer = J.run_batches(posts, "report-commits",
                              J.commit_step(lambda batch: R.route(batch, "post_id", POST_PARTITIONS)))
