@@ -165,6 +165,9 @@ def outliers(datasets: Mapping[str, DataFrame], factor: float = OUTLIER_IQR_FACT
                                     for c, lo, hi in cols])
         parts.append(wide.unpivot([], [c for c, _, _ in cols], "column_name", "outliers")
                      .select(F.lit(name).alias("dataset"), "column_name", F.col("outliers").cast("bigint")))
+    if not parts:  # no column has a value
+        spark = next(iter(datasets.values())).sparkSession
+        return spark.createDataFrame([], "dataset string, column_name string, outliers long")
     return _union(parts).where(F.col("outliers") > 0)
 
 

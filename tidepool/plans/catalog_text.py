@@ -167,7 +167,7 @@ def q_top_terms(spark, sf):
     return S.top_terms(df)
 
 
-@query("search_topk", f"""
+SEARCH_SQL = f"""
 with {_SQL_POSTINGS},
 n as (select count(*) as n from doc_tokens),
 idf as (select term, ln((select n from n) / (count(*) + 1)) + 1 as idf from postings group by term),
@@ -177,7 +177,10 @@ hits as (select qt.query_id, p.doc_id, sum(qt.qtf * idf.idf) as score
          from qt join idf on qt.term = idf.term join postings p on p.term = qt.term group by qt.query_id, p.doc_id),
 r as (select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank from hits)
 select r.query_id, r.rank, r.doc_id, round(r.score, 4) as relevance_score, d.lang, d.source, d.sentiment_label
-from r join docs d on r.doc_id = d.doc_id where r.rank <= 10""")
+from r join docs d on r.doc_id = d.doc_id where r.rank <= 10"""
+
+
+@query("search_topk", SEARCH_SQL)
 def q_search_topk(spark, sf):
     n_docs = read_table(spark, sf, "documents").count()  # N: answered from the Parquet footers
     post, df = _index(spark, sf)

@@ -31,4 +31,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every catalog module so its queries register."""
     from tidepool.plans import (catalog_analytics, catalog_layers, catalog_rows,  # noqa: F401
-                                catalog_stream, catalog_text)
+                                catalog_store, catalog_stream, catalog_text)
