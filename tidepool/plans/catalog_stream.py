@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import alerts as AL
 from tidepool.operators import routing as R
+from tidepool.plans import registry
 from tidepool.plans.registry import query
 from tidepool.session import scratch_path
 from tidepool.sources import views
@@ -330,7 +331,38 @@ def q_stream_report_sections(spark, sf):
     return stream_report(spark, sf, alert_threshold=CHECK_THRESHOLD).where(F.col("section").isin(exact))
 
 
-@query("stream_report_json")
+def _json_sql(**fields: str) -> str:
+    """A JSON object's text; values are given as SQL text expressions."""
+    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in fields.items()) + " || '}'"
+
+
+def _quoted(x: str) -> str:
+    return f"'\"' || {x} || '\"'"
+
+
+_4 = "cast(cast({} as decimal(18, 4)) as varchar)"
+_TIME = "strftime(trigger_time, '%Y-%m-%d %H:%M:%S.%f')"
+_SQL_REPORT = f"""
+with sections as ({_SQL_SECTIONS}),
+alerts as ({_sql_alerts("partition by topic")}),
+platforms as ({registry.RAW["stream_platform_stats"]}),
+last as ({_SQL_LAST100.format(part="partition by topic", key="topic,", group="group by topic")}),
+trend_routes as (select {_md5_mod_sql('hashtag', TREND_PARTITIONS)} as partition, count(*) as n from trend_events group by 1)
+select section, item, payload from sections
+union all select 'platform_summary', platform, {_json_sql(platform=_quoted("platform"), posts="posts", total_likes="total_likes",
+                                                           viral_posts="viral_posts", avg_sentiment=_4.format("avg_sentiment"))}
+  from platforms
+union all select 'window_sentiment', topic, {_json_sql(topic=_quoted("topic"), seen="seen", window_sentiment=_4.format("window_sentiment"),
+                                                        window_size="window_size")} from last
+union all select 'alerts_raised', cast(count(*) as varchar), {_json_sql(alerts_raised="count(*)")} from alerts
+union all select 'sample_alerts', {_TIME} || '|' || post_id,
+  {_json_sql(alert_type=_quoted("alert_type"), post_id=_quoted("post_id"), topic=_quoted("topic"), window_avg=_4.format("window_avg"),
+             trigger_time=_quoted(_TIME))} from (select * from alerts order by trigger_time, post_id limit 5)
+union all select 'trends_topic_stats', cast(partition as varchar),
+  {_json_sql(partition="partition", messages="n", total_messages="cast(sum(n) over () as bigint)")} from trend_routes"""
+
+
+@query("stream_report_json", _SQL_REPORT)
 def q_stream_report_json(spark, sf):
     from tidepool.streaming.report import stream_report
 

@@ -12,6 +12,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+RAW: dict[str, str] = {}  # oracle texts as written, before the views they use are put in front
 
 
 def query(name: str, oracle: str | None = None):
@@ -22,6 +23,7 @@ def query(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
+            RAW[name] = oracle
             ORACLE[name] = with_views(oracle)
         return fn
 

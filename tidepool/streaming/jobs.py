@@ -170,7 +170,8 @@ class ProgressLog(StreamingQueryListener):
         p = event.progress
         self.batches.append({"run": str(p.runId), "batch": p.batchId, "rows": p.numInputRows,
                              "state_rows": max((s.numRowsTotal for s in p.stateOperators), default=0),
-                             "late_rows": sum(s.numRowsDroppedByWatermark for s in p.stateOperators)})
+                             "late_rows": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+                             "observed": {k: r.asDict() for k, r in p.observedMetrics.items()}})
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -201,10 +202,18 @@ def _batches(spark: SparkSession, root: str) -> list[int]:
                   and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
-def _write_batch(df: DataFrame, root: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
 
+def read_batches(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The rows of all batches under ``root``."""
+    if not _batches(spark, root):
+        return spark.createDataFrame([], schema)
+    kept = [f"{root}/batch={b}" for b in _batches(spark, root)]
+    return spark.read.schema(schema).parquet(*kept)
+
+
 def _state(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """The table that the last batch (before ``before``) left under ``root``; empty if there is none."""
     done = [b for b in _batches(spark, root) if before is None or b < before]
@@ -228,7 +237,7 @@ def run_snapshot(df: DataFrame, name: str, finish: Callable[[DataFrame], DataFra
                  checkpoint: str | None = None, path: str | None = None) -> RunResult:
     """Complete-mode aggregate; each batch writes a snapshot of the (small, keyed) result to its own folder."""
     def step(batch: DataFrame, batch_id: int, to: str) -> None:
-        _write_batch(finish(batch) if finish else batch, to, batch_id)
+        write_batch(finish(batch) if finish else batch, to, batch_id)
 
     return run_batches(df, name, step, "complete", checkpoint, path)
 
@@ -372,8 +381,8 @@ def spikes_step(by: Sequence[str] = ("topic",), width: int = 20, threshold: floa
             before = _state(spark, f"{path}/carried", _ROW, batch_id)
             every = rows.withColumn("new", F.lit(True)).unionByName(before.withColumn("new", F.lit(False)))
             found = AL.negative_spikes(every, by=by, threshold=threshold, width=width, order=EVENT_ORDER, keep=("new",))
-            _write_batch(found.where("new").drop("new"), f"{path}/alerts", batch_id)
-            _write_batch(_newest(rows.unionByName(before), width - 1, by), f"{path}/carried", batch_id)
+            write_batch(found.where("new").drop("new"), f"{path}/alerts", batch_id)
+            write_batch(_newest(rows.unionByName(before), width - 1, by), f"{path}/carried", batch_id)
         finally:
             rows.unpersist()
 
@@ -410,9 +419,9 @@ def last_n_step(n: int = 100, by: Sequence[str] = ("topic",)):
         rows = _rows(posts)
         seen = rows.groupBy("topic").agg(F.count(F.lit(1)).alias("seen"))
         total = seen.unionByName(_state(spark, f"{path}/seen", _SEEN, batch_id))
-        _write_batch(total.groupBy("topic").agg(F.sum("seen").cast("long").alias("seen")), f"{path}/seen", batch_id)
+        write_batch(total.groupBy("topic").agg(F.sum("seen").cast("long").alias("seen")), f"{path}/seen", batch_id)
         before = _state(spark, f"{path}/newest", _ROW, batch_id)
-        _write_batch(_newest(rows.unionByName(before), n, by), f"{path}/newest", batch_id)
+        write_batch(_newest(rows.unionByName(before), n, by), f"{path}/newest", batch_id)
 
     return step
 
@@ -493,7 +502,7 @@ def commit_step(route: Callable[[DataFrame], DataFrame]):
         spark = batch.sparkSession
         read = route(batch).groupBy("partition").agg(F.count(F.lit(1)).alias("committed"))
         every = read.unionByName(_state(spark, path, _COMMIT, batch_id))
-        _write_batch(every.groupBy("partition").agg(F.sum("committed").cast("long").alias("committed")), path, batch_id)
+        write_batch(every.groupBy("partition").agg(F.sum("committed").cast("long").alias("committed")), path, batch_id)
 
     return step
 
@@ -510,7 +519,7 @@ def run_concurrently(queries: dict[str, DataFrame], mode: str = "complete") -> d
         spark = df.sparkSession
         path, ck = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
         q = _start(df.writeStream.outputMode(mode).queryName(f"group_{name}")
-                   .foreachBatch(lambda batch, batch_id, to=path: _write_batch(batch, to, batch_id)), ck)
+                   .foreachBatch(lambda batch, batch_id, to=path: write_batch(batch, to, batch_id)), ck)
         started[name] = (q, path, ck)
     out = {}
     for name, (q, path, ck) in started.items():
