@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions import columns as C
 from tidepool.functions.hashing import md5_mod
-from tidepool.functions.text import DEFAULT_NEGATIVE_WORDS, DEFAULT_POSITIVE_WORDS, lexicon_sentiment, tokenize
+from tidepool.functions.text import DEFAULT_NEGATIVE_WORDS, DEFAULT_POSITIVE_WORDS, tokenize, with_lexicon_sentiment
 from tidepool.operators import analytics as A
 from tidepool.operators import quality as Q
 from tidepool.operators import ranking, routing, search
@@ -74,7 +74,7 @@ def test_severity_band(spark):
 ])
 def test_lexicon_sentiment(spark, text, label, score, conf):
     df = spark.createDataFrame([(text,)], "t string")
-    r = df.select(lexicon_sentiment(F.col("t"), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS).alias("s")).first().s
+    r = with_lexicon_sentiment(df, "t", DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS, "label", "score", "confidence").first()
     assert (r.label, r.score, r.confidence) == (label, score, conf)
 
 

@@ -12,17 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.functions.text import lexicon_sentiment
+from tidepool.functions.text import with_lexicon_sentiment
 
 
 def score_documents(docs: DataFrame, positive: list[str], negative: list[str], text_col: str = "text") -> DataFrame:
     """Append nlp_label / nlp_score / nlp_confidence (native expressions; no Python UDF)."""
-    s = lexicon_sentiment(F.col(text_col), positive, negative)
-    return (docs.withColumn("_nlp", s)
-                .withColumn("nlp_label", F.col("_nlp.label"))
-                .withColumn("nlp_score", F.col("_nlp.score"))
-                .withColumn("nlp_confidence", F.col("_nlp.confidence"))
-                .drop("_nlp"))
+    return with_lexicon_sentiment(docs, text_col, positive, negative, "nlp_label", "nlp_score", "nlp_confidence")
 
 
 def agreement(scored: DataFrame, truth: str = "sentiment_label", pred: str = "nlp_label") -> DataFrame:

@@ -30,7 +30,7 @@ scored as (
 
 
 def _scored(spark, sf):
-    return S.score_documents(views.docs(spark, sf), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS)
+    return S.score_documents(views.docs(spark, sf, dealt=True), DEFAULT_POSITIVE_WORDS, DEFAULT_NEGATIVE_WORDS)
 
 
 @query("tokenize", "select doc_id, tokens from doc_tokens")

@@ -152,9 +152,27 @@ def trend_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a stored label from ``labels`` (quality 1/0 -> positive/negative, unlabelled -> neutral)."""
+ROW_GROUP = 64 << 20
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small table over all cores before costly expressions.
+
+    A table of fewer than one 64 MB piece a core may be a single row group, hence a single task, and costs little to move; a larger
+    one has row groups for every core and stays where it is. Rows and results are the same.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * ROW_GROUP else df
+
+
+def docs(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """Documents with a stored label from ``labels`` (quality 1/0 -> positive/negative, unlabelled -> neutral).
+
+    ``dealt``: rows spread over all cores, for work on the texts.
+    """
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread(d, "doc_id") if dealt else d
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = d.join(lab, "doc_id", "left")
     return j.select(
@@ -166,7 +184,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document, straight from the documents scan (no label join needed)."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return d.select("doc_id", tokenize(F.col("text")).alias("tokens"))
 
 
