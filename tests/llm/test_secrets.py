@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
 
 from tests.llm.helpers import SCHEMA, empty, messy, rows
@@ -94,6 +95,41 @@ def test_repeats_inside_a_string_and_plain_words_are_not_novel():
         assert novel(text) == []
 
 
+def plainly(text):
+    """Candidates by a search from every word to the end of its reach."""
+    near = set()
+    words = [w.span() for w in secrets.SENSITIVE.finditer(text)]
+    for _, end in words:
+        for m in secrets.CANDIDATE.finditer(text, end):
+            if m.start() - end > secrets.REACH:
+                break
+            near.add(m.span())
+    judged = {b for _, b in near}
+    for start, _ in words:
+        near |= {m.span() for m in secrets.CANDIDATE.finditer(text)
+                 if start - secrets.REACH <= m.end() <= start and m.end() not in judged}
+    return near
+
+
+def test_candidates_of_mixed_texts():
+    rng = random.Random(21)
+    parts = ["token", "password", "Bearer", " ", " ", "\n", "=", "x" * 11, "y" * 12, "abc", "a" * 100, "key_1234567890", ": "]
+    for _ in range(300):
+        text = " ".join("".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 40)))
+        if all(len(secrets.SENSITIVE.findall(w)) < 3 for w in text.split()):  # of three words in a string the middle one cuts nothing
+            assert secrets.candidates(text) == plainly(text)
+
+
+def test_a_megabyte_of_sensitive_words_is_quick():
+    for text in ("token word " * 95_000, "password" * 131_000, "secret abcdefghijkl\n" * 2, ("token " + "z" * 200 + "\n") * 5):
+        began = time.perf_counter()
+        secrets.candidates(text)
+        assert time.perf_counter() - began < 3
+    began = time.perf_counter()
+    assert secrets.scan("token word " * 95_000) == []
+    assert time.perf_counter() - began < 3
+
+
 def test_report_columns(spark):
     data = rows() + [(9000 + k, t, "en", "s", 1, *["x"] * 23) for k, t in enumerate(samples()) if k % 9 == 0]
     got = secrets.secret_report(spark.createDataFrame(data, SCHEMA)).collect()

@@ -46,7 +46,8 @@ SENSITIVE_WORDS = ("password", "passwd", "passphrase", "secret", "token", "apike
                    "private_key", "private key", "access_key", "access key", "auth_key", "bearer", "authorization")
 SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE_WORDS)), re.IGNORECASE | re.ASCII)
 REACH = 96
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{12,}")
+LEAST = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
 SHORT = 16
 WORDS = re.compile(r"(?!.*[B-DF-HJ-NP-TV-XZb-df-hj-np-tv-xz]{5})[+/_=.-]*[A-Z]?[a-z]+(?:[+/_=.-]+[A-Z]?[a-z]+)*[+/_=.-]*")
 AROUND = 512
@@ -98,6 +99,36 @@ def _novel(text: str, a: int, b: int) -> bool:
     return novelty(text[a:b], *surroundings(text, a, b)) >= NOVELTY
 
 
+def candidates(text: str) -> set[tuple[int, int]]:
+    """Strings near sensitive words: those that start at most ``REACH`` behind one, and whole ones that end so far before one.
+
+    A word inside a string cuts it: what follows is a candidate, behind the first and the last such word of the string. Every look is at the few strings
+    within reach, so the work grows with the text.
+    """
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    starts, ends = [a for a, _ in runs], [b for _, b in runs]
+    words = [w.span() for w in SENSITIVE.finditer(text)]
+    near: set[tuple[int, int]] = set()
+    cuts: dict[int, list[int]] = {}
+    for _, end in words:
+        k = bisect_left(starts, end)
+        if k and ends[k - 1] - end >= LEAST:
+            cuts.setdefault(k - 1, []).append(end)
+        while k < len(runs) and starts[k] - end <= REACH:
+            near.add(runs[k])
+            k += 1
+    near |= {(at, ends[k]) for k, of in cuts.items() for at in (of[0], of[-1])}
+    # Before a word: whole strings, unless one is already a candidate from the word inside it.
+    judged = {b for _, b in near}
+    for start, _ in words:
+        k = bisect_left(ends, start - REACH)
+        while k < len(runs) and ends[k] <= start:
+            if ends[k] not in judged:
+                near.add(runs[k])
+            k += 1
+    return near
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of each span of a whole text, by start and then by kind as listed."""
     found: list[tuple[str, int, int]] = []
@@ -108,24 +139,7 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     if any(w in low for w in SENSITIVE_WORDS):
-        words = [w.span() for w in SENSITIVE.finditer(text)]
-        near: set[tuple[int, int]] = set()
-        for _, end in words:
-            for m in CANDIDATE.finditer(text, end):
-                if m.start() - end > REACH:
-                    break
-                near.add(m.span())
-        # Before a word: whole strings, unless one is already a candidate from the word inside it.
-        judged = {b for _, b in near}
-        runs = [m.span() for m in CANDIDATE.finditer(text)]
-        ends = [b for _, b in runs]
-        for start, _ in words:
-            k = bisect_left(ends, start - REACH)
-            while k < len(runs) and ends[k] <= start:
-                if ends[k] not in judged:
-                    near.add(runs[k])
-                k += 1
-        found += [("novel", a, b) for a, b in near if _novel(text, a, b)]
+        found += [("novel", a, b) for a, b in candidates(text) if _novel(text, a, b)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
