@@ -23,7 +23,7 @@ def brute(text, threshold=licenses.THRESHOLD):
         t, n = set(said), len(said)
         for s in range(0, max(len(words), 1), n):
             shared = len(t & set(words[s:s + 2 * n]))
-            if shared >= math.ceil(round(threshold * len(t), 9)):
+            if shared >= (len(t) if len(t) < 10 else math.ceil(round(threshold * len(t), 9))):
                 labels.add(label)
                 best = max(best, shared / len(t))
     starts = [i for i, _ in places]
@@ -57,7 +57,18 @@ def test_filters_lose_no_block(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
-def test_order_is_by_frequency():
+def test_each_notice_has_its_own_label_alone(spark):
+    texts = [(label, f"Some words before it. {t} And some behind.") for label, t in licenses.TEMPLATES]
+    texts += [("", "Licensed under CC BY 4.0."), ("", "Licensed under the GNU licence."), ("", "Licensed under CC BY-ND 4.0.")]
+    data = [(k, t, "en", "s", 1, *["x"] * 23) for k, (_, t) in enumerate(texts)]
+    got = licenses.license_scan(spark.createDataFrame(data, SCHEMA)).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {k: label for k, (label, _) in enumerate(texts)}
+
+
+def test_order_is_by_frequency(monkeypatch):
+    short = licenses.ordered_templates({"a": 9, "b": 1, "c": 5}, [("x", "a b c")], 0.6)[0]
+    assert short["least"] == 3 and short["prefix"] == ["b"]
+    monkeypatch.setattr(licenses, "SHORT", 0)
     ordered = licenses.ordered_templates({"a": 9, "b": 1, "c": 5}, [("x", "a b c")], 0.6)[0]
     assert ordered["words"] == ["b", "c", "a"] and ordered["least"] == 2 and ordered["prefix"] == ["b", "c"]
 

@@ -2,7 +2,8 @@
 
 A template is the set of words of a license notice; the blocks of a document, for a template of L words, are its
 runs of 2 L words that start at every L-th word (so any L + 1 words in a row lie inside one block). The join finds
-every block that holds at least ``THRESHOLD`` of a template's words:
+every block that holds at least ``THRESHOLD`` of a template's words, or all of them if these are fewer than ``SHORT``: short
+notices of different licenses differ in a single word.
 
 1. words are ordered by the number of documents that hold them, over all documents, rarest first (words of no
    template cannot be shared and come last);
@@ -33,6 +34,7 @@ from tidepool.llm.common import pin, text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.85
+SHORT = 10
 SEGMENT = 512
 
 # The phrases of the base scan and their labels.
@@ -66,6 +68,11 @@ def doc_words(text: Column) -> Column:
     return F.regexp_extract_all(lowered(text), F.lit(WORD), F.lit(0))
 
 
+def least_shared(words: int, threshold: float = THRESHOLD) -> int:
+    """How many of a template's ``words`` distinct words a block must hold."""
+    return words if words < SHORT else max(1, math.ceil(round(threshold * words, 9)))
+
+
 def _split(text: str) -> list[str]:
     return re.findall(WORD, text.lower())
 
@@ -85,7 +92,7 @@ def ordered_templates(frequencies: dict[str, int], templates=TEMPLATES, threshol
     for k, (label, text) in enumerate(templates):
         said = _split(text)
         words = sorted(set(said), key=rank.__getitem__)
-        least = max(1, math.ceil(round(threshold * len(words), 9)))
+        least = least_shared(len(words), threshold)
         out.append({"template": k, "label": label, "length": len(said), "words": words, "least": least,
                     "prefix": words[:len(words) - least + 1]})
     return out
@@ -131,7 +138,7 @@ def _candidates(docs: DataFrame, prefixes: list[str], phrases) -> DataFrame:
                            F.array_sort(F.array_distinct(found)).alias("base")), "license-rows")
 
 
-def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[dict], keep: float) -> DataFrame:
+def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[dict]) -> DataFrame:
     """row, template, label, start, shared, size of template, for each block of ``rows`` that meets the threshold."""
     spark = rows.sparkSession
     # One row per template: a fixed table.
@@ -173,9 +180,9 @@ def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[
             .withColumn("b_prefix", F.slice("block", 1, F.greatest(b_size - least + 1, F.lit(0))))
             .filter(F.arrays_overlap("t_prefix", "b_prefix"))                                    # prefix
             .filter(left >= least)                                                               # positional
-            .select("row", "template", "label", "start", F.size(F.array_intersect("block", "t_words")).alias("shared"),
+            .select("row", "template", "label", "start", "least", F.size(F.array_intersect("block", "t_words")).alias("shared"),
                     t_size.alias("of"))
-            .filter(F.col("shared") >= F.ceil(F.round(F.lit(keep) * F.col("of"), 9))))
+            .filter("shared >= least").drop("least"))
 
 
 def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = THRESHOLD) -> DataFrame:
@@ -187,7 +194,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     frequencies = word_frequencies(docs, vocabulary)
     ordered = ordered_templates(frequencies, templates, threshold)
     rows = _candidates(docs, sorted({w for t in ordered for w in t["prefix"]}), phrases)
-    best = (matching_blocks(rows, frequencies, ordered, threshold).groupBy("row")
+    best = (matching_blocks(rows, frequencies, ordered).groupBy("row")
             .agg(F.collect_set("label").alias("found"), F.max(F.col("shared") / F.col("of")).alias("share")))
     return (rows.drop("words").join(best, "row", "left")
             .select("doc_id", "n_words", "n_base", "first_word", "last_word",
@@ -200,13 +207,14 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
 
 def oracle_sql(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
     """DuckDB SQL of the same result: every window against every template, without any filter."""
-    listed = ", ".join(f"('{label}', {len(_split(t))}, {sorted(set(_split(t)))!r})" for label, t in templates)
+    listed = ", ".join(f"('{label}', {len(_split(t))}, {least_shared(len(set(_split(t))), threshold)}, {sorted(set(_split(t)))!r})"
+                       for label, t in templates)
     places = " union all ".join(
         f"select row, i, '{label}' as label from words, unnest(range(0, len(w))) as u(i) where "
         + " and ".join(f"w[i + {k + 1}] = '{word}'" for k, word in enumerate(phrase.split()))
         for phrase, label in PHRASES)
     return f"""
-with templates(label, length, t) as (values {listed}),
+with templates(label, length, least, t) as (values {listed}),
 words as (select row_number() over () as row, doc_id,
                  regexp_extract_all(lower(replace(replace(coalesce(text, ''), chr(8490), chr(57344)),
                                                   chr(304), chr(57345))), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
@@ -214,11 +222,11 @@ words as (select row_number() over () as row, doc_id,
 places as ({places}),
 base as (select row, count(*) as n, min(i) as a, max(i) as b, list_sort(list_distinct(list(label))) as labels
          from places group by row),
-blocks as (select row, label, t, list_distinct(w[s + 1 : s + 2 * length]) as b
+blocks as (select row, label, least, t, list_distinct(w[s + 1 : s + 2 * length]) as b
            from words, templates, unnest(range(0, greatest(len(w), 1), length)) as u(s)),
-shares as (select row, label, len(list_intersect(b, t)) as shared, len(t) as whole from blocks),
+shares as (select row, label, least, len(list_intersect(b, t)) as shared, len(t) as whole from blocks),
 best as (select row, list(distinct label) as labels, max(shared::double / whole) as share from shares
-         where shared >= ceil(round({threshold} * whole, 9)) group by row)
+         where shared >= least group by row)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_base, a as first_word, b as last_word,
        coalesce(array_to_string(base.labels, ','), '') as base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(best.labels, [])))),
