@@ -199,7 +199,8 @@ def _normalise(folder: str, level: int):
 
 def normalise(archives: DataFrame, folder: str, level: int = LEVEL) -> DataFrame:
     """Rewrite each archive record by record; archive, index, n_records, bytes of each new file."""
-    spread = archives.select("archive").repartition("archive")
+    tasks = max(1, 4 * archives.count())  # a number of its own, or the few names would be merged into one task
+    spread = archives.select("archive").repartition(tasks, "archive")
     return pin(spread.mapInArrow(_normalise(folder, level), "archive string, index string, n_records bigint, bytes bigint"),
                "warc-normalised")
 
