@@ -7,6 +7,7 @@ bounded by the number of columns) are ever small enough to broadcast.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,6 +71,7 @@ def duplicate_rows(datasets: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
+DATASETS_AT_ONCE = 8
 APPROX_ACCURACY = 10_000    # sketch accuracy: rank error at most N / accuracy
 
 
@@ -94,29 +96,35 @@ def quartile_rows(datasets: Mapping[str, DataFrame], probs=(0.25, 0.75),
     values the band is widened by 2 / n, so in a small column it is simply the whole column.
     What comes back is a few numbers per column.
     """
-    columns: list[tuple[str, str, int]] = []          # dataset, column, values
-    bands: list[tuple[int, int, int]] = []            # column, quantile, values below the band
-    parts = []
-    for name, df in datasets.items():
+    def bracket(item: tuple[str, DataFrame]) -> tuple[str, DataFrame, list[tuple[str, int]], list[tuple], list[int]]:
+        """A dataset's columns with their counts, the bands (column, quantile, from, to), and the values below each band."""
+        name, df = item
         cols = numeric_columns(df)
-        if not cols:
-            continue
-        sized = [(c, n) for c, n in zip(cols, _one_row(df, [F.count(_valid(c)) for c in cols])) if n]
+        sized = [(c, n) for c, n in zip(cols, _one_row(df, [F.count(_valid(c)) for c in cols])) if n] if cols else []
         if not sized:
-            continue
+            return name, df, [], [], []
         sketches = _one_row(df, [F.percentile_approx(_valid(c), [
             f for p in probs for f in (max(0.0, p - 3.0 / accuracy - 2.0 / n), min(1.0, p + 3.0 / accuracy + 2.0 / n))],
             accuracy) for c, n in sized])
-        own = [(len(columns) + k, c, b, sketches[k][2 * b], sketches[k][2 * b + 1])
-               for k, (c, _) in enumerate(sized) for b in range(len(probs))]
-        below = _one_row(df, [F.count_if(_valid(c) < F.lit(lo)) for _, c, _, lo, _ in own])
+        own = [(c, b, sketches[k][2 * b], sketches[k][2 * b + 1]) for k, (c, _) in enumerate(sized) for b in range(len(probs))]
+        return name, df, sized, own, _one_row(df, [F.count_if(_valid(c) < F.lit(lo)) for c, _, lo, _ in own])
+
+    columns: list[tuple[str, str, int]] = []          # dataset, column, values
+    bands: list[tuple[int, int, int]] = []            # column, quantile, values below the band
+    parts = []
+    with ThreadPoolExecutor(max(1, min(len(datasets), DATASETS_AT_ONCE))) as pool:  # the driver waits; the passes share the cores
+        bracketed = list(pool.map(bracket, datasets.items()))
+    for name, df, sized, own, below in bracketed:
+        if not sized:
+            continue
+        place = {c: len(columns) + k for k, (c, _) in enumerate(sized)}
         hits = F.array_compact(F.array(*[
             F.when(_valid(c).between(lo, hi),
-                   F.struct(F.lit(k).alias("k"), F.lit(b).alias("b"), _valid(c).alias("value")))
-            for k, c, b, lo, hi in own]))
+                   F.struct(F.lit(place[c]).alias("k"), F.lit(b).alias("b"), _valid(c).alias("value")))
+            for c, b, lo, hi in own]))
         parts.append(df.select(F.explode(hits).alias("h")).select("h.*"))
         columns += [(name, c, n) for c, n in sized]
-        bands += [(k, b, under) for (k, _, b, _, _), under in zip(own, below)]
+        bands += [(place[c], b, under) for (c, b, _, _), under in zip(own, below)]
     if not columns:
         return []
     counted = _union(parts).groupBy("k", "b", "value").agg(F.count(F.lit(1)).alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from tidepool.sources import views
 from tidepool.sources.tables import table_path
 
 _WRITTEN: dict[tuple, str] = {}
+BUILT: dict[str, float] = {}  # seconds that each table's last build took
 
 
 def _state_of(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -27,11 +29,19 @@ def once(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession,
     key = (spark.sparkContext.applicationId, sf, name, *[_state_of(spark, table_path(sf, t)) for t in sources])
     if key not in _WRITTEN:
         path = scratch_path(spark, f"once-{name}")
+        began = time.perf_counter()
         build(spark, sf).write.parquet(path)
+        BUILT[name] = round(time.perf_counter() - began, 3)
         _WRITTEN[key] = path
     return spark.read.parquet(_WRITTEN[key])
 
 
+def forget() -> None:
+    """Build every table anew at its next use (the written ones stay for whoever reads them)."""
+    _WRITTEN.clear()
+    BUILT.clear()
+
+
 def s_posts(spark: SparkSession, sf: str) -> DataFrame:
     return once(spark, sf, "silver-posts", lambda s, d: silver.silver_posts(views.posts(s, d)), ("events",))
 
