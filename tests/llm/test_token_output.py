@@ -23,8 +23,8 @@ def test_slots_are_a_permutation(n):
         assert abs(np.corrcoef(np.arange(n), out.slots(np.arange(n), n, 1))[0, 1]) < 0.2
 
 
-@pytest.mark.parametrize("length, shard_slots", [(64, 7), (1024, 50), (100_000, 3)])
-def test_shards_hold_the_stream(spark, length, shard_slots):
+@pytest.mark.parametrize("length, shard_slots, chunk_ids", [(64, 7, 100), (1024, 50, 1 << 19), (100_000, 3, 999)])
+def test_shards_hold_the_stream(spark, length, shard_slots, chunk_ids):
     docs = pin(messy(spark).repartition(5), "test-docs")
     own = out._encoder(vocabulary(), public_tokenizers.PATTERN)
     end = own.max_token_value + 1
@@ -35,7 +35,7 @@ def test_shards_hold_the_stream(spark, length, shard_slots):
     padded = np.array(stream + [end] * (n * length - len(stream)), dtype="<u2").reshape(n, length)
     want = {int(s): padded[k].tobytes() for k, s in enumerate(out.slots(np.arange(n), n))}
     folder = shared_folder(spark, "t-shards")
-    manifest = out.materialise(docs, folder, length, shard_slots)
+    manifest = out.materialise(docs, folder, length, shard_slots, chunk_ids=chunk_ids)
     got = {r["slot"]: (r["shard"], r["offset"], bytes(r["ids"])) for r in out.read_slots(manifest, folder).collect()}
     assert {s: i for s, (_, _, i) in got.items()} == want
     assert all((shard, at) == (s // shard_slots, s % shard_slots * 2 * length) for s, (shard, at, _) in got.items())

@@ -6,12 +6,12 @@ below the number of sequences, permutes sequence numbers to slots: a bijection t
 holds ``shard_slots`` consecutive slots, ``length`` little-endian 16-bit ids each, so slot s of the training order is
 at a known file and offset, reads are sequential, and a run resumes from a slot number alone.
 
-Scale: the first pass counts ids and returns one row per scan task; these give every task the place of its first id, so no
-document is joined or sorted for it. The second pass encodes again (cheaper than keeping every id twice), sends
-each piece of a sequence to the task of its shard range by number (``repartitionById``), and that task writes the shards in
-slot order. Shards are equal in size whatever the documents are. A task that fails writes a file of another name; the
-manifest names the files of committed attempts only. Both passes must see the same scan: the second pass checks
-its counts against the first and fails otherwise, so pass a written table, not the output of a shuffle.
+Scale: texts are encoded once. Each scan task stores its ids in numbered chunks; one row per scan task comes to the
+driver and gives every chunk its place in the stream, so no document is joined or sorted for it. A pass over the chunks
+cuts them at the sequences' edges and sends each piece to the task of its shard range by number
+(``repartitionById``), which writes the shards in slot order. Shards are equal in size whatever the documents are, and a
+long document is many chunks. Chunks and pieces travel compressed by zstandard; the chunks are deleted once the shards
+are complete. A task that fails writes a file of another name; the manifest names the files of committed attempts only.
 
 Edge cases: null text counts as empty and gives its end id alone. An empty table gives no shard. Repeated rows appear as
 often as they occur. Only ``text`` is read.
@@ -26,6 +26,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,6 +40,10 @@ SHARD_SLOTS = 8192
 MAX_TASKS = 20_000
 KEY = 0x5EED
 ROUNDS = 6
+CHUNK_IDS = 1 << 19
+CHUNK_LEVEL = 6
+PIECE_LEVEL = 3
+ENCODED = pa.schema([("task", pa.int32()), ("at", pa.int64()), ("n", pa.int32()), ("ids", pa.binary())])
 
 
 def _mixed(x: np.ndarray, key: int) -> np.ndarray:
@@ -70,58 +75,54 @@ def _encoder(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def _streams(batches: Iterable[pa.RecordBatch], path: str, pattern: str) -> Iterator[np.ndarray]:
-    """The ids of runs of documents, each closed by the end id (the number after the last rank)."""
-    own = _encoder(path, pattern)
-    end = own.max_token_value + 1
-    for batch in small_slices(batches, 1 << 20):
-        ids: list[int] = []
-        for text in batch.column("text").to_pylist():
-            ids += own.encode_ordinary(text)
-            ids.append(end)
-        yield np.array(ids, dtype="<u2")
-
-
-def _count(path: str, pattern: str):
+def _encoded(path: str, pattern: str, chunk_ids: int):
+    """task, at, n, ids: the ids of a scan task's documents, each closed by the end id (the number after the last
+    rank), in chunks that begin at the task's id ``at``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = sum(map(len, _streams(batches, path, pattern)))
-        yield pa.RecordBatch.from_pydict({"task": [TaskContext.get().partitionId()], "n": [n]})
+        own = _encoder(path, pattern)
+        end = np.array([own.max_token_value + 1], dtype="<u2")
+        pack = zstandard.ZstdCompressor(level=CHUNK_LEVEL).compress
+        task, at = TaskContext.get().partitionId(), 0
+        held: list[np.ndarray] = []
+        n_held = 0
+
+        def chunk(ids: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"task": task, "at": at, "n": len(ids), "ids": pack(ids.tobytes())}],
+                                              schema=ENCODED)
+
+        for batch in small_slices(batches, 1 << 20):
+            for text in batch.column("text").to_pylist():
+                ids = own.encode_to_numpy(text, disallowed_special=()).astype("<u2")
+                held += [ids, end]
+                n_held += len(ids) + 1
+                if n_held >= chunk_ids:
+                    ids = np.concatenate(held)
+                    for k in range(0, n_held - chunk_ids + 1, chunk_ids):
+                        yield chunk(ids[k:k + chunk_ids])
+                        at += chunk_ids
+                    held = [ids[n_held - n_held % chunk_ids:]]
+                    n_held = len(held[0])
+        if n_held:
+            yield chunk(np.concatenate(held))
     return run
 
 
-def _pieces(path: str, pattern: str, starts: dict[int, tuple[int, int]], total: int, length: int, key: int):
-    """slot, at, ids: the parts of sequences that a scan task's documents make up."""
-    n_slots = -(-total // length)
-
+def _pieces(starts: np.ndarray, n_slots: int, length: int, key: int):
+    """slot, at, ids: the parts of sequences that each stored chunk holds."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, expected = starts.get(TaskContext.get().partitionId(), (0, 0))
-        place, held = first, np.empty(0, dtype="<u2")
-
-        def cut(ids: np.ndarray, begin: int, last: bool) -> tuple[pa.RecordBatch | None, np.ndarray]:
-            edges = [0, *range((-begin) % length or length, len(ids), length)]
-            if len(ids) - edges[-1] and ((begin + len(ids)) % length == 0 or last):
-                edges.append(len(ids))
-            parts = [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
-            if not parts:
-                return None, ids
-            at = np.array([begin + a for a, _ in parts], dtype=np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(slots(at // length, n_slots, key)), pa.array((at % length).astype(np.int32)),
-                 pa.array([ids[a:b].tobytes() for a, b in parts], pa.binary())],
-                ["slot", "at", "ids"]), ids[parts[-1][1]:]
-
-        for ids in _streams(batches, path, pattern):
-            held = np.concatenate([held, ids])
-            out, rest = cut(held, place, last=False)
-            place, held = place + len(held) - len(rest), rest
-            if out is not None:
-                yield out
-        out, rest = cut(held, place, last=True)
-        place += len(held) - len(rest)
-        if out is not None:
-            yield out
-        if place - first != expected:
-            raise RuntimeError("the two passes saw different rows: write the input as a table first")
+        pack = zstandard.ZstdCompressor(level=PIECE_LEVEL).compress
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for task, at, n, packed in zip(batch.column("task").to_pylist(), batch.column("at").to_pylist(),
+                                           batch.column("n").to_pylist(), batch.column("ids")):
+                begin = int(starts[task]) + at
+                edges = np.array([0, *range(-begin % length or length, n, length), n])
+                places = begin + edges[:-1]
+                ids = memoryview(unpack(packed.as_buffer()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slots(places // length, n_slots, key)), pa.array((places % length).astype(np.int32)),
+                     pa.array([pack(ids[2 * a:2 * b]) for a, b in zip(edges, edges[1:])], pa.binary())],
+                    ["slot", "at", "ids"])
     return run
 
 
@@ -149,10 +150,10 @@ def _write(folder: str, length: int, shard_slots: int, n_slots: int, end: int):
                 self.out.write(end.to_bytes(2, "little") * (missing // 2))
                 self.written = place
 
-        def add(self, slot: int, at: int, ids: pa.Buffer) -> None:
+        def add(self, slot: int, at: int, ids: bytes) -> None:
             self.reach((slot - self.number * shard_slots) * stride + 2 * at)
             self.out.write(ids)
-            self.written += ids.size
+            self.written += len(ids)
 
         def close(self) -> pa.RecordBatch:
             self.reach(self.n * stride)
@@ -164,6 +165,7 @@ def _write(folder: str, length: int, shard_slots: int, n_slots: int, end: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
+        unpack = zstandard.ZstdDecompressor().decompress
         shard: Shard | None = None
         for batch in batches:
             for slot, at, ids in zip(batch.column("slot").to_pylist(), batch.column("at").to_pylist(),
@@ -172,34 +174,44 @@ def _write(folder: str, length: int, shard_slots: int, n_slots: int, end: int):
                     if shard is not None:
                         yield shard.close()
                     shard = Shard(slot // shard_slots, store, root)
-                shard.add(slot, at, ids.as_buffer())
+                shard.add(slot, at, unpack(ids.as_buffer()))
         if shard is not None:
             yield shard.close()
     return run
 
 
 def materialise(docs: DataFrame, folder: str, length: int = LENGTH, shard_slots: int = SHARD_SLOTS, key: int = KEY,
-                path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+                path: str | None = None, pattern: str = public_tokenizers.PATTERN,
+                chunk_ids: int = CHUNK_IDS) -> DataFrame:
     """Write the shards of ``docs`` to ``folder``; the manifest: shard, path, first_slot, n_slots, stride."""
     path = path or vocabulary()
     end = len(read_ranks(path))
     if end > 0xFFFF:
         raise ValueError("ids must fit 16 bits")
+    spark = docs.sparkSession
+    chunks = shared_folder(spark, "token-ids")
+    schema = "task int, at bigint, n int, ids binary"
     texts = docs.select(text_or_empty().alias("text"))
-    counts = texts.mapInArrow(_count(path, pattern), "task bigint, n bigint").collect()  # a row per task
-    starts, total = {}, 0
-    for r in sorted(counts):  # sorted here: a sort in Spark would run the pass again for its sample
-        starts[r["task"]] = (total, r["n"])
-        total += r["n"]
-    n_slots = -(-total // length)
+    texts.mapInArrow(_encoded(path, pattern, chunk_ids), schema).write.parquet(chunks)
+    encoded = spark.read.schema(schema).parquet(chunks)
+    counts = encoded.groupBy("task").agg(F.sum("n").alias("n")).collect()  # a row per scan task
+    sizes = np.zeros(max((r["task"] for r in counts), default=-1) + 1, dtype=np.int64)
+    for r in counts:
+        sizes[r["task"]] = r["n"]
+    starts = np.cumsum(sizes) - sizes
+    n_slots = -(-int(sizes.sum()) // length)
     n_shards = -(-n_slots // shard_slots)
     tasks = max(1, min(n_shards, MAX_TASKS))
     per_task = max(1, -(-n_shards // tasks))
-    pieces = texts.mapInArrow(_pieces(path, pattern, starts, total, length, key), "slot bigint, at int, ids binary")
+    pieces = encoded.mapInArrow(_pieces(starts, n_slots, length, key), "slot bigint, at int, ids binary")
     ranged = (pieces.repartitionById(tasks, F.floor(F.col("slot") / F.lit(shard_slots * per_task)).cast("int"))
               .sortWithinPartitions("slot", "at"))
-    return pin(ranged.mapInArrow(_write(folder, length, shard_slots, n_slots, end),
-                                 "shard bigint, path string, first_slot bigint, n_slots bigint, stride int"), "shards")
+    manifest = pin(ranged.mapInArrow(_write(folder, length, shard_slots, n_slots, end),
+                                     "shard bigint, path string, first_slot bigint, n_slots bigint, stride int"),
+                   "shards")
+    store, root = fs.FileSystem.from_uri(chunks)
+    store.delete_dir(root)
+    return manifest
 
 
 def read_slots(manifest: DataFrame, folder: str, first: int = 0) -> DataFrame:
@@ -223,7 +235,9 @@ def read_slots(manifest: DataFrame, folder: str, first: int = 0) -> DataFrame:
                              pa.array([data[i * row["stride"]:(i + 1) * row["stride"]] for i in range(k)], pa.binary())],
                             ["slot", "shard", "offset", "ids"])
 
-    spread = manifest.filter(F.col("first_slot") + F.col("n_slots") > first).repartition("shard")
+    wanted = manifest.filter(F.col("first_slot") + F.col("n_slots") > first)
+    tasks = max(1, min(wanted.count(), MAX_TASKS))  # named: by size, the few rows of file names would be one task
+    spread = wanted.repartitionById(tasks, F.pmod(F.col("shard"), F.lit(tasks)).cast("int"))
     return spread.mapInArrow(run, "slot bigint, shard bigint, offset bigint, ids binary")
 
 
