@@ -60,7 +60,8 @@ def test_components(spark, tile):
     assert sorted(map(repr, (tuple(r) for r in got))) == sorted(map(repr, want))
 
 
-def test_links_reach_all_close_pairs(spark):
+@pytest.mark.parametrize("tile, block_tiles", [(16, 16), (2, 16), (1, 3)])
+def test_links_reach_all_close_pairs(spark, tile, block_tiles):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     fps = {int(x) for x in base} | {0, (1 << 64) - 1}
@@ -73,7 +74,7 @@ def test_links_reach_all_close_pairs(spark):
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(s,) for s in signed], "fp bigint")
-    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, 4, 16)).collect()}
+    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, 4, tile, block_tiles)).collect()}
     classes = {}
     for s, c in zip(signed, brute_components(list(range(len(fps))), fps)):
         classes.setdefault(c, set()).add(roots.get(s, s))

@@ -11,8 +11,10 @@ all others are compared exactly (numpy exclusive-or and bit count). A task emits
 a spanning forest of the links it found, so a dense group costs as many rows as it has members.
 
 Scale: copies collapse before any comparison. Only (doc_id, fingerprint) and tiles leave a task. The work is
-quadratic in the number of distinct fingerprints, less what the counts skip; each pair of tiles is its own row,
-so the work spreads over all tasks.
+quadratic in the number of distinct fingerprints, less what the counts skip. Consecutive tiles travel as numbered blocks
+of up to ``BLOCK_TILES``; a pair of blocks is one piece of work, and pieces are dealt by number to a number of tasks
+that follows from how many there are, so the longest task doesn't grow with the input and each fingerprint is sent
+once per block it meets. Up to ``BLOCKS`` x ``BLOCK_TILES`` tiles what is sent grows as the input does.
 
 Edge cases: null text counts as empty. A component takes its smallest non-null doc_id (null if it has none).
 Repeated rows get a row each. Only ``doc_id`` and ``text`` are read. An empty table gives an empty result.
@@ -25,6 +27,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,10 @@ TILE = 4096
 SEED = 42
 CHUNK_WORDS = 50_000
 WORDS_PER_TILE_KEY = 4
+BLOCKS = 64
+BLOCK_TILES = 16
+TASK_TILE_PAIRS = 16
+MAX_TASKS = 100_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
@@ -90,31 +97,37 @@ def _count_columns() -> list:
             for k in range(WORDS_PER_TILE_KEY)]
 
 
-def _tiles(size: int):
-    """Cut each sorted partition into tiles: the fingerprints, and the range of each word's count."""
+def _boxes(fps: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the largest count of each word, for every tile of ``size`` fingerprints."""
+    counts = np.bitwise_count(fps.view(np.uint16).reshape(-1, WORDS_PER_TILE_KEY)).astype(np.int32)
+    at = np.arange(0, len(fps), size)
+    return np.minimum.reduceat(counts, at), np.maximum.reduceat(counts, at)
+
+
+def _blocks(size: int):
+    """Cut each sorted partition into blocks: the fingerprints, and the range of each word's count."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
         held = np.empty(0, dtype=np.uint64)
 
-        def tile(fps: np.ndarray) -> pa.RecordBatch:
-            counts = np.bitwise_count(fps.view(np.uint16).reshape(-1, WORDS_PER_TILE_KEY))
-            lo, hi = counts.min(axis=0).astype(int).tolist(), counts.max(axis=0).astype(int).tolist()
-            return pa.RecordBatch.from_pydict(
-                {"tile": [int(fps[:1].view(np.int64)[0])], "lo": [lo], "hi": [hi], "fps": [fps.tobytes()]},
-                schema=_TILE_ARROW)
+        def block(fps: np.ndarray) -> pa.RecordBatch:
+            lo, hi = _boxes(fps, len(fps))
+            return pa.RecordBatch.from_pydict({"part": [part], "at": [at], "lo": lo.tolist(), "hi": hi.tolist(),
+                                               "fps": [fps.tobytes()]}, schema=_BLOCK_ARROW)
 
         for batch in batches:
             held = np.concatenate([held, batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)])
             while len(held) >= size:
-                yield tile(held[:size])
-                held = held[size:]
+                yield block(held[:size])
+                held, at = held[size:], at + 1
         if len(held):
-            yield tile(held)
+            yield block(held)
     return run
 
 
-_TILE_ARROW = pa.schema([("tile", pa.int64()), ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32())),
-                         ("fps", pa.binary())])
-_TILE_SQL = "tile bigint, lo array<int>, hi array<int>, fps binary"
+_BLOCK_ARROW = pa.schema([("part", pa.int32()), ("at", pa.int64()), ("lo", pa.list_(pa.int32())),
+                          ("hi", pa.list_(pa.int32())), ("fps", pa.binary())])
+_BLOCK_SQL = "part int, at bigint, lo array<int>, hi array<int>, fps binary"
 
 
 def _forest(a: np.ndarray, b: np.ndarray, radius: int, rows: int = 256) -> list[tuple[int, int]]:
@@ -149,38 +162,68 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int, rows: int = 256) -> list[
     return list(zip(nodes[linked].tolist(), nodes[parent[linked]].tolist()))
 
 
-def _compare(radius: int):
+def _compare(radius: int, size: int):
+    """Links of pairs of blocks, which come as two rows each, one after the other."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: tuple[int, np.ndarray] | None = None
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                found += _forest(np.frombuffer(x.as_buffer(), dtype=np.uint64),
-                                 np.frombuffer(y.as_buffer(), dtype=np.uint64), radius)
-            yield pa.RecordBatch.from_pydict({"a": [f[0] for f in found], "b": [f[1] for f in found]},
-                                             schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+            for pair, fps in zip(batch.column("pair").to_pylist(), batch.column("fps")):
+                y = np.frombuffer(fps.as_buffer(), dtype=np.uint64)
+                if first is None:
+                    first = pair, y.copy()
+                    continue
+                if first[0] != pair:
+                    raise RuntimeError(f"pair {first[0]} has one block only")
+                x, first = first[1], None
+                found: list[tuple[int, int]] = []
+                same = np.array_equal(x, y)
+                (xl, xh), (yl, yh) = _boxes(x, size), _boxes(y, size)
+                for i in range(len(xl)):
+                    apart = np.maximum(0, np.maximum(yl - xh[i], xl[i] - yh)).sum(axis=1)
+                    for j in np.flatnonzero(apart <= radius).tolist():
+                        if not same or i <= j:
+                            found += _forest(x[i * size:(i + 1) * size], y[j * size:(j + 1) * size], radius)
+                yield pa.RecordBatch.from_pydict({"a": [f[0] for f in found], "b": [f[1] for f in found]},
+                                                 schema=schema)
     return run
 
 
-def links(distinct_fps: DataFrame, radius: int = MAX_BITS, tile: int = TILE) -> DataFrame:
+def links(distinct_fps: DataFrame, radius: int = MAX_BITS, tile: int = TILE,
+          block_tiles: int = BLOCK_TILES) -> DataFrame:
     """Links (a, b) between distinct fingerprints: a spanning forest for each pair of tiles within ``radius``."""
+    spark = distinct_fps.sparkSession
     counted = distinct_fps.select("fp", *_count_columns())
     order = [f"c{k}" for k in range(WORDS_PER_TILE_KEY)] + ["fp"]
-    tiles = pin(counted.repartitionByRange(*order).sortWithinPartitions(*order).select("fp")
-                .mapInArrow(_tiles(tile), _TILE_SQL), "tiles")
-    boxes = tiles.select("tile", "lo", "hi")
-    # Tiles meet on the count of the first word (an equality, widened by the radius on one side).
-    left = boxes.select(F.col("tile").alias("ta"), F.col("lo").alias("la"), F.col("hi").alias("ha"),
-                        F.explode(F.sequence(F.col("lo")[0] - radius, F.col("hi")[0] + radius)).alias("count"))
-    right = boxes.select(F.col("tile").alias("tb"), F.col("lo").alias("lb"), F.col("hi").alias("hb"),
-                         F.explode(F.sequence(F.col("lo")[0], F.col("hi")[0])).alias("count"))
-    apart = sum((F.greatest(F.lit(0), F.col("lb")[k] - F.col("ha")[k], F.col("la")[k] - F.col("hb")[k])
+    tiles = -(-distinct_fps.count() // tile)
+    wide = min(max(1, -(-tiles // BLOCKS)), block_tiles)          # tiles of a block: how the work is cut
+    stored = pin(counted.repartitionByRange(*order).sortWithinPartitions(*order).select("fp")
+                 .mapInArrow(_blocks(tile * wide), _BLOCK_SQL), "blocks")
+    starts, n = [], 0
+    for part, k in sorted(map(tuple, stored.groupBy("part").count().collect())):   # a row per range partition
+        starts.append((part, n))
+        n += k
+    offsets = spark.createDataFrame(starts, "part int, start bigint")
+    blocks = (stored.join(F.broadcast(offsets), "part")
+              .select((F.col("start") + F.col("at")).alias("block"), "lo", "hi", "fps"))
+    boxes = blocks.select("block", "lo", "hi")
+    # A block's partners follow it, up to the last one whose first word may have a count within the radius.
+    last = dict(map(tuple, boxes.groupBy(F.col("lo")[0]).agg(F.max("block")).collect()))   # 17 counts at most
+    reach = [max((b for c, b in last.items() if c <= top), default=-1) for top in range(16 + radius + 1)]
+    ahead = F.element_at(F.array(*[F.lit(r).cast("long") for r in reach]), F.col("hi")[0] + radius + 1)
+    left = boxes.select(F.col("block").alias("x"), F.col("lo").alias("xl"), F.col("hi").alias("xh"),
+                        F.explode(F.sequence("block", F.greatest(ahead, "block"))).alias("y"))
+    right = boxes.select(F.col("block").alias("y"), F.col("lo").alias("yl"), F.col("hi").alias("yh"))
+    apart = sum((F.greatest(F.lit(0), F.col("yl")[k] - F.col("xh")[k], F.col("xl")[k] - F.col("yh")[k])
                  for k in range(WORDS_PER_TILE_KEY)), F.lit(0))
-    pairs = (left.join(right, "count").filter((F.col("ta") <= F.col("tb")) & (apart <= radius))
-             .select("ta", "tb").distinct())
-    # A pair carries the first tile's fingerprints to the second; spread by pair, for the comparison is the work.
-    work = (pairs.join(tiles.select(F.col("tile").alias("ta"), F.col("fps").alias("x")), "ta")
-            .join(tiles.select(F.col("tile").alias("tb"), F.col("fps").alias("y")), "tb"))
-    return work.select("x", "y").mapInArrow(_compare(radius), "a bigint, b bigint")
+    number = F.expr("y * (y + 1) div 2 + x").alias("pair")        # place in the triangle of all pairs
+    pairs = pin(left.join(right, "y").filter(apart <= radius).select("x", "y", number), "pairs")
+    tasks = max(1, min(-(-pairs.count() * min(wide * wide, TASK_TILE_PAIRS) // TASK_TILE_PAIRS), MAX_TASKS))
+    sides = pairs.select("pair", F.explode(F.array("x", "y")).alias("block"))
+    work = (sides.join(blocks.select("block", "fps"), "block")
+            .repartitionById(tasks, F.pmod("pair", F.lit(tasks)).cast("int")).sortWithinPartitions("pair", "block"))
+    return work.select("pair", "fps").mapInArrow(_compare(radius, tile), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS,
