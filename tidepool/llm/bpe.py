@@ -37,6 +37,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MEMO = 100_000
 MEMO_CHARS = 64
 SLICE_BYTES = 2 << 20
+_FOUR_BYTES = struct.Struct("<i").pack
 
 
 @lru_cache(maxsize=4)
@@ -135,35 +136,45 @@ class Codec:
         self.split = splitter(pattern)
         self.table = {b: c for b, c in enumerate(byte_characters())}
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.tokens))
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _learn(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
         found, rest, mapped = {}, [], []
         for p in pieces:
             raw = p.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(raw)
             if rank is not None:
-                found[p] = (rank,)
+                found[p] = _FOUR_BYTES(rank)
             else:
                 rest.append(p)
                 mapped.append(raw.decode("latin-1").translate(self.table))
         for p, ids in zip(rest, self.model.encode(mapped, num_threads=1)):
-            found[p] = tuple(ids)
+            found[p] = struct.pack(f"<{len(ids)}i", *ids)
         return found
 
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers; new pre-tokens of all texts are learned in one call.
+
+        The memo has two generations: a full one becomes the older, and what is met again moves back to the younger, so
+        frequent pre-tokens are never learned anew.
+        """
+        split = [self.split(t) for t in texts]
+        if len(self.memo) > MEMO:
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
+        new = set(chain.from_iterable(split)).difference(memo)
+        known = {p: older[p] for p in new if p in older}
+        memo.update(known)
+        found = self._learn(new.difference(known))
+        long = {p: found.pop(p) for p in new if len(p) > MEMO_CHARS}
+        memo.update(found)
+        if long:
+            return [b"".join([long[p] if p in long else memo[p] for p in pieces]) for pieces in split]
+        return [b"".join(map(memo.__getitem__, pieces)) for pieces in split]
+
     def encode(self, text: str) -> list[int]:
-        pieces = self.split(text)
-        memo = self.memo
-        new = set(pieces).difference(memo)
-        if new:
-            if len(memo) > MEMO:
-                memo.clear()
-                new = set(pieces)
-            found = self._learn(new)
-            memo.update((p, i) for p, i in found.items() if len(p) <= MEMO_CHARS)
-            if any(len(p) > MEMO_CHARS for p in new):
-                return list(chain.from_iterable(memo[p] if p in memo else found[p] for p in pieces))
-        return list(chain.from_iterable(map(memo.__getitem__, pieces)))
+        return np.frombuffer(self.packed([text])[0], dtype="<i4").tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -178,10 +189,9 @@ def vocabulary(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def _lists(lists: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, lists)])
-    flat = np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), dtype="<i4")))
 
 
 def _with(df: DataFrame, make, out: list[str], kinds: list[str]) -> DataFrame:
@@ -208,9 +218,9 @@ def encode(docs: DataFrame, text: str = "text", out: str = "ids", decoded: str |
 
     def make(column: pa.Array) -> list[pa.Array]:
         own = codec(path, pattern)
-        ids = [own.encode(t) if t else [] for t in column.to_pylist()]
-        back = [pa.array([own.decode(i) for i in ids], pa.binary())] if decoded else []
-        return [_lists(ids), *back]
+        ids = own.packed([t or "" for t in column.to_pylist()])
+        back = [own.decode(np.frombuffer(i, dtype="<i4").tolist()) for i in ids] if decoded else []
+        return [_lists(ids), *([pa.array(back, pa.binary())] if decoded else [])]
 
     cols = [F.col(c) for c in (keep if keep is not None else docs.columns)]
     rows = docs.select(F.struct(*cols).alias("__row"), F.col(text).cast("string").alias("__in"))
