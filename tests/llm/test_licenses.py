@@ -1,4 +1,4 @@
-"""License scans against every window tested without any filter."""
+"""License scans against blocks from every single word, tested without any filter."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ def brute(text, threshold=licenses.THRESHOLD):
     for label, template in licenses.TEMPLATES:
         said = re.findall(W, template.lower())
         t, n = set(said), len(said)
-        for s in range(0, max(len(words), 1), n):
+        for s in range(len(words)):
             shared = len(t & set(words[s:s + 2 * n]))
             if shared >= (len(t) if len(t) < 10 else math.ceil(round(threshold * len(t), 9))):
                 labels.add(label)
@@ -49,6 +49,19 @@ def test_equals_every_window(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_wordy_notices_are_found_wherever_they_stand(spark):
+    wordy = "licensed under the creative commons attribution noncommercial cc by nc 4 0"       # 7 words spread over 13
+    data = [(k, " ".join(f"w{i}" for i in range(k)) + f" {wordy} and more", "en", "s", 1, *["x"] * 23)
+            for k in [*range(16), *range(490, 530), 1023, 1024, 5000]]
+    got = licenses.license_scan(spark.createDataFrame(data, SCHEMA)).collect()
+    assert {(r["labels"], r["score"]) for r in got} == {("cc-by-nc", 1.0)} and len(got) == len(data)
+    starts = [" ".join(["license", "software"] * k + ["w"] * 500 + t.split()) for k in (1, 300)
+              for _, t in licenses.TEMPLATES]
+    data = [(k, t, "en", "s", 1, *["x"] * 23) for k, t in enumerate(starts)]
+    got = licenses.license_scan(spark.createDataFrame(data, SCHEMA)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(repr((r[0], *brute(r[1]))) for r in data)
+
+
 def test_filters_lose_no_block(spark):
     """At low thresholds many blocks match; the filtered join still equals the plain test."""
     data = [(k, t, "en", "s", 1, *["x"] * 23) for k, t in enumerate(cases())]

@@ -1,14 +1,16 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
 A template is the set of words of a license notice; the blocks of a document, for a template of L words, are its
-runs of 2 L words that start at every L-th word (so any L + 1 words in a row lie inside one block). The join finds
-every block that holds at least ``THRESHOLD`` of a template's words, or all of them if these are fewer than ``SHORT``: short
-notices of different licenses differ in a single word.
+runs of 2 L words (fewer at its end) from every word on. The join finds what is the best block from any word of the
+template that holds at least ``THRESHOLD`` of the template's words, or all of them if these are fewer than ``SHORT``: short
+notices of different licenses differ in a single word. (A block from another word holds no more of them than the next
+block from a word of the template.)
 
 1. words are ordered by the number of documents that hold them, over all documents, rarest first (words of no
    template cannot be shared and come last);
 2. prefix filter: with overlap a = ceil(threshold * |T|), a block and a template of that overlap share a word of
-   the first |T| - a + 1 words of T and the first |B| - a + 1 words of B;
+   the first |T| - a + 1 words of T and the first |B| - a + 1 words of B. So blocks are only taken around the places of
+   T's prefix words, each block at the first such place in it, and only where all blocks of a place together hold a words;
 3. length filter: |B| >= a;
 4. positional filter: the words from the first shared word on must still allow the overlap;
 5. the overlap itself is counted for the blocks that remain.
@@ -157,25 +159,36 @@ def matching_blocks(rows: DataFrame, frequencies: dict[str, int], ordered: list[
         F.array_intersect("words", _strings(prefixes)), lambda w: F.try_element_at(by_word, w))))
     # A document is cut into segments first, so that taking a block never copies a long text; a segment holds
     # whole the blocks that start in it. Those without a word of the template's prefix hold no candidate.
-    stride = F.col("length") * F.ceil(F.lit(SEGMENT) / F.col("length")).cast("int")
+    width, least = 2 * F.col("length"), F.col("least")
     segments = F.filter(
-        F.transform(F.sequence(F.lit(0), F.size("words") - 1, stride),
-                    lambda s: F.struct(s.alias("first"), F.slice("words", s + 1, stride + F.col("length")).alias("part"))),
+        F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(SEGMENT)),
+                    lambda s: F.struct(s.alias("first"), F.slice("words", s + 1, F.lit(SEGMENT) + width).alias("part"))),
         lambda g: F.arrays_overlap(g["part"], F.col("t_prefix")))
-    last = F.least(F.size("seg.part") - 1, stride - 1)
-    block = F.array_distinct(F.slice("seg.part", F.col("at") + 1, 2 * F.col("length")))
+    hits = F.array_compact(F.transform("seg.part", lambda w, i: F.when(F.array_contains("t_prefix", w), i)))
+    # The starts of the blocks whose first prefix word stands at ``hit``: behind the hit before, inside the segment.
+    around = F.zip_with(hits, F.concat(F.array(F.lit(-1)), hits), lambda hit, before: F.struct(
+        F.greatest(before + 1, hit - width + 1).alias("low"), F.least(hit, F.lit(SEGMENT - 1)).alias("high")))
+    around = F.filter(around, lambda a: a["low"] <= a["high"])
+    starts = F.filter(F.sequence(F.lit(0), F.col("around.high") - F.col("around.low")),
+                      lambda i: F.array_contains("t_words", F.get("part", i)))
+    block = F.array_distinct(F.slice("part", F.col("at") + 1, width))
     in_order = F.transform(F.array_sort(F.transform("block", lambda w: F.struct(
         F.coalesce(F.try_element_at(rank, w), F.lit(len(frequencies))).alias("i"), w.alias("w")))), lambda s: s["w"])
-    b_size, t_size, least = F.size("block"), F.size("t_words"), F.col("least")
+    b_size, t_size = F.size("block"), F.size("t_words")
     first = F.get(F.array_intersect("t_prefix", "b_prefix"), F.lit(0))
     left = F.least(t_size - F.array_position("t_words", first), b_size - F.array_position("block", first)) + 1
     return (rows.filter("words is not null")
             .select("row", "words", F.explode(touched).alias("template"))
             .join(table, "template")
             .select("row", "template", "label", "length", "t_words", "least", "t_prefix", F.explode(segments).alias("seg"))
-            .select("*", F.explode(F.sequence(F.lit(0), last, F.col("length"))).alias("at"))
-            .withColumn("start", F.col("seg.first") + F.col("at"))
-            .withColumn("block", block).drop("seg").filter(b_size >= least)                      # length
+            .select("*", F.explode(around).alias("around"))
+            .withColumn("part", F.slice("seg.part", F.col("around.low") + 1,
+                                        F.col("around.high") - F.col("around.low") + width))
+            .withColumn("first", F.col("seg.first") + F.col("around.low")).drop("seg")
+            .filter(F.size(F.array_intersect("part", "t_words")) >= least)
+            .select("*", F.explode(starts).alias("at"))
+            .withColumn("start", F.col("first") + F.col("at"))
+            .withColumn("block", block).drop("part").filter(b_size >= least)                     # length
             .withColumn("block", in_order)
             .withColumn("b_prefix", F.slice("block", 1, F.greatest(b_size - least + 1, F.lit(0))))
             .filter(F.arrays_overlap("t_prefix", "b_prefix"))                                    # prefix
@@ -206,7 +219,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
 
 
 def oracle_sql(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """DuckDB SQL of the same result: every window against every template, without any filter."""
+    """DuckDB SQL of the same result: every block from a word of the template, without frequencies or filters."""
     listed = ", ".join(f"('{label}', {len(_split(t))}, {least_shared(len(set(_split(t))), threshold)}, {sorted(set(_split(t)))!r})"
                        for label, t in templates)
     places = " union all ".join(
@@ -223,7 +236,7 @@ places as ({places}),
 base as (select row, count(*) as n, min(i) as a, max(i) as b, list_sort(list_distinct(list(label))) as labels
          from places group by row),
 blocks as (select row, label, least, t, list_distinct(w[s + 1 : s + 2 * length]) as b
-           from words, templates, unnest(range(0, greatest(len(w), 1), length)) as u(s)),
+           from words, templates, unnest(range(0, len(w))) as u(s) where list_contains(t, w[s + 1])),
 shares as (select row, label, least, len(list_intersect(b, t)) as shared, len(t) as whole from blocks),
 best as (select row, list(distinct label) as labels, max(shared::double / whole) as share from shares
          where shared >= least group by row)
