@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import empty, messy, rows
 from tidepool.llm import toxicity as tox
@@ -34,30 +35,58 @@ def test_kernel_is_the_shared_weighted_triples():
     assert got[1, 0] > 0.5 > got[3, 0]                 # gaps keep the word close
 
 
-def test_segments():
-    assert tox.segments("You are an i d i o t, moron### 12 ...") >= {"you", "idiot,".strip(","), "moron"} - {"idiot"}
-    assert tox.segments("") == set() == tox.segments(" 12 %% ")
+def read(text, known=("you", "are", "an", "so", "the")):
+    reader = tox.Reader(frozenset(known))
+    words = tox.tokens(text)
+    reader.learn([words])
+    at, sentence, joined = reader.read(words)
+    out = {}
+    for k, w in [*zip(sentence.tolist(), (reader.words[i] for i in at)), *((k, w) for w, k in joined)]:
+        out.setdefault(k, set()).add(w)
+    return out
+
+
+def test_segments_of_sentences():
+    got = read('You are an i d i o t, moron### 12 ... "So are you!" The end')
+    assert got[0] >= {"you", "are", "an", "idiot", "moron"} and list(got) == [0, 1, 2]
+    assert got[1] == {"so", "are", "you"} and got[2] >= {"the", "end"}
+    assert read("") == {} == read(" 12 %% ")
+    for broken in ("you id iot", "you mo-\nron", "you i  d\ti  o\nt", "so w t f", "you wor thle ss"):
+        whole = "".join(c for c in broken.split(maxsplit=1)[1] if c.isalpha())
+        assert whole in read(broken)[0]
+    assert "youare" not in read("you are")[0] and "idiot" not in read("id. iot")[0]
+    assert max(map(len, read("x " * 100_000)[0])) == tox.RUN                      # a long run is many windows
+
+
+def test_features():
+    low = tox.FLOOR
+    margins, sentence = np.array([0.1, 0.5, -9.0, 0.5, 0.2, 0.5, 9.0]), np.array([0, 0, 3, 4, 4, 4, 7])
+    assert tox.features(margins[:6], sentence[:6]).tolist() == [0.5, 0.2, low, 0.5, low, low]    # of two, the better one
+    assert tox.features(margins, sentence).tolist() == [0.5, 0.2, low, tox.CEILING, 0.5, low]
+    assert tox.features(margins[:0], sentence[:0]).tolist() == [low] * 6 == tox.features(margins[2:3], sentence[2:3]).tolist()
 
 
 def test_held_out_accuracy_and_gapped_insults(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    out = tox.toxicity(docs, labels).join(labels.dropDuplicates(["doc_id"]), "doc_id").collect()
-    held = [r for r in out if r["held_out"]]
-    right = np.mean([r["predicted"] == r["toxic"] for r in held])
-    base = 1 - np.mean([r["toxic"] for r in held])
-    assert right > base and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in out)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     model = tox.train(docs, labels)
+    scored = tox.score(docs, model).withColumn("held_out", tox.held_out(F.col("doc_id")))
+    out = scored.join(labels.dropDuplicates(["doc_id"]), "doc_id").collect()
+    held = [r for r in out if r["held_out"]]
+    assert np.mean([(r["score"] >= 0.5) == (r["toxic"] == 1) for r in held]) >= 0.95
+    assert all(0 <= r["score"] <= 1 for r in out)
+    scores = tox.scorer(model)
     plain = "the of and that is with for on by an in it as at be"
-    bare = model.score(model.margins(sorted(tox.segments(plain))))
-    for insult in ("idiot moron", "i.d.i.o.t m-o-r-o-n", "id*iot mo_ron"):
-        assert model.score(model.margins(sorted(tox.segments(f"{plain} {insult}")))) > bare
+    bare, whole, *gapped = scores([plain, *(f"{plain} {x}" for x in (
+        "idiot moron", "i.d.i.o.t m-o-r-o-n", "id*iot mo_ron", "id iot mo ron", "i  d  i  o  t, m o\nr o n",
+        "idi-\not, mor-\non"))])
+    assert all(g > bare for g in [whole, *gapped]), (bare, whole, gapped)
+    assert all(g > whole / 2 for g in gapped[2:]), (whole, gapped)                # white space alone changes little
 
 
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    from pyspark.sql import functions as F
     flipped = labels.withColumn("toxic", F.when(tox.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = tox.toxicity(docs, labels).collect(), tox.toxicity(docs, flipped).collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))

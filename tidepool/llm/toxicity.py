@@ -5,17 +5,23 @@ that spans s characters weighs DECAY ** s, up to MAX_SPAN. Inserted or odd chara
 stay close to the plain word. A string is divided by the norm its spans would have if all its triples differed. Word
 ends count as letters; other scripts' letters share a few codes.
 
-Model: sentences of labelled documents; a sentence scores as its best segment (a word, or a run of single
-letters). Landmarks are the segments whose document frequencies differ most between the classes, and random ones of
-clean sentences. The SVM (squared hinge, in the Nyström space of the landmarks) is trained on the segments that
-witness their sentence's label: those far commoner in toxic documents and the best of each toxic document, against the
-worst false alarms of clean ones and random clean ones; an error costs the share of documents that hold the segment.
-Witnesses are chosen anew for a few rounds. A document's score is a logistic function of its largest margins. As the kernel is a product of triple weights, the whole decision
-function is one table with a weight per triple, which is all that the scoring tasks get.
+Model: a sentence (up to a word that ends in . ! or ?; line ends are white space) scores as its best segment: a word,
+or what white space may have broken: two neighbours of which one is a short piece that no two training documents know
+as a word, and runs of three or more single letters, or of these and such pieces, in windows of ``RUN`` (a comma,
+colon or semicolon parts them). Landmarks are the segments whose document frequencies differ most between the classes,
+and random ones of clean sentences. The SVM (squared hinge, in the Nyström space of the landmarks) is trained on the
+segments that witness their sentence's label: every sentence of a clean document is clean, the best-scoring sentences
+of a toxic one are toxic. Positives are segments far commoner in toxic documents and the best of those sentences,
+negatives the worst false alarms of clean sentences and random clean segments; an error costs the share of documents
+that hold the segment. Joined pieces are looked at in scoring only: as instances they cost accuracy (check_s: 28 false
+alarms against 6). Witnesses are chosen anew for a few rounds. A document's score is a logistic function of the
+largest distinct margins inside its best sentence and of those of all its sentences. As the kernel is a product of
+triple weights, the whole decision function is one table with a weight per triple; the scoring tasks get it and the
+words of the training documents.
 
 Scale: the model is fitted on the driver on at most ``MAX_TRAIN`` labelled documents of each class (those with the
 smallest hash); everything else is one pass over whole texts without an exchange. A task holds one slice of rows, the
-table (under 1 MB) and a bounded memo of segment scores.
+table (under 1 MB), the known words (of the training sample) and a bounded memo of words' margins.
 
 Edge cases: null text counts as empty; a text without segments gets the score of the lowest margin, below 0.5.
 Rows without a label, or with a null one, are not learned from. Labels that repeat a doc_id are one label, toxic if any is.
@@ -51,9 +57,12 @@ MAX_INSTANCES = 4000
 COST = 2000.0
 TOP = 3
 MEMO = 200_000
-FLOOR, CEILING = -1.5, 1.5
-SENTENCE_END = re.compile(r"[.!?\n]+(?=\s|$)")
-SPACED = re.compile(r"(?<!\S)(?:\S ){3,}\S(?!\S)")
+FLOOR, CEILING = -1.0, 1.5
+SENTENCE_END = (".", "!", "?")
+PAUSE = (",", ";", ":")
+CLOSING = "\"')]}»”’"
+PIECE, PARTNER = 5, 8
+RUN = 16
 OFFSETS = [(a, b) for b in range(2, MAX_SPAN) for a in range(1, b)]
 
 
@@ -71,13 +80,54 @@ _CODES = _Letters()
 _TRIM = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
-def segments(text: str) -> set[str]:
-    """The distinct segments of a text: lower-case words without what stands around them, and runs of single letters."""
-    low = text.lower()
-    out = {w if w.isalpha() else _TRIM.sub("", w) for w in set(low.split())}
-    out.update(m.group().replace(" ", "") for m in SPACED.finditer(low))
-    out.discard("")
-    return out
+class Reader:
+    """Texts, as lower-case tokens between white space, to segments numbered by sentence."""
+
+    def __init__(self, known: frozenset[str], pieces: bool = True) -> None:
+        """``pieces``: whether neighbours are joined; runs of single letters always are."""
+        self.known, self.pieces = known, pieces
+        self.forget()
+
+    def forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.words: list[str] = []
+        self.size = np.empty(0, np.int64)
+        self.ends, self.pause, self.unknown = (np.empty(0, bool) for _ in range(3))
+
+    def learn(self, texts: list[list[str]]) -> None:
+        new = sorted(set().union(*texts).difference(self.at))
+        words = [t if t.isalpha() else _TRIM.sub("", t) for t in new]
+        self.at.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        self.words += words
+        self.size = np.concatenate([self.size, np.array([len(w) for w in words], np.int64)])
+        self.ends = np.concatenate([self.ends, np.array([t.rstrip(CLOSING).endswith(SENTENCE_END) for t in new], bool)])
+        self.pause = np.concatenate([self.pause, np.array([t.endswith(PAUSE) for t in new], bool)])
+        self.unknown = np.concatenate([self.unknown, np.array([len(w) > 1 and w not in self.known for w in words], bool)])
+
+    def read(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[str, int]]]:
+        """Numbers of the words of a learned text, their sentences, and the joined segments with their sentences."""
+        at = np.fromiter(map(self.at.__getitem__, tokens), np.int64, len(tokens))
+        ends = self.ends[at]
+        sentence = np.cumsum(ends) - ends
+        held = self.size[at] > 0
+        at, sentence = at[held], sentence[held]
+        size = self.size[at]
+        near = (sentence[1:] == sentence[:-1]) & ~self.pause[at[:-1]]
+        piece, partner = self.unknown[at] & (size <= PIECE) & self.pieces, size <= PARTNER
+        joined = [(self.words[at[i]] + self.words[at[i + 1]], int(sentence[i])) for i in np.flatnonzero(
+            near & (piece[1:] | piece[:-1]) & partner[1:] & partner[:-1]).tolist()]
+        letter = size == 1
+        for part in (letter, letter | piece) if piece.any() else (letter,):
+            edges = np.flatnonzero(np.diff((near & part[1:] & part[:-1]).astype(np.int8), prepend=0, append=0)).tolist()
+            for first, last in zip(edges[::2], edges[1::2]):
+                if last - first >= 2:
+                    joined.extend(("".join(self.words[j] for j in at[k:min(k + RUN, last + 1)]), int(sentence[first]))
+                                  for k in range(first, max(first + 1, last + 1 - RUN // 2), RUN // 2))
+        return at, sentence, joined
+
+
+def tokens(text: str) -> list[str]:
+    return text.lower().split()
 
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,12 +170,14 @@ def kernel(words: list[str], landmarks: list[str], step: int = 250) -> np.ndarra
 
 @dataclass
 class Model:
-    """``table``: a weight per triple; ``bias``; top margins -> score by slope and shift; ``share`` of toxic labels."""
+    """``table``: a weight per triple; ``bias``; top margins -> score by slope and shift; ``share`` of toxic labels;
+    ``known`` words."""
     table: np.ndarray
     bias: float
     slope: np.ndarray | None
     shift: float
     share: float
+    known: frozenset[str] = frozenset()
 
     def margins(self, words: list[str], step: int = 5000) -> np.ndarray:
         out = np.empty(len(words), dtype=np.float32)
@@ -135,17 +187,36 @@ class Model:
             out[k:k + step] = np.bincount(at, weights=weight * self.table[code], minlength=len(part)) + self.bias
         return out
 
-    def score(self, margins: np.ndarray) -> float:
-        """The score of a text whose segments have these margins."""
+    def score(self, margins: np.ndarray, sentence: np.ndarray) -> float:
+        """The score of a text from the margins and the sentences of its segments."""
         if self.slope is None:
             return self.share
-        return float(1 / (1 + np.exp(-np.clip(top(margins) @ self.slope + self.shift, -35, 35))))
+        return float(1 / (1 + np.exp(-np.clip(features(margins, sentence) @ self.slope + self.shift, -35, 35))))
+
 
+def features(margins: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """The largest distinct margins inside the best sentence, then the largest distinct ones of the sentences' best.
 
-def top(margins: np.ndarray) -> np.ndarray:
-    """The largest margins of a text, largest first, none below FLOOR; missing ones count as FLOOR."""
-    best = np.sort(margins)[::-1][:TOP] if len(margins) <= 64 else np.sort(np.partition(margins, -TOP)[-TOP:])[::-1]
-    return np.clip(np.concatenate([best, np.full(TOP - len(best), FLOOR)]), FLOOR, CEILING)
+    A sentence is as good as its ``TOP`` largest margins together; margins under FLOOR, and missing ones, count as FLOOR.
+    """
+    out = np.full(2 * TOP, FLOOR)
+    use = np.flatnonzero(margins > FLOOR)
+    if not len(use):
+        return out
+    m, s = margins[use], sentence[use]
+    order = np.lexsort((-m, s))
+    m, s = m[order], s[order]
+    new = np.diff(s, prepend=-1) != 0
+    once = new | (np.diff(m, prepend=np.inf) != 0)
+    m, s = np.minimum(m[once], CEILING), s[once]
+    starts = np.flatnonzero(np.diff(s, prepend=-1))
+    ends = np.append(starts[1:], len(m))
+    rank = np.arange(len(m)) - np.repeat(starts, ends - starts)
+    best = int(np.add.reduceat(np.where(rank < TOP, m - FLOOR, 0.0), starts).argmax())
+    inside = m[starts[best]:min(ends[best], starts[best] + TOP)]
+    across = np.unique(m[starts])[::-1][:TOP]
+    out[:len(inside)], out[TOP:TOP + len(across)] = inside, across
+    return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
@@ -190,16 +261,31 @@ def _logistic(x: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: int = 7) -> Model:
-    """Train on labelled documents; their sentences are the labelled units, their segments the instances."""
+    """Train on labelled documents; their sentences are the labelled units, the sentences' segments the instances."""
     share = float(np.mean(labels)) if labels else 0.0
     if not 0 < share < 1:
         return Model(np.zeros(LETTERS ** 3, dtype=np.float32), 0.0, None, 0.0, share)
     rng = np.random.default_rng(seed)
     y = np.array(labels)
     n1, n = int(y.sum()), len(y)
+    split = [tokens(t) for t in texts]
+    plainly = Reader(frozenset())
+    plainly.learn(split)
+    held_by = Counter(w for t in split for w in {plainly.words[plainly.at[x]] for x in set(t)})
+    reader = Reader(frozenset(w for w, k in held_by.items() if k > 1), pieces=False)
+    del plainly, held_by
+    reader.learn(split)
     index: dict[str, int] = {}
-    ids = [np.array([index.setdefault(w, len(index)) for w in sorted(set().union(*map(segments, SENTENCE_END.split(t))))],
-                    dtype=np.int32) for t in texts]
+    units: list[tuple[np.ndarray, np.ndarray]] = []                   # distinct (sentence, segment) of each document
+    for t in split:
+        at, sentence, joined = reader.read(t)
+        pairs = np.concatenate([sentence, [k for _, k in joined]]).astype(np.int64) << 32
+        pairs |= np.array([index.setdefault(reader.words[i], len(index)) for i in at.tolist()]
+                          + [index.setdefault(w, len(index)) for w, _ in joined], dtype=np.int64)
+        pairs = np.unique(pairs)
+        units.append((pairs >> 32, (pairs & 0xFFFFFFFF).astype(np.int32)))
+    del split
+    ids = [np.unique(words) for _, words in units]
     every = list(index)
     del index
     d1, d0 = (np.bincount(np.concatenate([i for i, label in zip(ids, labels) if label == k] or [ids[0][:0]]),
@@ -241,7 +327,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
                 cost[side == k] *= COST / total
         w = _svm(np.vstack([x[up], x[down]]), side, cost)
         table = np.bincount(code, weights=weight * (root @ w[:-1])[at], minlength=LETTERS ** 3)
-        return Model(table.astype(np.float32), float(w[-1]), np.ones(TOP), 0.0, share)
+        return Model(table.astype(np.float32), float(w[-1]), np.ones(2 * TOP), 0.0, share, reader.known)
 
     spare = rng.choice(plain, min(MAX_INSTANCES, len(plain)), replace=False)
     model = trained(anchors, spare)
@@ -258,7 +344,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = LANDMARKS, seed: i
                 witnesses[label].append(best)
         model = trained(np.unique(np.concatenate(witnesses[1])), np.unique(np.concatenate(witnesses[0])))
     margin = model.margins(every)
-    model.slope, model.shift = _logistic(np.array([top(margin[words]) for words in ids]), y)
+    model.slope, model.shift = _logistic(
+        np.array([features(margin[words], sentence) for sentence, words in units]), y)
     return model
 
 
@@ -278,21 +365,32 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_TRAIN) -> Model:
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
+def scorer(model: Model):
+    """A function from texts to their scores, with a memo of words that is forgotten at ``MEMO``."""
+    reader, margin = Reader(model.known), np.empty(0, dtype=np.float32)
+
+    def run(texts: list[str]) -> list[float]:
+        nonlocal margin
+        split = [tokens(t) for t in texts]
+        if len(reader.words) > MEMO:
+            reader.forget()
+            margin = margin[:0]
+        reader.learn(split)
+        margin = np.concatenate([margin, model.margins(reader.words[len(margin):])])
+        found = [reader.read(t) for t in split]
+        new = sorted({w for _, _, joined in found for w, _ in joined})
+        of = dict(zip(new, model.margins(new).tolist()))
+        return [model.score(np.concatenate([margin[at], [of[w] for w, _ in joined]]),
+                            np.concatenate([sentence, [k for _, k in joined]])) for at, sentence, joined in found]
+    return run
+
+
 def _scores(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, float] = {}
+        scores = scorer(model)
         for batch in small_slices(batches, 2 << 20):
-            texts = batch.column("text").to_pylist()
-            found = [segments(t) for t in texts]
-            new = sorted(set().union(*found).difference(memo))
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = sorted(set().union(*found))
-            for k in range(0, len(new), 5_000):
-                part = new[k:k + 5_000]
-                memo.update(zip(part, model.margins(part).tolist()))
-            scores = [model.score(np.fromiter(map(memo.__getitem__, words), float, len(words))) for words in found]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(scores, pa.float64())], ["row", "score"])
+            got = scores(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(got, pa.float64())], ["row", "score"])
     return run
 
 
