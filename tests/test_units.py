@@ -90,6 +90,20 @@ def test_search_idf_and_repeats(spark):
     assert [(h.doc_id, h.relevance_score) for h in hits] == [(1, 3.4055), (2, 2.0)]
 
 
+@pytest.mark.parametrize("task_rows,tasks", [(50, 37), (400, 8), (10 ** 6, 8)])
+def test_search_deals_documents_by_counted_pairs(spark, monkeypatch, task_rows, tasks):
+    import re
+    monkeypatch.setattr(search, "TASK_ROWS", task_rows)
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", 8)
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.array(F.lit("all"), F.concat(F.lit("t"), F.col("id"))).alias("tokens"))
+    # three queries have a term of every document, the fourth none; "none" has no posting
+    q = spark.createDataFrame([(1, ["all", "t7"]), (2, ["all"]), (3, ["all", "all"]), (4, ["none"])], "query_id long, tokens array<string>")
+    hits = search.search(q, search.postings(docs), 600, k=2)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"RepartitionByExpression \[doc_id#\d+L\], {tasks}\b", plan), plan
+    assert sorted((h.query_id, h["rank"], h.doc_id) for h in hits.collect()) == [(1, 1, 7), (1, 2, 0), (2, 1, 0), (2, 2, 1), (3, 1, 0), (3, 2, 1)]
+
+
 def test_quartiles_and_outliers(spark):
     df = spark.createDataFrame([(float(x),) for x in [1, 2, 3, 4, 100]], "v double")
     q = Q.quartiles({"t": df}).first()

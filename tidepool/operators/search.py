@@ -9,7 +9,9 @@ shuffle and a final one after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.functions.text import with_lexicon_sentiment
@@ -63,6 +65,12 @@ def top_terms(df: DataFrame, n: int = 20) -> DataFrame:
 
 
 BROADCAST_ROWS = 1_000_000
+TASK_ROWS = 500_000  # rows that one task holds in memory: tasks are counted by it, so a task's memory does not follow the tables
+
+
+def tasks_for(rows: int, spark: SparkSession) -> int:
+    """How many tasks hold ``rows``, ``TASK_ROWS`` in each; one for every core at least."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
 
 
 def search(queries: DataFrame, post: DataFrame, doc_count: int, k: int = 10, df: DataFrame | None = None) -> DataFrame:
@@ -72,18 +80,24 @@ def search(queries: DataFrame, post: DataFrame, doc_count: int, k: int = 10, df:
     smaller doc_id. ``doc_count`` is N, the number of indexed documents; ``df`` the stored document frequencies.
 
     Only the postings of asked terms move, dealt by document, so all scores of a document add up in one task and
-    just the k best rows per query and task are exchanged. That needs the query terms on every task: they are
+    just the k best rows per query and task are exchanged. A task holds its documents' (query, document) pairs, of which
+    there are at most the postings counted once per asking query, and at most one per query and document: documents
+    are dealt to as many tasks as that number fills. All this needs the query terms on every task: they are
     counted, and beyond ``BROADCAST_ROWS`` the (query, document) pairs are dealt out instead.
     """
     qt = (queries.select("query_id", F.explode("tokens").alias("term"))
                  .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf")))
     df = df if df is not None else document_frequency(post)
-    idf = df.select("term", (F.log(F.lit(float(doc_count)) / (F.col("df") + 1)) + 1).alias("idf"))
-    wanted = qt.join(idf, "term")
-    if qt.count() <= BROADCAST_ROWS:
+    idf = df.select("term", "df", (F.log(F.lit(float(doc_count)) / (F.col("df") + 1)) + 1).alias("idf"))
+    size = qt.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("query_id").alias("queries")).first()
+    if size["rows"] <= BROADCAST_ROWS:
         asked = F.broadcast(qt.select("term").distinct())
-        wanted = F.broadcast(wanted)
-        post = post.join(asked, "term", "left_semi").repartition("doc_id")
+        wanted = idf.join(F.broadcast(qt), "term")
+        pairs = min(wanted.agg(F.sum("df")).first()[0] or 0, doc_count * size["queries"])
+        wanted = F.broadcast(wanted.drop("df"))
+        post = post.join(asked, "term", "left_semi").repartition(tasks_for(pairs, post.sparkSession), "doc_id")
+    else:
+        wanted = qt.join(idf.drop("df"), "term")
     hits = post.join(wanted, "term").groupBy("query_id", "doc_id").agg(
         F.sum(F.col("qtf") * F.col("idf")).alias("score"))
     # Scores are sums of floats whose order of addition is not fixed: rank on 9 decimals so equal
