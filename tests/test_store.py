@@ -155,6 +155,37 @@ def test_shuffled_search_beyond_the_broadcast_bound(spark, index, monkeypatch):
     assert _hits(index, spark) == before
 
 
+def test_index_deals_postings_by_counted_rows(spark, monkeypatch):
+    """A bucket's postings go to as many tasks as its rows fill, a file each; documents that come twice are united."""
+    from tidepool.session import scratch_path
+
+    monkeypatch.setattr(S, "TASK_ROWS", 100)
+    docs = spark.range(1000).select(F.col("id").alias("doc_id"), F.array(F.lit("all"), F.concat(F.lit("t"), F.col("id") % 5)).alias("tokens"))
+    again = docs.where(F.col("doc_id") < 500).select("doc_id", F.array(F.lit("all"), F.lit("new")).alias("tokens"))
+    for batch, rows in ((docs, 2000), (docs.unionByName(again), 2500)):
+        own = Index(spark, scratch_path(spark, "dealt-index"), buckets=4)
+        own.add(batch.where(F.col("doc_id") % 2 == 0))
+        own.add(batch)
+        stored = own.postings()
+        assert stored.count() == stored.select("term", "doc_id").distinct().count() == rows and own.docs().count() == 1000
+        files = stored.groupBy("segment", "bucket", F.input_file_name().alias("f")).count().collect()
+        assert max(f["count"] for f in files) <= 200 and len(files) >= rows / 100
+        counts = {r["term"]: r["df"] for r in own.terms().groupBy("term").agg(F.sum("df").alias("df")).collect()}
+        assert counts["all"] == 1000 and counts["t3"] == 200 and counts.get("new", 0) == rows - 2000
+
+
+def test_index_leaves_known_documents_unsorted(spark, monkeypatch):
+    from tidepool.session import scratch_path
+
+    own, plans = Index(spark, scratch_path(spark, "known-index")), []
+    tokens = views.doc_tokens(spark, SF_SMALL)
+    own.add(tokens.where(F.col("doc_id") % 2 == 0))
+    monkeypatch.setattr(S, "postings", lambda d, f=S.postings: plans.append(d._jdf.queryExecution().executedPlan().toString()) or f(d))
+    own.add(tokens)
+    assert "ShuffledHashJoin" in plans[0] and "Sort" not in plans[0].replace("SortMerge", ""), plans[0]
+    assert own.docs().count() == tokens.count()
+
+
 def test_index_of_nothing(spark):
     from tidepool.session import scratch_path
 

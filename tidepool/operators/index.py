@@ -5,10 +5,15 @@ its documents. The manifest (a versioned list of live segments) is written last,
 repeated batch changes nothing: documents that are indexed already are left out. A search adds up the document frequencies of the
 live segments for the asked terms and reads only the buckets those terms hash to (the join's filter reaches the scan as dynamic
 partition pruning).
+
+A batch's postings are stored as they are found, counted by bucket, and then dealt to tasks of ``search.TASK_ROWS`` rows of one
+bucket each: what a task sorts or tells apart in memory does not grow with the batch.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,10 +59,19 @@ class Index:
     def _next(self) -> int:
         return max(self.segments(), default=-1) + 1
 
-    def _write(self, post: DataFrame, docs: DataFrame, segment: int, live: list[int]) -> int:
-        bucket = S.term_bucket(F.col("term"), self.buckets).alias("bucket")
-        (post.select("term", "doc_id", bucket).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{self.root}/postings/segment={segment}"))
+    def _dealt(self, post: DataFrame, repeated: bool) -> DataFrame:
+        """Stored postings with their bucket, in tasks of ``search.TASK_ROWS`` rows of one bucket each; ``repeated`` rows once."""
+        post = post.select("term", "doc_id", S.term_bucket(F.col("term"), self.buckets).alias("bucket"))
+        tasks, deal = 0, F.lit(0)
+        for bucket, rows in sorted(post.groupBy("bucket").count().collect()):  # a row per bucket
+            parts = math.ceil(rows / S.TASK_ROWS)
+            deal = F.when(F.col("bucket") == bucket, F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int") + tasks).otherwise(deal)
+            tasks += parts
+        dealt = post.withColumn("task", deal).repartitionById(max(1, tasks), F.col("task"))
+        return (dealt.distinct() if repeated else dealt).drop("task")
+
+    def _write(self, post: DataFrame, docs: DataFrame, segment: int, live: list[int], repeated: bool = False) -> int:
+        self._dealt(post, repeated).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/postings/segment={segment}")
         written = self.spark.read.schema(POSTING).parquet(f"{self.root}/postings").where(F.col("segment") == segment)
         (written.groupBy("term", "bucket").agg(F.count(F.lit(1)).alias("df")).hint("rebalance", "bucket")
          .write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/terms/segment={segment}"))
@@ -73,12 +87,17 @@ class Index:
         live = self.segments()
         new = doc_tokens.select("doc_id", "tokens")
         if live:
-            new = new.join(self.docs().select("doc_id"), "doc_id", "left_anti")
-        ids = new.select("doc_id").distinct()
-        if ids.isEmpty():
+            # the known ids are the hashed side: the documents are not sorted
+            new = new.join(self.docs().select("doc_id").hint("shuffle_hash"), "doc_id", "left_anti")
+        ids = new.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+        size = ids.agg(F.count(F.lit(1)).alias("ids"), F.max("rows").alias("most")).first()
+        if not size["ids"]:
             return None
-        post = S.postings(new).select("term", "doc_id").distinct()
-        return self._write(post, ids, self._next(), live)
+        segment = self._next()
+        found = f"{self.root}/found/segment={segment}"
+        S.postings(new).select("term", "doc_id").write.mode("overwrite").parquet(found)
+        post = self.spark.read.schema("term string, doc_id long").parquet(found)
+        return self._write(post, ids, segment, live, repeated=size["most"] > 1)
 
     def compact(self) -> int | None:
         """Merge all live segments into one; the old ones stay on disk for readers that still see them."""
